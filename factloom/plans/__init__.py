@@ -1,0 +1,5 @@
+"""Query catalogue: importing it registers every query of the library."""
+
+from factloom.plans.catalog import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL"]
