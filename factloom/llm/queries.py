@@ -6,19 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factloom.llm import language, neardup, quality, rules, toxicity
+from factloom.llm import decontaminate, language, mixing, neardup, quality, rules, shards, toxicity
 from factloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": lambda spark, d: quality.quality_scores(table(spark, d, "documents"), table(spark, d, "labels")),
+    "op2_mixing": lambda spark, d: mixing.mix(table(spark, d, "documents")).select("doc_id", "size", "source_size", "target", "taken"),
     "op3_near_duplicates": lambda spark, d: neardup.near_duplicates(table(spark, d, "documents")),
     "op4_toxicity": lambda spark, d: toxicity.toxicity_scores(table(spark, d, "documents"), table(spark, d, "labels")),
     "op5_language": lambda spark, d: language.language_predictions(table(spark, d, "documents")),
     "op7_quality_rules": lambda spark, d: rules.rule_verdicts(table(spark, d, "documents")),
+    "op8_sharding": lambda spark, d: shards.shard_membership(table(spark, d, "documents")),
+    "op9_decontamination": lambda spark, d: decontaminate.leaks(table(spark, d, "documents"), table(spark, d, "benchmark")),
 }
 
 SQL: dict[str, str] = {
+    "op2_mixing": mixing.SQL,
     # links on exact sets, then the closure over them
+    "op2_mixing": lambda spark, d: mixing.mix(table(spark, d, "documents")).select("doc_id", "size", "source_size", "target", "taken"),
     "op3_near_duplicates": r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
