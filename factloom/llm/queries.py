@@ -23,7 +23,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     "op2_mixing": mixing.SQL,
     # links on exact sets, then the closure over them
-    "op2_mixing": lambda spark, d: mixing.mix(table(spark, d, "documents")).select("doc_id", "size", "source_size", "target", "taken"),
     "op3_near_duplicates": r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
