@@ -62,17 +62,17 @@ def pack(a: np.ndarray) -> bytes:
     return np.ascontiguousarray(a).tobytes()
 
 
-def annotate(docs: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, pa.Array]], fields: str, keep: list[str] | None = None, rows: int = 1000) -> DataFrame:
+def annotate(docs: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, pa.Array]], fields: str, keep: list[str] | None = None, rows: int = 1000, reads: str = "text") -> DataFrame:
     """``docs`` with columns that ``fn`` makes from each Arrow batch.
 
-    keep: the input columns that stay, all of them if None. Input columns named as a new one are replaced.
+    reads: the text column that ``fn`` needs. keep: the input columns that stay, all of them if None. Input columns named as a new one are replaced.
     ``fn`` may return a boolean array under ``where``; then only the rows it marks stay.
     """
     from pyspark.sql.types import StructType, _parse_datatype_string
 
     new = _parse_datatype_string(fields)
     names = [c for c in (docs.columns if keep is None else keep) if c not in new.names]
-    read = names + [c for c in ("text",) if c not in names and c in docs.columns]
+    read = names + [c for c in (reads,) if c not in names and c in docs.columns]
     schema = StructType([docs.schema[c] for c in names] + list(new.fields))
     width = len(new.names)
 

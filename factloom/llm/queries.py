@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factloom.llm import decontaminate, language, mixing, neardup, quality, rules, shards, toxicity
+from factloom.llm import decontaminate, extraction, language, language_model, mixing, neardup, quality, rules, shards, toxicity
 from factloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -15,9 +15,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_near_duplicates": lambda spark, d: neardup.near_duplicates(table(spark, d, "documents")),
     "op4_toxicity": lambda spark, d: toxicity.toxicity_scores(table(spark, d, "documents"), table(spark, d, "labels")),
     "op5_language": lambda spark, d: language.language_predictions(table(spark, d, "documents")),
+    "op6_language_model": lambda spark, d: language_model.text_scores(table(spark, d, "documents")),
     "op7_quality_rules": lambda spark, d: rules.rule_verdicts(table(spark, d, "documents")),
     "op8_sharding": lambda spark, d: shards.shard_membership(table(spark, d, "documents")),
     "op9_decontamination": lambda spark, d: decontaminate.leaks(table(spark, d, "documents"), table(spark, d, "benchmark")),
+    "op10_main_text": lambda spark, d: extraction.main_texts(table(spark, d, "pages")),
 }
 
 SQL: dict[str, str] = {
