@@ -23,7 +23,7 @@ from factloom.llm import textbatch as tb
 from factloom.llm.common import annotate, arrow_map, batch, fold, labelled
 
 #: Labelled documents of each class that a fit uses at most, about.
-SAMPLE = 4_000
+SAMPLE = 2_000
 BITS, SELECT_ROUNDS, FIT_ROUNDS, SHRINK = 19, 60, 300, 0.02
 #: L1 penalty of the selection, as a share of the label-1 documents.
 SPARSE = 0.002
@@ -99,8 +99,10 @@ def train(feature: np.ndarray, sentence: np.ndarray, bag: np.ndarray, y: np.ndar
     n, ones = 1 << BITS, y.sum()
     if not 0 < ones < len(y):
         return Model(np.zeros(n), 0.0, float(y.mean()) if len(y) else 0.5)
-    pair = np.unique(bag[sentence].astype(np.int64) << BITS | feature)
+    pair = np.sort(bag[sentence].astype(np.int64) << BITS | feature)
+    pair = pair[np.r_[True, pair[1:] != pair[:-1]]]
     often = (np.bincount(pair & (n - 1), minlength=n) >= LEAST)[feature]
+    del pair
     feature, sentence = feature[often], sentence[often]
     w, b, g2, gb2, sparse = np.zeros(n), -5.0, np.ones(n), 1.0, max(2.0, SPARSE * ones)
     for _ in range(SELECT_ROUNDS):
@@ -140,18 +142,19 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", limit: int =
                 )
 
     known = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", F.col("y").cast("int").alias("y"))
-    got = arrow_map(known, bags, "y int, f binary, s binary").toPandas()
-    f = [np.frombuffer(x, np.int32) for x in got.f]
-    of, at, bag = [], 0, []
-    for i, x in enumerate(got.s):
-        v = np.frombuffer(x, np.int32)
+    f, of, bag, y, at = [], [], [], [], 0
+    for r in arrow_map(known, bags, "y int, f binary, s binary").toLocalIterator():
+        v = np.frombuffer(r["s"], np.int32)
         if len(v):
-            v = v - v[0]
-            of.append(v + at)
-            bag.append(np.full(v[-1] + 1, i))
-            at += v[-1] + 1
-    cat = lambda a: np.concatenate(a) if a else np.zeros(0, np.int64)
-    return train(cat(f), cat(of), cat(bag), got.y.to_numpy(dtype=float))
+            f.append(np.frombuffer(r["f"], np.int32))
+            of.append(v - v[0] + np.int32(at))
+            bag.append(np.full(v[-1] - v[0] + 1, len(y), np.int32))
+            at += len(bag[-1])
+        y.append(r["y"])
+    cat = lambda a: np.concatenate(a) if a else np.zeros(0, np.int32)
+    feature, sentence, of_bag = cat(f), cat(of), cat(bag)
+    del f, of, bag
+    return train(feature, sentence, of_bag, np.array(y, float))
 
 
 def score(docs: DataFrame, model: Model, cut: float = 0.5, keep: list[str] | None = None, locate: bool = True) -> DataFrame:
