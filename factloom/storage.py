@@ -60,7 +60,7 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write and reread ``df``; later reads do not compute it again."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
