@@ -31,7 +31,6 @@ from factloom.storage import drop_materialized, materialize
 
 SHINGLE, PERCENT = 5, 75
 HASHES, BANDS, SEED = 128, 32, 3
-#: Of 256 signature bits, how many may differ: 36 are expected at a similarity of 0.75... see bits_differ.
 _BLOCK = 4096
 
 
@@ -149,44 +148,40 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     filled = rows.where((F.col("n") > 0) & F.col("id").isNotNull())
     key = ["n", "h1", "h2"]
     classes = materialize(filled.groupBy(*key).agg(F.min("id").alias("rep")), "classes")
-    # the sketch of a class, from the row of its representative
-    reps = filled.join(classes.select("rep", "n", "h1", "h2"), [filled["id"] == F.col("rep"), *[filled[k] == classes[k] for k in key]]).select("rep", filled["n"], filled["h1"], "bands", "s").dropDuplicates(["rep", "h1"])
-    reps = materialize(reps, "reps")
-    banded = reps.select("rep", "h1", F.explode("bands").alias("bucket"))
-    full = banded.groupBy("bucket").agg(F.count("*").alias("members"), F.min(F.struct("rep", "h1")).alias("least")).where(F.col("members") > 1)
-    member = materialize(banded.join(full, "bucket").select("bucket", "rep", "h1", "least"), "buckets")
+    # the sketch of a class is that of its representative; an id with several texts may stand for several classes
+    reps = materialize(classes.join(filled.withColumnRenamed("id", "rep"), ["rep", *key]).select("rep", "h1", "n", "s", "bands"), "reps")
+    banded = reps.select("rep", F.explode("bands").alias("bucket"))
+    full = banded.groupBy("bucket").agg(F.count("*").alias("members"), F.min("rep").alias("least")).where(F.col("members") > 1)
+    member = materialize(banded.join(full, "bucket").select("bucket", "rep", "least"), "buckets")
     light = reps.select("rep", "h1", "n", "s")
+    end = lambda x: light.select(F.col("rep").alias(f"u{x}"), F.col("h1").alias(f"h{x}"), F.col("n").alias(f"n{x}"), F.col("s").alias(f"s{x}"))
+    pair = ["ua", "ha", "ub", "hb"]
 
-    def pairs(found: DataFrame) -> DataFrame:
-        """Candidate pairs (ua, ha, ub, hb), once each, that sizes and bits allow."""
-        a = light.select(F.col("rep").alias("ua"), F.col("h1").alias("ha"), F.col("n").alias("na"), F.col("s").alias("sa"))
-        b = light.select(F.col("rep").alias("ub"), F.col("h1").alias("hb"), F.col("n").alias("nb"), F.col("s").alias("sb"))
-        return found.select("ua", "ha", "ub", "hb").distinct().join(a, ["ua", "ha"]).join(b, ["ub", "hb"]).where(_plausible(percent)).select("ua", "ha", "ub", "hb")
-
-    led = member.where((F.col("rep") != F.col("least.rep")) | (F.col("h1") != F.col("least.h1")))
-    first = materialize(pairs(led.select(F.col("least.rep").alias("ua"), F.col("least.h1").alias("ha"), F.col("rep").alias("ub"), F.col("h1").alias("hb"))), "pairs")
+    led = member.where(F.col("rep") != F.col("least")).select(F.col("least").alias("ua"), F.col("rep").alias("ub")).distinct()
+    first = materialize(led.join(end("a"), "ua").join(end("b"), "ub").where(_plausible(percent)).select(*pair).distinct(), "pairs")
     links = confirm(docs, first, percent)
     # an id with several texts links their classes
     several = filled.select("id", *key).distinct().join(classes, key).groupBy("id").agg(F.count("*").alias("k"), F.collect_set("rep").alias("reps")).where(F.col("k") > 1)
-    same_id = several.select(F.col("id").alias("u"), F.explode("reps").alias("v"))
-    links = links.unionByName(same_id)
+    links = links.unionByName(several.select(F.col("id").alias("u"), F.explode("reps").alias("v")))
     label = materialize(components(links), "labels")
 
     # members of a bucket outside its largest component, against all other components
-    placed = member.select("bucket", "rep", "h1").join(label, F.col("rep") == F.col("vertex"), "left").select("bucket", "rep", "h1", F.coalesce("component", "rep").alias("comp"))
-    sizes = placed.groupBy("bucket", "comp").agg(F.count("*").alias("k"))
-    split = sizes.groupBy("bucket").agg(F.count("*").alias("comps"), F.max(F.struct("k", "comp")).alias("top")).where(F.col("comps") > 1)
-    open_ = materialize(placed.join(split, "bucket").join(light, ["rep", "h1"]).select("bucket", "rep", "h1", "n", "s", "comp", F.col("top.comp").alias("top")), "open")
+    placed = member.select("bucket", "rep").join(label, F.col("rep") == F.col("vertex"), "left").select("bucket", "rep", F.coalesce("component", "rep").alias("comp"))
+    split = placed.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where(F.col("low") != F.col("high")).select("bucket")
+    mixed = materialize(placed.join(split, "bucket").distinct(), "mixed")
+    top = mixed.groupBy("bucket", "comp").agg(F.count("*").alias("k")).groupBy("bucket").agg(F.max(F.struct("k", "comp")).alias("top")).select("bucket", F.col("top.comp").alias("top"))
+    open_ = materialize(mixed.join(top, "bucket").join(light, "rep").select("bucket", "rep", "h1", "n", "s", "comp", "top"), "open")
     a = open_.where(F.col("comp") != F.col("top")).select("bucket", F.col("rep").alias("ua"), F.col("h1").alias("ha"), F.col("n").alias("na"), F.col("s").alias("sa"), F.col("comp").alias("ca"))
     b = open_.select("bucket", F.col("rep").alias("ub"), F.col("h1").alias("hb"), F.col("n").alias("nb"), F.col("s").alias("sb"), F.col("comp").alias("cb"), "top")
     once = (F.col("cb") == F.col("top")) | (F.col("ua") < F.col("ub"))
-    rest = a.join(b, (a["bucket"] == b["bucket"]) & (F.col("ca") != F.col("cb")) & once & _plausible(percent)).select("ua", "ha", "ub", "hb").distinct()
-    rest = materialize(rest.join(first, ["ua", "ha", "ub", "hb"], "left_anti").join(first.select(F.col("ua").alias("ub"), F.col("ha").alias("hb"), F.col("ub").alias("ua"), F.col("hb").alias("ha")), ["ua", "ha", "ub", "hb"], "left_anti"), "pairs")
+    rest = a.join(b, (a["bucket"] == b["bucket"]) & (F.col("ca") != F.col("cb")) & once & _plausible(percent)).select(*pair).distinct()
+    swapped = first.select(F.col("ub").alias("ua"), F.col("hb").alias("ha"), F.col("ua").alias("ub"), F.col("ha").alias("hb"))
+    rest = materialize(rest.join(first.unionByName(swapped), pair, "left_anti"), "pairs")
     more = confirm(docs, rest, percent)
     if not more.isEmpty():
         old = label.select(F.col("vertex").alias("u"), F.col("component").alias("v"))
         label = materialize(components(old.unionByName(more)), "labels")
-    for t in (member, open_, first, rest):
+    for t in (member, mixed, open_, first, rest, reps):
         drop_materialized(t)
 
     out = rows.join(classes, key, "left").join(label, F.col("rep") == F.col("vertex"), "left")
