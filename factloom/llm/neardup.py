@@ -4,14 +4,14 @@
 2. Texts with the same set are one class, represented by their smallest id.
 3. The minima are banded; classes that share a band fall into one bucket.  A pair from a bucket is a candidate if its
    sizes allow the similarity and its 256 signature bits agree often enough.
-4. Candidates are confirmed on the full sets.  First every member of a bucket is compared with the bucket's
-   smallest id.  Components of these links are then computed, and in each bucket all members outside its
-   largest component are compared with all members of other components.  So every candidate pair is either compared or already
+4. Candidates are confirmed on the full sets.  First every class is compared with the most central of its buckets'
+   leaders (the members with the most bucket mates).  Components of these links are then computed, and in each bucket all
+   members outside its largest component are compared with all members of other components, after a longer signature has ruled out most.  So every candidate pair is either compared or already
    in one component, while a bucket of n mutual copies costs n comparisons.
 5. Components come from alternating large-star and small-star.
 
 At a similarity of exactly 0.75 a pair shares no band with a probability of 5e-6, and fails the signature bits with one of about
-1e-7; both fall fast above it.
+1e-6; both fall fast above it.
 
 Defined results: a text without words has an empty set and no links; a null id has a null component and is kept; rows that
 repeat an id are one vertex, linked through each of their texts.
@@ -32,6 +32,11 @@ from factloom.storage import drop_materialized, materialize
 SHINGLE, PERCENT = 5, 75
 HASHES, BANDS, SEED = 128, 32, 3
 _BLOCK = 4096
+_SIEVE_BITS = 1 << 26
+#: Bits of the second signature, for members of buckets that hold several components.
+LONG_BITS = 2048
+#: Members of a bucket that one task compares with the others, about.
+SPLIT = 256
 
 
 def _family(n: int = HASHES, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
@@ -87,23 +92,42 @@ def sketches(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     return arrow_map(docs.select(F.col(id_column).cast("long").alias("id"), "text"), run, "id long, n long, h1 long, h2 long, bands array<long>, s array<long>")
 
 
-def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, h1, set) with the sorted shingle hashes of the texts of ``ids`` (id, h1)."""
+def _sieve(ids: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size that holds the hash of every id, for dropping most other rows early."""
+    slot = F.pmod(F.xxhash64("id"), F.lit(_SIEVE_BITS))
+    rows = ids.select(slot.alias("slot")).select(F.expr("CAST(slot DIV 32 AS INT)").alias("i"), F.expr("shiftleft(1L, CAST(slot % 32 AS INT))").alias("b"))
+    out = np.zeros(_SIEVE_BITS // 32, np.uint32)
+    for r in rows.groupBy("i").agg(F.bit_or("b").alias("b")).toLocalIterator():
+        out[r["i"]] = r["b"]
+    return out
+
+
+def _sets(docs: DataFrame, ids: DataFrame, long_signature: bool = False) -> DataFrame:
+    """(id, h1, set) with the sorted shingle hashes of the texts of ``ids`` (id, h1); with ``long_signature`` also t, LONG_BITS bits."""
+    family = _family(LONG_BITS, SEED + 1) if long_signature else None
+    ship = docs.sparkSession.sparkContext.broadcast(_sieve(ids))  # 8 MB
+    slot = F.pmod(F.xxhash64("id"), F.lit(_SIEVE_BITS))
 
     def run(batches):
         for rb in batches:
-            sets, h1 = [], []
+            at = rb["slot"].to_numpy()
+            rb = rb.filter(pa.array((ship.value[at // 32] >> (at % 32).astype(np.uint32)) & 1 == 1))
+            sets, h1, t = [], [], []
             for s in tb.slices(rb["text"]):
                 h, row, _ = tb.ngrams(tb.words(s.lower()), SHINGLE, short=True)
-                at = np.searchsorted(row, np.arange(s.rows + 1))
+                bounds = np.searchsorted(row, np.arange(s.rows + 1))
                 for i in range(s.rows):
-                    x = np.unique(h[at[i] : at[i + 1]])
+                    x = np.unique(h[bounds[i] : bounds[i + 1]])
                     sets.append(x.tobytes())
                     h1.append(int(x.sum(dtype=np.uint64).view(np.int64)) if len(x) else 0)
-            yield batch(id=rb["id"], h1=pa.array(h1, pa.int64()), set=pa.array(sets, pa.binary()))
+                    if family and len(x):
+                        t.append(np.packbits((tb.mix(minima(x, *family)) & np.uint64(1)).astype(np.uint8)).view(np.int64))
+                    else:
+                        t.append(None)
+            yield batch(id=rb["id"], h1=pa.array(h1, pa.int64()), set=pa.array(sets, pa.binary()), t=pa.array(t, pa.list_(pa.int64())))
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids.select("id").distinct(), "id", "left_semi")
-    return arrow_map(texts, run, "id long, h1 long, set binary").join(ids, ["id", "h1"], "left_semi").dropDuplicates(["id", "h1"])
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where(F.col("id").isNotNull()).withColumn("slot", slot)
+    return arrow_map(texts, run, "id long, h1 long, set binary, t array<long>").join(ids, ["id", "h1"], "left_semi")
 
 
 def bits_differ() -> Column:
@@ -112,17 +136,22 @@ def bits_differ() -> Column:
 
 
 def _plausible(percent: int) -> Column:
-    """Sizes allow the similarity, and the bits do not rule it out by five standard deviations."""
+    """Sizes allow the similarity, and the bits do not rule it out by 4.8 standard deviations."""
     j = percent / 100
     differ = 256 * (1 - j) / 2
-    most = differ + 5.5 * np.sqrt(2 * 128 * j * (1 - j) / 2)
+    most = differ + 4.8 * np.sqrt(2 * 128 * j * (1 - j) / 2)
     return (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (bits_differ() <= int(most))
 
 
-def confirm(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+def _long_plausible(percent: int) -> Column:
+    """The long signatures (ta, tb) do not rule out the similarity by 4.8 standard deviations."""
+    p = (1 - percent / 100) / 2
+    differ = sum(F.bit_count(F.get(F.col("ta"), F.lit(i)).bitwiseXOR(F.get(F.col("tb"), F.lit(i)))) for i in range(LONG_BITS // 64))
+    return differ <= int(LONG_BITS * p + 4.8 * np.sqrt(LONG_BITS * p * (1 - p)))
+
+
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (ua, ha, ub, hb) whose full sets are similar enough, as (u, v)."""
-    ids = pairs.select(F.col("ua").alias("id"), F.col("ha").alias("h1")).unionByName(pairs.select(F.col("ub").alias("id"), F.col("hb").alias("h1"))).distinct()
-    sets = materialize(_sets(docs, ids), "sets")
 
     def run(batches):
         for rb in batches:
@@ -134,12 +163,13 @@ def confirm(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
             keep = pa.array(keep, pa.bool_())
             yield batch(u=rb["ua"].filter(keep), v=rb["ub"].filter(keep))
 
-    left = sets.select(F.col("id").alias("ua"), F.col("h1").alias("ha"), F.col("set").alias("a"))
-    right = sets.select(F.col("id").alias("ub"), F.col("h1").alias("hb"), F.col("set").alias("b"))
-    both = pairs.join(left, ["ua", "ha"]).join(right, ["ub", "hb"]).select("ua", "ub", "a", "b")
-    out = materialize(arrow_map(both, run, "u long, v long", 500), "links")
-    drop_materialized(sets)
-    return out
+    # the second of a pair is the rarer one: its set is joined first, and only sets of first members go to the other side
+    firsts = pairs.select(F.col("ua").alias("id"), F.col("ha").alias("h1")).distinct()
+    seconds = pairs.select(F.col("ub").alias("id"), F.col("hb").alias("h1")).distinct()
+    left = sets.join(firsts, ["id", "h1"], "left_semi").select(F.col("id").alias("ua"), F.col("h1").alias("ha"), F.col("set").alias("a")).dropDuplicates(["ua", "ha"])
+    right = sets.join(seconds, ["id", "h1"], "left_semi").select(F.col("id").alias("ub"), F.col("h1").alias("hb"), F.col("set").alias("b")).dropDuplicates(["ub", "hb"])
+    both = pairs.join(right, ["ub", "hb"]).join(left, ["ua", "ha"]).select("ua", "ub", "a", "b")
+    return materialize(arrow_map(both, run, "u long, v long", 500), "links")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -151,15 +181,23 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # the sketch of a class is that of its representative; an id with several texts may stand for several classes
     reps = materialize(classes.join(filled.withColumnRenamed("id", "rep"), ["rep", *key]).select("rep", "h1", "n", "s", "bands"), "reps")
     banded = reps.select("rep", F.explode("bands").alias("bucket"))
-    full = banded.groupBy("bucket").agg(F.count("*").alias("members"), F.min("rep").alias("least")).where(F.col("members") > 1)
-    member = materialize(banded.join(full, "bucket").select("bucket", "rep", "least"), "buckets")
+    full = banded.groupBy("bucket").agg(F.count("*").alias("members")).where(F.col("members") > 1)
+    member = materialize(banded.join(full, "bucket").select("bucket", "rep", "members"), "buckets")
     light = reps.select("rep", "h1", "n", "s")
     end = lambda x: light.select(F.col("rep").alias(f"u{x}"), F.col("h1").alias(f"h{x}"), F.col("n").alias(f"n{x}"), F.col("s").alias(f"s{x}"))
     pair = ["ua", "ha", "ub", "hb"]
 
-    led = member.where(F.col("rep") != F.col("least")).select(F.col("least").alias("ua"), F.col("rep").alias("ub")).distinct()
-    first = materialize(led.join(end("a"), "ua").join(end("b"), "ub").where(_plausible(percent)).select(*pair).distinct(), "pairs")
-    links = confirm(docs, first, percent)
+    # a bucket's leader is its member with the most bucket mates overall: of a group of copies, the one that is most alike to the others
+    degree = member.groupBy("rep").agg(F.sum("members").alias("degree"))
+    leader = member.join(degree, "rep").groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("rep")).alias("minus"))).alias("top"))
+    led = member.join(leader, "bucket").select((-F.col("top.minus")).alias("ua"), F.col("rep").alias("ub"), F.col("top.degree").alias("degree")).where(F.col("ua") != F.col("ub")).distinct()
+    may = led.join(end("a"), "ua").join(end("b"), "ub").where(_plausible(percent))
+    best = may.groupBy("ub", "hb").agg(F.max(F.struct("degree", (-F.col("ua")).alias("minus"), "ha")).alias("top"))
+    first = materialize(best.select((-F.col("top.minus")).alias("ua"), F.col("top.ha").alias("ha"), "ub", "hb"), "pairs")
+    ids = first.select(F.col("ua").alias("id"), F.col("ha").alias("h1")).unionByName(first.select(F.col("ub").alias("id"), F.col("hb").alias("h1"))).distinct()
+    sets = materialize(_sets(docs, ids), "sets")
+    links = confirm(first, sets, percent)
+    drop_materialized(sets)
     # an id with several texts links their classes
     several = filled.select("id", *key).distinct().join(classes, key).groupBy("id").agg(F.count("*").alias("k"), F.collect_set("rep").alias("reps")).where(F.col("k") > 1)
     links = links.unionByName(several.select(F.col("id").alias("u"), F.explode("reps").alias("v")))
@@ -169,15 +207,23 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     placed = member.select("bucket", "rep").join(label, F.col("rep") == F.col("vertex"), "left").select("bucket", "rep", F.coalesce("component", "rep").alias("comp"))
     split = placed.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where(F.col("low") != F.col("high")).select("bucket")
     mixed = materialize(placed.join(split, "bucket").distinct(), "mixed")
-    top = mixed.groupBy("bucket", "comp").agg(F.count("*").alias("k")).groupBy("bucket").agg(F.max(F.struct("k", "comp")).alias("top")).select("bucket", F.col("top.comp").alias("top"))
-    open_ = materialize(mixed.join(top, "bucket").join(light, "rep").select("bucket", "rep", "h1", "n", "s", "comp", "top"), "open")
-    a = open_.where(F.col("comp") != F.col("top")).select("bucket", F.col("rep").alias("ua"), F.col("h1").alias("ha"), F.col("n").alias("na"), F.col("s").alias("sa"), F.col("comp").alias("ca"))
-    b = open_.select("bucket", F.col("rep").alias("ub"), F.col("h1").alias("hb"), F.col("n").alias("nb"), F.col("s").alias("sb"), F.col("comp").alias("cb"), "top")
+    top = mixed.groupBy("bucket", "comp").agg(F.count("*").alias("k")).groupBy("bucket").agg(F.max(F.struct("k", "comp")).alias("top"), F.sum("k").alias("k"))
+    parts = F.ceil(F.col("k") / SPLIT).cast("int")
+    sets = materialize(_sets(docs, mixed.join(light, "rep").select(F.col("rep").alias("id"), "h1").distinct(), True), "sets")
+    known = light.join(sets.select(F.col("id").alias("rep"), "h1", "t"), ["rep", "h1"]).dropDuplicates(["rep", "h1"])
+    open_ = mixed.join(top.select("bucket", F.col("top.comp").alias("top"), parts.alias("parts")), "bucket").join(known, "rep")
+    open_ = materialize(open_.select("bucket", "rep", "h1", "n", "s", "t", "comp", "top", "parts"), "open")
+    side = lambda x: [F.col("rep").alias(f"u{x}"), F.col("h1").alias(f"h{x}"), F.col("n").alias(f"n{x}"), F.col("s").alias(f"s{x}"), F.col("t").alias(f"t{x}"), F.col("comp").alias(f"c{x}")]
+    # a large bucket is dealt to several tasks: one side split, the other repeated
+    a = open_.where(F.col("comp") != F.col("top")).select("bucket", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int").alias("part"), *side("a"))
+    b = open_.select("bucket", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), *side("b"), "top")
     once = (F.col("cb") == F.col("top")) | (F.col("ua") < F.col("ub"))
-    rest = a.join(b, (a["bucket"] == b["bucket"]) & (F.col("ca") != F.col("cb")) & once & _plausible(percent)).select(*pair).distinct()
+    same = (a["bucket"] == b["bucket"]) & (a["part"] == b["part"])
+    rest = a.join(b, same & (F.col("ca") != F.col("cb")) & once & _plausible(percent) & _long_plausible(percent)).select(*pair).distinct()
     swapped = first.select(F.col("ub").alias("ua"), F.col("hb").alias("ha"), F.col("ua").alias("ub"), F.col("ha").alias("hb"))
     rest = materialize(rest.join(first.unionByName(swapped), pair, "left_anti"), "pairs")
-    more = confirm(docs, rest, percent)
+    more = confirm(rest, sets, percent)
+    drop_materialized(sets)
     if not more.isEmpty():
         old = label.select(F.col("vertex").alias("u"), F.col("component").alias("v"))
         label = materialize(components(old.unionByName(more)), "labels")
