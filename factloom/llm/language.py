@@ -56,7 +56,7 @@ def grams(s: tb.Slice) -> tuple[np.ndarray, np.ndarray]:
     # one blank before each row; of a run of blanks only the first stays
     at = np.searchsorted(row, np.arange(s.rows))
     c, row = np.insert(c, at, 0), np.insert(row, at, np.arange(s.rows))
-    keep = np.r_[True, (c[1:] != 0) | (c[:-1] != 0)] if len(c) else np.zeros(0, bool)
+    keep = np.r_[True, (c[1:] != 0) | (c[:-1] != 0) | (row[1:] != row[:-1])] if len(c) else np.zeros(0, bool)
     c, row = c[keep], row[keep]
     out, rows = [], []
     for n in range(1, MAX_N + 1):
