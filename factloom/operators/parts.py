@@ -10,17 +10,21 @@ from factloom.functions.text import alnum_upper, compact, fold, text
 from factloom.operators.events import first_by_key, mode, top_per_group
 
 
-def frequency(mentions: DataFrame, family: str, event: str, quantity: str, uncertain: Column | None = None, examples: int = 0) -> DataFrame:
+def frequency(mentions: DataFrame, family: str, event: str, quantity: str, uncertain: Column | None = None) -> DataFrame:
     """Usage of each family: distinct events, pieces of stated quantity, mentions without one and uncertain mentions.
 
     Mentions of one event add their pieces but count the event once; an unstated quantity is not zero.
     """
-    more = [F.slice(F.array_sort(F.collect_set(event)), 1, examples).alias("example_events")] if examples else []
     return mentions.withColumn("_u", F.coalesce(uncertain, F.lit(False)) if uncertain is not None else F.lit(False)).groupBy(family).agg(
-        F.countDistinct(event).alias("repairs"), F.coalesce(F.sum(quantity), F.lit(0)).cast("long").alias("pieces"), F.count_if(F.col(quantity).isNull()).alias("unstated"), F.count_if("_u").alias("uncertain"), F.count("*").alias("mentions"), *more
+        F.countDistinct(event).alias("repairs"), F.coalesce(F.sum(quantity), F.lit(0)).cast("long").alias("pieces"), F.count_if(F.col(quantity).isNull()).alias("unstated"), F.count_if("_u").alias("uncertain"), F.count("*").alias("mentions")
     )
 
 
+def examples(mentions: DataFrame, family: str, event: str, n: int = 20) -> DataFrame:
+    """The n smallest events of each family, as rows."""
+    return top_per_group(mentions.select(family, event).distinct(), [family], [event], n)
+
+
 def component_key(part_number: str, description: str) -> Column:
     """pn: and the part number's letters and digits; else text: and the first 96 of the description; else its SHA-1."""
     pn = alnum_upper(part_number)
@@ -53,17 +57,22 @@ def descriptor_key(part_number: str, description: str, quote: str) -> Column:
 
 
 def descriptors(mentions: DataFrame, mention: str, event: str, part_number: str, description: str, quote: str) -> DataFrame:
-    """One row a descriptor key, with its id, spellings, mentions and events."""
+    """One row a descriptor key, with its id, spellings, and numbers of mentions and events."""
     keyed = mentions.withColumn("canonical_key", descriptor_key(part_number, description, quote))
-    some = lambda c: F.array_sort(F.collect_set(F.when(compact(c) != "", compact(c))))
-    out = keyed.groupBy("canonical_key").agg(some(part_number).alias("part_numbers"), some(description).alias("descriptions"), F.array_sort(F.collect_list(mention)).alias("mention_ids"), F.array_sort(F.collect_set(event)).alias("event_ids"))
+    some = lambda c: F.array_sort(F.collect_set(F.when(compact(c) != "", compact(c))))  # noqa: E731  the distinct spellings of one key
+    out = keyed.groupBy("canonical_key").agg(some(part_number).alias("part_numbers"), some(description).alias("descriptions"), F.count(mention).alias("mentions"), F.countDistinct(event).alias("events"))
     return out.withColumn("descriptor_id", content_id("d", "canonical_key"))
 
 
-def usage_by_group(mentions: DataFrame, membership: DataFrame, member: str, group: str, event: str, quantity: str) -> DataFrame:
-    """frequency() of groups given as (group, member ids): two joins through the exploded membership."""
-    bridge = membership.select(group, F.explode(member).alias("_m")).dropDuplicates(["_m", group])
-    return frequency(mentions.join(bridge, mentions["mention_id"] == F.col("_m")), group, event, quantity)
+def descriptor_members(mentions: DataFrame, mention: str, part_number: str, description: str, quote: str) -> DataFrame:
+    """(descriptor_id, mention) as rows: a descriptor of any number of mentions is never one row."""
+    return mentions.select(content_id("d", descriptor_key(part_number, description, quote)).alias("descriptor_id"), mention)
+
+
+def usage_by_group(mentions: DataFrame, members: DataFrame, member: str, group: str, event: str, quantity: str) -> DataFrame:
+    """frequency() of groups through their membership rows (group, member)."""
+    bridge = members.select(group, F.col(member).alias("_m")).distinct()
+    return frequency(mentions.join(bridge, mentions[member] == F.col("_m")), group, event, quantity)
 
 
 def pn_observations(mentions: DataFrame, part_number: str, event: str, quantity: str) -> DataFrame:

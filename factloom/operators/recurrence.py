@@ -53,14 +53,10 @@ def service_areas(label: Column, rules: dict[str, tuple[str, ...]] = SERVICE_ARE
     return all_matches([(area, contains_any(label, words)) for area, words in rules.items()], other)
 
 
-def area_rollup(groups: DataFrame, label: Column, group: str, log: str, serial: str, candidates: str, rules: dict[str, tuple[str, ...]] = SERVICE_AREAS) -> DataFrame:
-    """Distinct groups, logs and serials of each area. ``log`` and ``serial`` are arrays of a group; a group counts in each of its areas."""
-    tagged = groups.withColumn("service_area", F.explode(service_areas(label, rules)))
-    base = tagged.groupBy("service_area").agg(F.countDistinct(group).alias("groups"), F.sum(candidates).cast("long").alias("candidate_sum"))
-    logs = tagged.select("service_area", F.explode(log).alias("x")).groupBy("service_area").agg(F.countDistinct("x").alias("logs"))
-    serials = tagged.select("service_area", F.explode(serial).alias("x")).groupBy("service_area").agg(F.countDistinct("x").alias("serials"))
-    out = base.join(logs, "service_area", "left").join(serials, "service_area", "left")
-    return out.withColumns({"logs": F.coalesce("logs", F.lit(0)), "serials": F.coalesce("serials", F.lit(0))})
+def area_rollup(rows: DataFrame, label: Column, group: str, log: str, serial: str, rules: dict[str, tuple[str, ...]] = SERVICE_AREAS) -> DataFrame:
+    """Distinct groups, logs and serials, and candidate rows, of each area. ``rows``: the evidence rows of the groups; a group counts in each of its areas."""
+    tagged = rows.withColumn("service_area", F.explode(service_areas(label, rules)))
+    return tagged.groupBy("service_area").agg(F.countDistinct(group).alias("groups"), F.count("*").alias("candidate_sum"), F.countDistinct(log).alias("logs"), F.countDistinct(serial).alias("serials"))
 
 
 def area_patterns(groups: DataFrame, label: Column, order: list[Column | str], n: int = 8, rules: dict[str, tuple[str, ...]] = SERVICE_AREAS) -> DataFrame:
@@ -68,23 +64,28 @@ def area_patterns(groups: DataFrame, label: Column, order: list[Column | str], n
     return top_per_group(groups.withColumn("service_area", F.explode(service_areas(label, rules))), ["service_area"], order, n)
 
 
-def stocking(groups: DataFrame, label: Column, lane: str, group: str, variants: str, rules: dict = STOCKING, cues: tuple[str, ...] = ACTION_CUES) -> DataFrame:
-    """Items worth stocking, with their coverage.
+def stocking(rows: DataFrame, group: str, lane: str, label: Column, log: str, serial: str, body: str, rules: dict = STOCKING, cues: tuple[str, ...] = ACTION_CUES) -> DataFrame:
+    """Items worth stocking, with their coverage, from the evidence rows of the groups.
 
-    A group counts for an item if its label names it, with all its evidence rows; or, in the lane of repairs, if rows of two logs or more
-    both name the item and an action, with these rows alone. ``variants``: array of structs log_number, serial_number, raw_source_text.
+    A group counts for an item if its label names it, with all its rows; or, in the lane of repairs, if rows of two logs or more
+    both name the item and an action, with these rows alone.
     """
     items = F.array(*[F.struct(F.lit(k).alias("item"), F.lit(kind).alias("kind"), F.array(*[F.lit(w) for w in words]).alias("words")) for k, (words, kind) in rules.items()])
     holds = lambda s, words: F.exists(words, lambda w: F.contains(s, w))
-    each = groups.where(F.col(lane).isin("components", "repairs")).withColumn("_label", label).withColumn("_i", F.explode(items))
-    by_label = holds(F.col("_label"), F.col("_i.words"))
-    lower = F.transform(variants, lambda v: F.struct(v["log_number"].alias("log"), v["serial_number"].alias("serial"), F.lower(compact(v["raw_source_text"])).alias("t")))
-    acted = F.filter(lower, lambda v: holds(v["t"], F.col("_i.words")) & contains_any(v["t"], cues))
-    logs_of = lambda rows: F.array_distinct(F.filter(F.transform(rows, lambda v: v["log"]), lambda x: x.isNotNull()))
-    each = each.withColumns({"_basis": F.when(by_label, "label_match").when((F.col(lane) == "repairs") & (F.size(logs_of(acted)) >= 2), "repeated_explicit_action_evidence"), "_rows": F.when(by_label, lower).otherwise(acted)})
-    hit = each.where(F.col("_basis").isNotNull()).select(F.col("_i.item").alias("item"), F.col("_i.kind").alias("kind"), F.col(group).alias("_g"), "_basis", F.explode_outer("_rows").alias("_r"))
-    serial = F.when(F.col("_r.serial") != "?", F.col("_r.serial"))
-    return hit.groupBy("item", "kind").agg(F.countDistinct("_g").alias("groups"), F.countDistinct("_r.log").alias("logs"), F.countDistinct(serial).alias("serials"), F.countDistinct(F.when(F.col("_basis") == "label_match", F.col("_g"))).alias("by_label"))
+    known = rows.where(F.col(lane).isin("components", "repairs")).select(F.col(group).alias("_g"), lane, label.alias("_label"), F.col(log).alias("_log"), F.col(serial).alias("_serial"), F.lower(compact(body)).alias("_t"))
+    acted = contains_any(F.col("_t"), cues) & (F.col(lane) == "repairs")
+    found = known.withColumn("_acted", acted).select("_g", "_label", "_log", "_serial", "_t", F.explode(F.filter(items, lambda i: holds(F.col("_label"), i["words"]) | (F.col("_acted") & holds(F.col("_t"), i["words"])))).alias("_i"))
+    hit = found.select("_g", "_log", "_serial", F.col("_i.item").alias("item"), F.col("_i.kind").alias("kind"), holds(F.col("_label"), F.col("_i.words")).alias("_by_label"))
+    repeated = hit.where(~F.col("_by_label")).groupBy("item", "_g").agg(F.countDistinct("_log").alias("_k")).where(F.col("_k") >= 2).select("item", "_g")
+    hit = hit.where("_by_label").unionByName(hit.where(~F.col("_by_label")).join(repeated, ["item", "_g"], "left_semi").select(hit.columns))
+    return hit.groupBy("item", "kind").agg(
+        F.countDistinct("_g").alias("groups"), F.countDistinct("_log").alias("logs"), F.countDistinct(F.when(F.col("_serial").cast("string") != "?", F.col("_serial"))).alias("serials"), F.countDistinct(F.when(F.col("_by_label"), F.col("_g"))).alias("by_label")
+    )
+
+
+def evidence_of(groups: DataFrame, variants: str = "raw_variants") -> DataFrame:
+    """The evidence rows of groups that carry them in an array of structs; a group without rows gives one empty row."""
+    return groups.withColumn("_v", F.explode_outer(variants)).select(*[c for c in groups.columns if c != variants], "_v.*")
 
 
 def repeated_lines(docs: DataFrame, key: str, body: str, shortest: int = 18, least: int = 2) -> DataFrame:

@@ -85,7 +85,7 @@ def descriptors(spark: SparkSession, d: str) -> DataFrame:
     m = _mentions(spark, d)
     pn = F.when(F.col("l_linenumber") % 3 == 0, F.concat(F.lit("qx "), "l_partkey")).when(F.col("l_linenumber") % 3 == 1, F.concat(F.lit("QX-"), "l_partkey")).otherwise("")
     out = parts.descriptors(m.withColumns({"pn": pn, "mention_id": F.col("l_orderkey") * 10 + F.col("l_linenumber")}), "mention_id", "l_orderkey", "pn", "p_name", "p_name")
-    return out.select("canonical_key", "descriptor_id", F.size("mention_ids").cast("long").alias("mentions"), F.size("event_ids").cast("long").alias("events"))
+    return out.select("canonical_key", "descriptor_id", "mentions", "events")
 
 
 @query(
@@ -95,12 +95,10 @@ WITH m AS ({_MENTIONS_SQL}) SELECT concat('size-', p_size % 7) AS family, count(
 """,
 )
 def family_membership_usage(spark: SparkSession, d: str) -> DataFrame:
-    """Mentions to descriptors (parts) to families, through the families' member lists."""
-    part = table(spark, d, "part")
-    bucket = F.concat(F.lit("size-"), F.col("p_size") % 7)
-    salted = part.groupBy(bucket.alias("family"), F.pmod("p_partkey", F.lit(64)).alias("salt")).agg(F.collect_list("p_partkey").alias("members"))
-    m = table(spark, d, "lineitem").select("l_orderkey", F.col("l_partkey").alias("mention_id"), F.when(F.col("l_linenumber") % 5 != 0, F.col("l_quantity").cast("int")).alias("q"))
-    return parts.usage_by_group(m, salted, "members", "family", "l_orderkey", "q")
+    """Mentions to descriptors (parts) to families, through the families' membership rows."""
+    members = table(spark, d, "part").select(F.concat(F.lit("size-"), F.col("p_size") % 7).alias("family"), F.col("p_partkey").alias("l_partkey"))
+    m = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", F.when(F.col("l_linenumber") % 5 != 0, F.col("l_quantity").cast("int")).alias("q"))
+    return parts.usage_by_group(m, members, "l_partkey", "family", "l_orderkey", "q")
 
 
 @query(
@@ -132,9 +130,7 @@ FROM t JOIN n ON n.l_partkey = t.p_partkey GROUP BY t.service_area
 """,
 )
 def service_area_rollup(spark: SparkSession, d: str) -> DataFrame:
-    use = table(spark, d, "lineitem").groupBy("l_partkey").agg(F.collect_set("l_orderkey").alias("logs"), F.collect_set("l_suppkey").alias("serials"), F.count("*").alias("c"))
-    groups = table(spark, d, "part").join(use, F.col("p_partkey") == F.col("l_partkey"))
-    return recurrence.area_rollup(groups, F.lower("p_name"), "p_partkey", "logs", "serials", "c", _AREAS)
+    return recurrence.area_rollup(_mentions(spark, d), F.lower("p_name"), "l_partkey", "l_orderkey", "l_suppkey", _AREAS)
 
 
 @query(
@@ -151,7 +147,7 @@ def service_area_patterns(spark: SparkSession, d: str) -> DataFrame:
 
 
 _STOCK = {"Rings": (("ring",), "wear item"), "Widgets": (("widget",), "rebuild item"), "Bolts": (("bolt",), "hardware")}
-_CUES = ("polished", "plated", "brushed")
+_CUES = ("promo", "economy", "standard")
 
 
 @query(
@@ -160,18 +156,15 @@ _CUES = ("polished", "plated", "brushed")
 WITH i(item, kind, word) AS (VALUES ('Rings', 'wear item', 'ring'), ('Widgets', 'rebuild item', 'widget'), ('Bolts', 'hardware', 'bolt')),
 v AS (SELECT p_brand AS g, l_orderkey AS log, l_suppkey AS serial, lower(p_name || ' ' || p_type) AS t FROM lineitem JOIN part ON l_partkey = p_partkey),
 b AS (SELECT DISTINCT p_brand AS g, lower(p_mfgr) AS label FROM part),
-h AS (SELECT item, kind, g, log, serial FROM i JOIN v ON contains(t, word) AND (contains(t, 'polished') OR contains(t, 'plated') OR contains(t, 'brushed'))),
+h AS (SELECT item, kind, g, log, serial FROM i JOIN v ON contains(t, word) AND (contains(t, 'promo') OR contains(t, 'economy') OR contains(t, 'standard'))),
 ok AS (SELECT item, g FROM h GROUP BY item, g HAVING count(DISTINCT log) >= 2)
 SELECT item, kind, count(DISTINCT h.g) AS groups, count(DISTINCT log) AS logs, count(DISTINCT serial) AS serials, CAST(0 AS BIGINT) AS by_label FROM h JOIN ok USING (item, g) GROUP BY item, kind
 """,
 )
 def stocking_attention(spark: SparkSession, d: str) -> DataFrame:
-    """Brands as groups of the lane of repairs, with their lines as evidence rows, dealt in parts of a brand and order range."""
-    rows = _mentions(spark, d)
-    v = F.struct(F.col("l_orderkey").cast("string").alias("log_number"), F.col("l_suppkey").cast("string").alias("serial_number"), F.concat_ws(" ", "p_name", "p_type").alias("raw_source_text"))
-    acted = F.lower(F.concat_ws(" ", "p_name", "p_type")).rlike("polished|plated|brushed")
-    groups = rows.where(acted).groupBy(F.col("p_brand").alias("g")).agg(F.collect_set(v).alias("variants")).withColumn("lane", F.lit("repairs"))
-    return recurrence.stocking(groups, F.lit(""), "lane", "g", "variants", _STOCK, _CUES)
+    """Brands as groups of the lane of repairs, lines as their evidence rows."""
+    rows = _mentions(spark, d).withColumns({"lane": F.lit("repairs"), "t": F.concat_ws(" ", "p_name", "p_type")})
+    return recurrence.stocking(rows, "p_brand", "lane", F.lit(""), "l_orderkey", "l_suppkey", "t", _STOCK, _CUES)
 
 
 _NOTE_SQL = "CASE l_linenumber % 4 WHEN 0 THEN concat('Replaced ', CAST(l_quantity AS INT), ' belts for A1') WHEN 1 THEN concat('Installed belts x', CAST(l_quantity AS INT), ' on Y') WHEN 2 THEN concat('Cleaned belts, may be due to wear (', CAST(l_quantity AS INT), ' total)') ELSE 'belts slipping caused by wear' END"

@@ -25,10 +25,10 @@ s AS (SELECT *, lower(trim(regexp_replace(primary_value || ' ' || title || ' ' |
 """
 
 
-@query("trigram_search", f"WITH {_ITEMS_SQL} SELECT item_key FROM s WHERE contains(t, 'red') AND contains(t, 'steel')")
+@query("trigram_search", f"WITH {_ITEMS_SQL} SELECT item_key FROM s WHERE contains(t, 'red') AND contains(t, 'ring')")
 def trigram_search(spark: SparkSession, d: str) -> DataFrame:
     items = _items(spark, d)
-    return search.candidates(search.postings(items, "item_key", "search_text"), items, "item_key", "search_text", "Red steel").select("item_key")
+    return search.candidates(search.postings(items, "item_key", "search_text"), items, "item_key", "search_text", "Red ring").select("item_key")
 
 
 @query(
