@@ -126,7 +126,7 @@ def human_bytes(c: ColumnOrName) -> Column:
 
 def strip_rtf(c: ColumnOrName) -> Column:
     """Text of an RTF document without control words, groups and hexadecimal escapes."""
-    s = F.regexp_replace(text(c), r"\\par[d]?\b", "\n")
+    s = F.regexp_replace(text(c), r"\\pard?\b ?", "\n")
     s = F.regexp_replace(s, r"\\'[0-9A-Fa-f]{2}", " ")
     s = F.regexp_replace(s, r"\\[A-Za-z]+-?[0-9]* ?", "")
     return F.trim(F.regexp_replace(s, r"[{}]", ""))
@@ -162,8 +162,8 @@ def supported_slice(source: ColumnOrName, quote: ColumnOrName) -> Column:
 
 
 def rating_tokens(c: ColumnOrName) -> Column:
-    """Electrical ratings such as 15A, 600V, 10UF or 5OHM, blanks removed, distinct and sorted."""
-    s = F.translate(F.upper(text(c)), "µ", "U")
+    """Electrical ratings such as 15A, 600V, 10UF or 5OHM, blanks removed, distinct and sorted. A micro sign is no U: only UF counts."""
+    s = F.upper(text(c))
     found = F.regexp_extract_all(s, F.lit(r"\b[0-9]+(?:\.[0-9]+)?\s*(?:AMPS|AMP|A|V|UF|PF|NF|OHMS|OHM)\b"), F.lit(0))
     return F.array_sort(F.array_distinct(F.transform(found, lambda t: F.regexp_replace(t, r"\s+", ""))))
 

@@ -84,7 +84,7 @@ def xlsx_text(raw: bytes) -> str:
 
 
 def rtf_text(raw: bytes) -> str:
-    s = re.sub(r"\\par[d]?\b", "\n", decode(raw))
+    s = re.sub(r"\\pard?\b ?", "\n", decode(raw))
     s = re.sub(r"\\'[0-9A-Fa-f]{2}", " ", s)
     return re.sub(r"[{}]", "", re.sub(r"\\[A-Za-z]+-?\d* ?", "", s)).strip()
 
