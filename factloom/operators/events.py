@@ -11,12 +11,22 @@ from factloom.functions.ids import sample_key
 from factloom.functions.rules import first_match
 
 
-def deterministic_sample(rows: DataFrame, key: str, percent: float, seed: str) -> DataFrame:
-    """The ceil(n * percent / 100) rows with the smallest keyed hashes, as (key, sample_hash, sample_rank)."""
+def deterministic_sample(rows: DataFrame, key: str, percent: float, seed: str, range_rows: int = 50_000) -> DataFrame:
+    """The ceil(n * percent / 100) rows with the smallest keyed hashes, as (key, sample_hash, sample_rank).
+
+    Hashes are uniform, so their leading digits are ranges of about equal size. The sizes of the ranges give the rank of each
+    range's first row; only ranges below the cut are sorted, each on its own.
+    """
     hashed = rows.select(key).distinct().withColumn("sample_hash", sample_key(key, seed))
-    n = math.ceil(hashed.count() * percent / 100)
-    # the rank of few rows: only those below the cut are sorted
-    return hashed.orderBy("sample_hash", key).limit(n).withColumn("sample_rank", F.row_number().over(Window.orderBy("sample_hash", key)))
+    total = hashed.count()
+    n = math.ceil(total * percent / 100)
+    digits = max(1, math.ceil(math.log(max(total / range_rows, 1), 16)))
+    hashed = hashed.withColumn("_range", F.substring("sample_hash", 1, digits))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = hashed.groupBy("_range").agg(F.count("*").alias("k")).select("_range", F.coalesce(F.sum("k").over(before), F.lit(0)).alias("_ahead")).where(F.col("_ahead") < n)
+    place = F.row_number().over(Window.partitionBy("_range").orderBy("sample_hash", key))
+    out = hashed.join(ranges, "_range").withColumn("sample_rank", (F.col("_ahead") + place).cast("int" if total < 2**31 else "long"))
+    return out.where(F.col("sample_rank") <= n).select(key, "sample_hash", "sample_rank")
 
 
 def with_reason(rows: DataFrame, rules: list[tuple[str, Column]], name: str = "exclusion_reason") -> DataFrame:
