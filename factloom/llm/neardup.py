@@ -31,12 +31,14 @@ from factloom.storage import drop_materialized, materialize
 
 SHINGLE, PERCENT = 5, 75
 HASHES, BANDS, SEED = 128, 32, 3
-_BLOCK = 4096
+_BLOCK = 1 << 19
 _SIEVE_BITS = 1 << 26
 #: Bits of the second signature, for members of buckets that hold several components.
-LONG_BITS = 2048
-#: Members of a bucket that one task compares with the others, about.
-SPLIT = 256
+LONG_BITS = 4096
+#: Members on either side of a block, about.
+SPLIT = 512
+#: Members of a bucket that is compared by a join; larger ones are compared in blocks.
+SMALL = 48
 
 
 def _family(n: int = HASHES, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
@@ -46,9 +48,9 @@ def _family(n: int = HASHES, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
 
 def minima(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Least value of each hash a*x+b mod 2**64 over the set."""
-    m = None
-    for i in range(0, len(x), _BLOCK):
-        z = np.multiply.outer(a, x[i : i + _BLOCK])
+    m, width = None, max(1, _BLOCK // len(a))
+    for i in range(0, len(x), width):
+        z = np.multiply.outer(a, x[i : i + width])
         z += b[:, None]
         z = z.min(axis=1)
         m = z if m is None else np.minimum(m, z)
@@ -135,12 +137,16 @@ def bits_differ() -> Column:
     return sum(F.bit_count(F.get(F.col("sa"), F.lit(i)).bitwiseXOR(F.get(F.col("sb"), F.lit(i)))) for i in range(4))
 
 
+def _sizes(percent: int) -> Column:
+    return 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+
+
 def _plausible(percent: int) -> Column:
     """Sizes allow the similarity, and the bits do not rule it out by 4.8 standard deviations."""
     j = percent / 100
     differ = 256 * (1 - j) / 2
     most = differ + 4.8 * np.sqrt(2 * 128 * j * (1 - j) / 2)
-    return (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (bits_differ() <= int(most))
+    return _sizes(percent) & (bits_differ() <= int(most))
 
 
 def _long_plausible(percent: int) -> Column:
@@ -150,6 +156,58 @@ def _long_plausible(percent: int) -> Column:
     return differ <= int(LONG_BITS * p + 4.8 * np.sqrt(LONG_BITS * p * (1 - p)))
 
 
+_SIDE = ("rep", "h1", "n", "keys", "t", "comp")
+_PAIR = "ua long, ha long, ub long, hb long"
+
+
+def _within_small(open_: DataFrame, percent: int) -> DataFrame:
+    """Plausible pairs of different components in small buckets, at most one of a pair in the largest component; by a join."""
+    side = lambda x: [F.col(c).alias(f"{v}{x}") for c, v in zip(_SIDE, "uhnktc", strict=True)]
+    a = open_.where(F.col("comp") != F.col("top")).select("bucket", *side("a"))
+    b = open_.select("bucket", *side("b"), "top")
+    once = (F.col("cb") == F.col("top")) | (F.col("ua") < F.col("ub"))
+    # a pair of many buckets comes out once: of the one with the least key (32 bits of each key are compared)
+    first_shared = F.array_min(F.array_intersect("ka", "kb")) == (a["bucket"].bitwiseAND(F.lit(0xFFFFFFFF)) - F.lit(1 << 31)).cast("int")
+    return a.join(b, (a["bucket"] == b["bucket"]) & (F.col("ca") != F.col("cb")) & once & _sizes(percent) & _long_plausible(percent) & first_shared).select("ua", "ha", "ub", "hb")
+
+
+def _within_large(open_: DataFrame, percent: int) -> DataFrame:
+    """The same in large buckets: blocks of at most about SPLIT by SPLIT members, each compared as bit matrices."""
+    n = F.ceil(F.col("k") / SPLIT).cast("int")
+    own, every = F.pmod(F.xxhash64("rep"), n).cast("int"), F.explode(F.sequence(F.lit(0), n - 1))
+    a = open_.where(F.col("comp") != F.col("top")).select("bucket", own.alias("pa"), every.alias("pb"), *_SIDE)
+    b = open_.select("bucket", every.alias("pa"), own.alias("pb"), *_SIDE, "top")
+    p = (1 - percent / 100) / 2
+    most = int(LONG_BITS * p + 4.8 * np.sqrt(LONG_BITS * p * (1 - p)))
+    schema = pa.schema([(c.split()[0], pa.int64()) for c in _PAIR.split(", ")])
+
+    def matrix(t: pa.Table, c: str, kind) -> np.ndarray:
+        return t[c].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(t.num_rows, -1).view(kind)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return schema.empty_table()
+        x, y = ({c: t[c].to_numpy() for c in ("rep", "h1", "n", "comp")} for t in (left, right))
+        tx, ty, kx, ky = matrix(left, "t", np.uint64), matrix(right, "t", np.uint64), matrix(left, "keys", np.int32), matrix(right, "keys", np.int32)
+        bucket = (int(left["bucket"][0].as_py()) & 0xFFFFFFFF) - (1 << 31)
+        out = []
+        for i in range(0, left.num_rows, 32):
+            u = {c: v[i : i + 32, None] for c, v in x.items()}
+            differ = np.bitwise_count(tx[i : i + 32, None, :] ^ ty[None, :, :]).sum(axis=2, dtype=np.int32)
+            good = (differ <= most) & (u["comp"] != y["comp"]) & ((y["comp"] == right["top"].to_numpy()) | (u["rep"] < y["rep"]))
+            good &= 100 * np.minimum(u["n"], y["n"]) >= percent * np.maximum(u["n"], y["n"])
+            j, k = np.nonzero(good)
+            j = j + i
+            least = np.where(kx[j] == ky[k], kx[j].astype(np.int64), 1 << 31).min(axis=1) if len(j) else j
+            keep = least == bucket
+            out.append(np.column_stack([x["rep"][j[keep]], x["h1"][j[keep]], y["rep"][k[keep]], y["h1"][k[keep]]]))
+        found = np.concatenate(out)
+        return pa.Table.from_arrays([pa.array(c) for c in found.T.copy()], schema=schema)
+
+    key = ["bucket", "pa", "pb"]
+    return a.groupBy(*key).cogroup(b.groupBy(*key)).applyInArrow(run, _PAIR)
+
+
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (ua, ha, ub, hb) whose full sets are similar enough, as (u, v)."""
 
@@ -208,18 +266,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     split = placed.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where(F.col("low") != F.col("high")).select("bucket")
     mixed = materialize(placed.join(split, "bucket").distinct(), "mixed")
     top = mixed.groupBy("bucket", "comp").agg(F.count("*").alias("k")).groupBy("bucket").agg(F.max(F.struct("k", "comp")).alias("top"), F.sum("k").alias("k"))
-    parts = F.ceil(F.col("k") / SPLIT).cast("int")
     sets = materialize(_sets(docs, mixed.join(light, "rep").select(F.col("rep").alias("id"), "h1").distinct(), True), "sets")
-    known = light.join(sets.select(F.col("id").alias("rep"), "h1", "t"), ["rep", "h1"]).dropDuplicates(["rep", "h1"])
-    open_ = mixed.join(top.select("bucket", F.col("top.comp").alias("top"), parts.alias("parts")), "bucket").join(known, "rep")
-    open_ = materialize(open_.select("bucket", "rep", "h1", "n", "s", "t", "comp", "top", "parts"), "open")
-    side = lambda x: [F.col("rep").alias(f"u{x}"), F.col("h1").alias(f"h{x}"), F.col("n").alias(f"n{x}"), F.col("s").alias(f"s{x}"), F.col("t").alias(f"t{x}"), F.col("comp").alias(f"c{x}")]
-    # a large bucket is dealt to several tasks: one side split, the other repeated
-    a = open_.where(F.col("comp") != F.col("top")).select("bucket", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int").alias("part"), *side("a"))
-    b = open_.select("bucket", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), *side("b"), "top")
-    once = (F.col("cb") == F.col("top")) | (F.col("ua") < F.col("ub"))
-    same = (a["bucket"] == b["bucket"]) & (a["part"] == b["part"])
-    rest = a.join(b, same & (F.col("ca") != F.col("cb")) & once & _plausible(percent) & _long_plausible(percent)).select(*pair).distinct()
+    keys = F.transform("bands", lambda x: x.bitwiseAND(F.lit(0xFFFFFFFF)) - F.lit(1 << 31)).cast("array<int>")
+    known = reps.select("rep", "h1", "n", keys.alias("keys")).join(sets.select(F.col("id").alias("rep"), "h1", "t"), ["rep", "h1"]).dropDuplicates(["rep", "h1"])
+    open_ = mixed.join(top.select("bucket", F.col("top.comp").alias("top"), "k"), "bucket").join(known, "rep")
+    open_ = materialize(open_.select("bucket", "k", "rep", "h1", "n", "keys", "t", "comp", "top"), "open")
+    rest = _within_small(open_.where(F.col("k") <= SMALL), percent).unionByName(_within_large(open_.where(F.col("k") > SMALL), percent)).distinct()
     swapped = first.select(F.col("ub").alias("ua"), F.col("hb").alias("ha"), F.col("ua").alias("ub"), F.col("ha").alias("hb"))
     rest = materialize(rest.join(first.unionByName(swapped), pair, "left_anti"), "pairs")
     more = confirm(rest, sets, percent)

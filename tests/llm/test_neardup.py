@@ -72,3 +72,23 @@ def test_components(spark):
     links = spark.createDataFrame([(5, 4), (4, 3), (3, 2), (2, 1), (9, 8), (8, 9), (7, 7)], "u long, v long")
     assert {r.vertex: r.component for r in components(links).collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 8: 8, 9: 8}
     assert components(links.limit(0)).count() == 0
+
+
+def test_blocks_give_the_same_as_joins(spark, monkeypatch):
+    """Near-threshold copies without a hub: every way of comparing a bucket finds the same components."""
+    import random
+
+    rng = random.Random(6)
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for k in range(90):
+        v = list(base)
+        for at in rng.sample(range(120), 3):
+            v[at] = f"n{k}x{at}"
+        rows.append((k, " ".join(v)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = brute(rows)
+    for small, split in ((48, 512), (1, 16), (1000, 512)):
+        monkeypatch.setattr(neardup, "SMALL", small)
+        monkeypatch.setattr(neardup, "SPLIT", split)
+        assert {r.doc_id: r.component_id for r in neardup.near_duplicates(docs).collect()} == expected
