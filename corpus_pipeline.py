@@ -12,7 +12,7 @@ from factloom.storage import materialize
 def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts (score of 0.3 or more)."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model, only_accepted=True).select(*docs.columns)
+    return quality.accepted(docs, model)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -66,11 +66,11 @@ def annotate(docs: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, pa.Array]
     """``docs`` with columns that ``fn`` makes from each Arrow batch.
 
     reads: the text column that ``fn`` needs. keep: the input columns that stay, all of them if None. Input columns named as a new one are replaced.
-    ``fn`` may return a boolean array under ``where``; then only the rows it marks stay.
+    ``fn`` may return a boolean array under ``where``; then only the rows it marks stay. Without ``fields`` it is a filter.
     """
     from pyspark.sql.types import StructType, _parse_datatype_string
 
-    new = _parse_datatype_string(fields)
+    new = _parse_datatype_string(fields) if fields else StructType([])
     names = [c for c in (docs.columns if keep is None else keep) if c not in new.names]
     read = names + [c for c in (reads,) if c not in names and c in docs.columns]
     schema = StructType([docs.schema[c] for c in names] + list(new.fields))

@@ -29,7 +29,7 @@ from factloom.storage import materialize
 WEIGHTS, SHARE, EPOCHS, SEED = (5, 2, 1), 1.5, 2, 11
 #: Rows of a (source, range) pair at most, about, and the least number of ranges.
 RANGE_ROWS, LEAST_BITS = 50_000, 8
-_OWN = ["size", "source_size", "target", "taken", "_key", "_range"]
+_OWN = ["size", "source_size", "target", "taken"]
 
 
 def word_count(text: str | Column = "text") -> Column:
@@ -63,29 +63,30 @@ def _targets(sizes: DataFrame, weights: tuple[int, ...], share: float, epochs: i
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, epochs: int = EPOCHS, seed: int = SEED) -> DataFrame:
     """``docs`` with size, source_size, target and taken."""
     names = [c for c in docs.columns if c not in _OWN]
-    bits = min(40, max(LEAST_BITS, math.ceil(math.log2(max(docs.count(), 1) / RANGE_ROWS)) if docs.count() else LEAST_BITS))
-    rows = docs.select(*names, word_count().alias("size"), random_key(seed).alias("_key"))
-    rows = rows.withColumn("_range", F.shiftright(F.conv("_key", 16, 10).cast("long"), 60 - bits))
-    ranges = materialize(rows.groupBy("source", "_range").agg(F.sum("size").alias("words")), "ranges")
-    before = Window.partitionBy("source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges_before = ranges.select("source", "_range", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("ahead"))
+    bits = min(40, max(LEAST_BITS, math.ceil(math.log2(max(docs.count(), 1) / RANGE_ROWS))))
+    rows = docs.select(*names, word_count().alias("size"), random_key(seed).alias("__key"))
+    rows = rows.withColumn("__range", F.shiftright(F.conv("__key", 16, 10).cast("long"), 60 - bits))
+    ranges = materialize(rows.groupBy("source", "__range").agg(F.sum("size").alias("words")), "ranges")
+    before = Window.partitionBy("source").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges_before = ranges.select("source", "__range", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("__ahead"))
     targets = _targets(ranges.groupBy("source").agg(F.sum("words").alias("source_size")), weights, share, epochs)
-    plan = ranges_before.alias("r").join(targets.alias("t"), F.col("r.source").eqNullSafe(F.col("t.source"))).select(F.col("r.source").alias("_source"), F.col("_range").alias("_r"), "ahead", "source_size", "target")
+    plan = ranges_before.alias("r").join(targets.alias("t"), F.col("r.source").eqNullSafe(F.col("t.source"))).select(F.col("r.source").alias("__source"), F.col("__range").alias("__r"), "__ahead", F.col("source_size").alias("__size"), F.col("target").alias("__target"))
     plan = materialize(plan, "mix-plan")
-    local = Window.partitionBy("source", "_range").orderBy("_key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_within", F.coalesce(F.sum("size").over(local), F.lit(0)))
-    rows = rows.join(plan, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_range") == F.col("_r")))
-    full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    rest = F.col("target") - full * F.col("source_size")
-    part = F.when(2.0 * (F.col("ahead") + F.col("_within")) + F.col("size") <= 2.0 * rest, 1).otherwise(0)
-    return rows.select(*names, "size", "source_size", "target", (F.col("size") * F.least(full + part, F.lit(epochs))).cast("long").alias("taken"))
+    local = Window.partitionBy("source", "__range").orderBy("__key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("__within", F.coalesce(F.sum("size").over(local), F.lit(0)))
+    rows = rows.join(plan, F.col("source").eqNullSafe(F.col("__source")) & (F.col("__range") == F.col("__r")))
+    full = F.when(F.col("__size") > 0, F.floor(F.col("__target") / F.col("__size"))).otherwise(0)
+    rest = F.col("__target") - full * F.col("__size")
+    part = F.when(2.0 * (F.col("__ahead") + F.col("__within")) + F.col("size") <= 2.0 * rest, 1).otherwise(0)
+    return rows.select(*names, "size", F.col("__size").alias("source_size"), F.col("__target").alias("target"), (F.col("size") * F.least(full + part, F.lit(epochs))).cast("long").alias("taken"))
 
 
 def mixture(docs: DataFrame, **how) -> DataFrame:
     """The rows of ``docs`` that the mix takes, each as often as it takes it, with the columns of ``docs``."""
-    took = mix(docs, **how).where(F.col("taken") > 0)
-    again = F.explode(F.array_repeat(F.lit(True), (F.col("taken") / F.col("size")).cast("int"))).alias("_epoch")
-    return took.select(*docs.columns, again).select(*docs.columns)
+    held = docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("__row"))
+    took = mix(held, **how).where(F.col("taken") > 0)
+    again = F.explode(F.array_repeat(F.col("__row"), (F.col("taken") / F.col("size")).cast("int"))).alias("__row")
+    return took.select(again).select("__row.*")
 
 
 #: The rows of mix() on the table documents, for DuckDB.

@@ -291,5 +291,5 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 def deduplicate(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each group of near duplicates, all columns kept."""
     verdict = near_duplicates(docs, percent)
-    gone = verdict.where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("gone_id"), "left_anti")
+    gone = verdict.where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == F.col("__gone"), "left_anti")

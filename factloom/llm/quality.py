@@ -183,17 +183,23 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", limit: int
     return model
 
 
-def score(docs: DataFrame, model: Model, threshold: float = 0.3, keep: list[str] | None = None, only_accepted: bool = False) -> DataFrame:
-    """``docs`` with quality_score (0 to 1) and quality_ok; with ``only_accepted``, the accepted rows."""
+def score(docs: DataFrame, model: Model, threshold: float = 0.3, keep: list[str] | None = None) -> DataFrame:
+    """``docs`` with quality_score (0 to 1) and quality_ok."""
     ship = docs.sparkSession.sparkContext.broadcast(model)  # fixed size: statistics x features
 
     def run(b):
         p = ship.value.score(_all_statistics(b["text"]))
-        return {"quality_score": p, "quality_ok": p >= threshold} | ({"where": p >= threshold} if only_accepted else {})
+        return {"quality_score": p, "quality_ok": p >= threshold}
 
     return annotate(docs, run, "quality_score double, quality_ok boolean", keep)
 
 
+def accepted(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` that score ``threshold`` or more, their columns unchanged."""
+    ship = docs.sparkSession.sparkContext.broadcast(model)  # fixed size
+    return annotate(docs, lambda b: {"where": ship.value.score(_all_statistics(b["text"])) >= threshold}, "")
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, limit: int = SAMPLE) -> DataFrame:
     """doc_id, held_out, score, predicted for every document."""
     out = score(docs, fit(docs, labels, limit=limit), threshold, ["doc_id"])

@@ -89,29 +89,29 @@ def _fences(sketches: DataFrame) -> list[Column]:
 
 
 def thresholds(measured: DataFrame) -> DataFrame:
-    """lang_key, source_key and a fence for each rate, one row a group."""
-    keyed = measured.where(F.col("n_words") > 0).select(F.coalesce("lang", F.lit("\0")).alias("lang_key"), F.coalesce("source", F.lit("\0")).alias("source_key"), *RATES)
-    groups = keyed.groupBy("lang_key", "source_key").agg(F.count("*").alias("n"), *[F.kll_sketch_agg_double(r, F.lit(SKETCH_K)).alias(f"{r}_sketch") for r in RATES])
+    """The group's keys and a fence for each rate, one row a group."""
+    keyed = measured.where(F.col("n_words") > 0).select(F.coalesce("lang", F.lit("\0")).alias("__lang"), F.coalesce("source", F.lit("\0")).alias("__source"), *RATES)
+    groups = keyed.groupBy("__lang", "__source").agg(F.count("*").alias("n"), *[F.kll_sketch_agg_double(r, F.lit(SKETCH_K)).alias(f"{r}_sketch") for r in RATES])
     merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(f"{r}_sketch").alias(f"{r}_sketch") for r in RATES]]
     groups = materialize(groups, "sketches")
-    own = groups.select("lang_key", "source_key", "n", *_fences(groups))
-    by_lang = groups.groupBy("lang_key").agg(*merged)
-    by_lang = by_lang.select("lang_key", F.col("n").alias("lang_n"), *[c.alias(f"lang_{r}") for c, r in zip(_fences(by_lang), RATES, strict=True)])
+    own = groups.select("__lang", "__source", "n", *_fences(groups))
+    by_lang = groups.groupBy("__lang").agg(*merged)
+    by_lang = by_lang.select("__lang", F.col("n").alias("lang_n"), *[c.alias(f"lang_{r}") for c, r in zip(_fences(by_lang), RATES, strict=True)])
     overall = groups.agg(*merged)
     overall = overall.where(F.col("n") > 0).select(*[c.alias(f"all_{r}") for c, r in zip(_fences(overall), RATES, strict=True)])
-    joined = own.join(by_lang, "lang_key").join(F.broadcast(overall))  # one row
+    joined = own.join(by_lang, "__lang").join(F.broadcast(overall))  # one row
     pick = lambda r: F.when(F.col("n") >= SUPPORT, F.col(f"{r}_fence")).when(F.col("lang_n") >= SUPPORT, F.col(f"lang_{r}")).otherwise(F.col(f"all_{r}"))
-    return joined.select("lang_key", "source_key", *[pick(r).alias(f"{r}_fence") for r in RATES])
+    return joined.select("__lang", "__source", *[pick(r).alias(f"{r}_fence") for r in RATES])
 
 
 def judge(measured: DataFrame, fences: DataFrame) -> DataFrame:
     """``measured`` with kept: the base rules passed and no rate above its fence."""
-    keyed = measured.withColumns({"lang_key": F.coalesce("lang", F.lit("\0")), "source_key": F.coalesce("source", F.lit("\0"))})
+    keyed = measured.withColumns({"__lang": F.coalesce("lang", F.lit("\0")), "__source": F.coalesce("source", F.lit("\0"))})
     within = ~F.col("base_failed")
     for r in RATES:
         within &= F.col(r) <= F.col(f"{r}_fence")
-    out = keyed.join(fences, ["lang_key", "source_key"], "left").withColumn("kept", F.coalesce(within, F.lit(False)))
-    return out.drop("lang_key", "source_key", *[f"{r}_fence" for r in RATES])
+    out = keyed.join(fences, ["__lang", "__source"], "left").withColumn("kept", F.coalesce(within, F.lit(False)))
+    return out.drop("__lang", "__source", *[f"{r}_fence" for r in RATES])
 
 
 def rule_verdicts(docs: DataFrame) -> DataFrame:

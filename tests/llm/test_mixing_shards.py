@@ -40,6 +40,17 @@ def test_reruns_agree_and_mixture_repeats(docs, nothing):
 def test_clashing_columns(docs):
     out = mixing.mix(docs.withColumn("size", F.lit("x")).withColumn("taken", F.lit("y")))
     assert dict(out.dtypes)["size"] == "bigint" and out.columns.count("taken") == 1
+    odd = docs.withColumns({c: F.lit("mine") for c in ("size", "taken", "ahead", "target", "leaks", "quality_score", "gone_id", "lang_key", "n_words")})
+    kept = mixing.mixture(odd)
+    assert kept.columns == odd.columns and {r["size"] for r in kept.select("size").distinct().collect()} == {"mine"}
+    from factloom.llm import decontaminate, neardup, quality, rules
+
+    assert neardup.deduplicate(odd).columns == odd.columns
+    benchmark = docs.sparkSession.createDataFrame([(1, "some words that nobody wrote before now")], "item_id long, text string")
+    assert {r.leaks for r in decontaminate.clean(odd, benchmark).select("leaks").distinct().collect()} == {"mine"}
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    assert quality.accepted(odd, quality.fit(odd, labels)).columns == odd.columns
+    assert rules.rule_verdicts(odd).count() == docs.count()
 
 
 def test_plan_merges_full_tiers_only():
