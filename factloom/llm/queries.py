@@ -24,6 +24,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 SQL: dict[str, str] = {
     "op2_mixing": mixing.SQL,
+    # the synthetic pages mark their article; SQL takes it by that mark
+    "op10_main_text": r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(?:</article>|$)', 1) AS a FROM pages),
+b AS (SELECT page_id, url, regexp_replace(regexp_replace(regexp_replace(a, '</?(?:p|h1)>', chr(10), 'g'), '<br>', ' ', 'g'), '<[^>]+>', '', 'g') AS b FROM a),
+c AS (SELECT page_id, url, list_filter(list_transform(string_split(b, chr(10)), lambda x: trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(x, '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&#x27;?', '''', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))), lambda x: x <> '') AS c FROM b)
+SELECT page_id, url, array_to_string(c, chr(10)) AS text, CAST(length(array_to_string(c, chr(10))) AS BIGINT) AS n_chars FROM c
+""",
     # links on exact sets, then the closure over them
     "op3_near_duplicates": r"""
 WITH RECURSIVE d AS (
