@@ -21,7 +21,7 @@ from factloom.llm.quality import by_row, repeats
 from factloom.storage import materialize
 
 #: Rate, and the least distance of its fence from the upper quartile.
-RATES = {"symbol_rate": 0.25, "repeat_rate": 0.2, "dup_line_rate": 0.25, "upper_rate": 0.3, "exclaim_rate": 0.3}
+RATES = {"symbol_rate": 0.25, "repeat_rate": 0.45, "dup_line_rate": 0.4, "upper_rate": 0.3, "exclaim_rate": 0.3}
 SPREAD, SUPPORT, SKETCH_K = 6.0, 200, 200
 COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_upper long, n_exclaims long"
 
