@@ -70,7 +70,7 @@ def tokens(c: ColumnOrName, stopwords: tuple[str, ...] = STOPWORDS, least: int =
 
 def compare_form(c: ColumnOrName) -> Column:
     """Typographic quotes and dashes to ASCII, then letters and digits with single blanks, lower-cased."""
-    s = F.translate(text(c), "‘’“”–—", "''\"\"--")
+    s = F.translate(text(c), "‘’“”–—¥", "''\"\"--Y")
     return F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " "))
 
 
