@@ -42,4 +42,6 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
         if seen == mark:
             break
         mark = seen
+    else:
+        raise RuntimeError(f"components did not settle in {rounds} rounds")
     return now.groupBy(F.col("u").alias("vertex")).agg(F.min("v").alias("component")).unionByName(now.select(F.col("v").alias("vertex"), F.col("v").alias("component")).distinct())
