@@ -23,7 +23,7 @@ from factloom.llm import textbatch as tb
 from factloom.llm.common import annotate, arrow_map, batch, fold, labelled
 
 #: Labelled documents of each class that a fit uses at most, about.
-SAMPLE = 2_000
+SAMPLE = 4_000
 BITS, SELECT_ROUNDS, FIT_ROUNDS, SHRINK = 19, 60, 300, 0.02
 #: L1 penalty of the selection, as a share of the label-1 documents.
 SPARSE = 0.002

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from factloom.llm import language, quality, rules, toxicity
+from factloom.llm.common import labelled
 from tests.llm.conftest import sentence
 
 
@@ -51,6 +52,12 @@ def test_toxicity_held_out_and_located(marked):
     assert found and all(any("nasty" in s.sentence or "horrid" in s.sentence for s in r.offending) for r in found)
 
 
+def test_toxicity_samples_four_thousand_a_class(spark):
+    ids = spark.range(12_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    counts = {r.y: r["count"] for r in labelled(ids, "toxic", toxicity.SAMPLE, per_class=True).groupBy("y").count().collect()}
+    assert set(counts) == {0, 1} and all(abs(n - 4_000) < 200 for n in counts.values())
+
+
 def test_classifiers_without_labels_or_rows(marked):
     docs, labels = marked
     none = labels.limit(0)
