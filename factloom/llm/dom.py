@@ -12,11 +12,13 @@ import zlib
 
 import numpy as np
 
+_NEVER = r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|iframe)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|svg|iframe|object|select)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>",
+    _NEVER + r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>",
     re.S | re.I,
 )
+#: Elements that are dropped with their content, but only where they have an end tag.
+_DROPPED = re.compile(_NEVER + r"|<(/?)(svg|object|select)(?=[\s/>])([^>]*)>", re.S | re.I)
 _ATTRIBUTE = re.compile(r"(class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PART = re.compile(r"[a-z]+|[0-9]+", re.I)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -40,6 +42,20 @@ def _bucket(token: str) -> int:
     return zlib.crc32(token.encode()) % TOKENS
 
 
+def _dropped(source: str) -> dict[int, int]:
+    """Start to end of each svg, object and select that has an end tag of its own. A self-closed svg is empty."""
+    found, open_ = {}, {"svg": [], "object": [], "select": []}
+    for m in _DROPPED.finditer(source):
+        name = (m.group(3) or "").lower()
+        if not name or name == "svg" and m.group(4).endswith("/"):
+            continue
+        if not m.group(2):
+            open_[name].append(m.start())
+        elif open_[name]:
+            found[open_[name].pop()] = m.end()
+    return found
+
+
 class Page:
     """Elements of a page in document order; element 0 is the root. ``text`` holds (element, string) in page order."""
 
@@ -48,11 +64,13 @@ class Page:
     def __init__(self, source: str):
         self.tag, self.parent, self.depth, self.tokens, self.end = ["#root"], [-1], [0], [()], [0]
         self.text: list[tuple[int, str]] = []
-        stack, at = [0], 0
-        for m in _TOKEN.finditer(source):
+        stack, at, dropped = [0], 0, _dropped(source)
+        while m := _TOKEN.search(source, at):
             if m.start() > at:
                 self.text.append((stack[-1], source[at : m.start()]))
-            at = m.end()
+            at = dropped.get(m.start(), m.end())
+            if m.start() in dropped:
+                continue
             name = m.group(3) or m.group(6)
             if not name:
                 continue

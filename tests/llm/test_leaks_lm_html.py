@@ -138,3 +138,17 @@ def test_clashing_score_columns(spark, docs):
     model, counts = language_model.fit(docs)
     out = language_model.score(docs.withColumn("score", F.lit("x")).withColumn("uid", F.lit(1)), model, counts)
     assert out.columns == ["doc_id", "n_tokens", "n_known", "base_score", "score"]
+
+
+def test_only_whole_hidden_elements_are_dropped(spark):
+    from factloom.llm.dom import Page
+
+    said = lambda html: " ".join("".join(t for _, t in Page(html).text).split())
+    for start in ("<svg-icon></svg-icon>", "<select-box>", "<title-bar/>", '<svg width="9"/>', "<svg/>", "<svg><path>", "<object data=x>", "<select>"):
+        assert said(f"<p>one</p>{start}<p>two</p>") == "onetwo", start
+        assert said(f"<p>one</p>{start}<p>two</p><svg><text>no</text></svg><p>three</p>") == "onetwothree", start
+    for gone in ("<svg><svg>a</svg>b</svg>", "<SVG\nid=x>a</svg >", "<object>a<object>b</object>c</object>", "<select><option>a</select>", "<svg><script>'<svg>'</script></svg>"):
+        assert said(f"<p>one</p>{gone}<p>two</p>") == "onetwo", gone
+    icon = PAGE.replace("<body>", "<body><svg-icon name='x'></svg-icon><svg class='y'/>")
+    out = {r.page_id: r.text for r in extraction.main_texts(spark.createDataFrame([(1, "u", PAGE), (2, "u", icon)], "page_id long, url string, html string")).collect()}
+    assert out[1] and out[1] == out[2]
