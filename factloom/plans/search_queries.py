@@ -267,9 +267,8 @@ def event_windows(spark: SparkSession, d: str) -> DataFrame:
 
 @query("greedy_cluster")
 def greedy_cluster(spark: SparkSession, d: str) -> DataFrame:
-    """Names of a brand, clustered in key order; a brand's names are grouped by their first letter to keep groups small."""
-    part = table(spark, d, "part").select("p_brand", F.substring("p_name", 1, 3).alias("head"), "p_partkey", "p_name")
-    return similar.greedy_clusters(part, ["p_brand", "head"], "p_partkey", "p_name")
+    """All names of a brand, clustered in key order."""
+    return similar.greedy_clusters(table(spark, d, "part"), ["p_brand"], "p_partkey", "p_name")
 
 
 @query("difflib_similarity")
@@ -280,7 +279,7 @@ def difflib_similarity(spark: SparkSession, d: str) -> DataFrame:
 
 @query("budget_packing")
 def budget_packing(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").withColumn("lane", F.concat_ws("/", "lang", "source", F.pmod("doc_id", F.lit(32))))
+    docs = table(spark, d, "documents").withColumn("lane", F.concat_ws("/", "lang", "source"))
     return packing.budget_batches(docs, "lane", "doc_id", "n_chars", 22_000)
 
 

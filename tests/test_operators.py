@@ -132,6 +132,36 @@ def test_fuzzy_and_greedy(spark):
     assert rows(similar.greedy_clusters(g, ["e"], "k", "v"), "k") == [("e", 1, 0), ("e", 2, 0), ("e", 3, 1)]
 
 
+def test_greedy_clusters_of_a_whole_group_and_lanes_equal_plain_python(spark):
+    import difflib
+    from collections import defaultdict
+
+    from factloom.plans import QUERIES
+
+    d = "/root/testdata/sf0.001"
+    ratio = lambda a, b: difflib.SequenceMatcher(None, a, b).ratio()
+    names, wanted = defaultdict(list), []
+    for b, k, v in rows(spark.read.parquet(f"{d}/part.parquet").select("p_brand", "p_partkey", "p_name"), "p_partkey"):
+        clusters = names[b]
+        best = [max(ratio(v, w) for w in c) for c in clusters]
+        at = max(range(len(best)), key=lambda i: best[i]) if best and max(best) >= 0.82 else len(clusters)
+        if at == len(clusters):
+            clusters.append([])
+        clusters[at].append(v)
+        wanted.append((b, k, at))
+    assert rows(QUERIES["greedy_cluster"](spark, d), "p_partkey") == wanted
+    g = spark.createDataFrame([(None, 1, "red ring x"), (None, 2, "rad ring x"), (None, 3, "red ring x"), (None, 4, None), (None, 5, "")], "e string, k int, v string")
+    assert rows(similar.greedy_clusters(g, ["e"], "k", "v"), "k") == [(None, 1, 0), (None, 2, 0), (None, 3, 0), (None, 4, 1), (None, 5, 1)]
+    wanted, used = [], defaultdict(lambda: [0, 0])
+    for k, lang, source, n in rows(spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "lang", "source", "n_chars"), "doc_id"):
+        u = used[f"{lang}/{source}"]
+        if u[1] and u[1] + n > 22_000:
+            u[0], u[1] = u[0] + 1, 0
+        u[1] += n
+        wanted.append((f"{lang}/{source}", k, u[0]))
+    assert rows(QUERIES["budget_packing"](spark, d), "doc_id") == wanted
+
+
 def test_terms(spark):
     d = spark.createDataFrame([(i, "Put RTZ and THE belt, ABCDEFG 12", "oem1", f"m{i % 2}") for i in range(4)], "k int, t string, oem string, model string")
     found = terms.occurrences(d, "k", "t", terms.TermRules())
