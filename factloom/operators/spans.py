@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import difflib
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from factloom.functions.text import compare_form, text
+from factloom.functions.text import alnum_lower, compare_form, search_form, text
 from factloom.operators.terms import flexible
 
 
@@ -107,3 +108,41 @@ def conflict_flags(result: Column | str, repairs: Column | str, parts: Column |
     clear = F.contains(F.lower(text(result)), F.lit("no trouble found"))
     n = lambda c: F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(0))
     return F.array_compact(F.array(F.when(clear & (n(repairs) > 0), "conflicts_with_approved_repair_actions"), F.when(clear & (n(parts) > 0), "conflicts_with_approved_parts_replaced")))
+
+
+#: Quotes that are broadcast at once.
+QUOTES = 2048
+
+
+def bound_pairs(quotes: DataFrame, docs: DataFrame, item: str, quote: str, key: str, body: str) -> DataFrame:
+    """(item, key) for every quote that is bound (text.is_bound) to a document. Each document is searched for every quote, so that none is lost for want of a seed; quotes are broadcast in blocks of ``QUOTES``."""
+    from itertools import batched
+
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_type
+    from pyspark.sql.types import StructType
+
+    ascii_only = lambda c: (~text(c).rlike(r"[^\x00-\x7F]")).alias("plain")
+    forms = docs.select(key, search_form(body).alias("e"), alnum_lower(body).alias("ea"), ascii_only(body))
+    stated = quotes.select(item, search_form(quote).alias("q"), alnum_lower(quote).alias("qa"), ascii_only(quote)).where("q <> ''")
+    schema = StructType([quotes.schema[item], docs.schema[key]])
+
+    def search(block) -> DataFrame:
+        ship = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in block])
+        kind = to_arrow_type(schema[item].dataType)
+
+        def run(batches):
+            for b in batches:
+                items, at = [], []
+                for i, (e, ea, plain) in enumerate(zip(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in ("e", "ea", "plain")), strict=True)):
+                    for name, q, qa, plain_quote in ship.value:
+                        # where both are ASCII, a literal quote is one of letters and digits too, if it has any
+                        if qa and qa in ea or not (qa and plain and plain_quote) and q in e:
+                            items.append(name)
+                            at.append(i)
+                yield pa.RecordBatch.from_arrays([pa.array(items, kind), b.column(b.schema.get_field_index(key)).take(pa.array(at, pa.int64()))], names=[item, key])
+
+        return forms.mapInArrow(run, schema)
+
+    found = [search(block) for block in batched(stated.toLocalIterator(), QUOTES)]
+    return reduce(DataFrame.unionByName, found) if found else docs.sparkSession.createDataFrame([], schema)

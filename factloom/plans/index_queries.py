@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.functions import evidence, ids, text
-from factloom.operators import events, index, recurrence
+from factloom.operators import events, index, recurrence, spans
 from factloom.plans.catalog import query, table
 
 # text made from order rows: a decoy run, an invalid date, and the true log number
@@ -161,17 +161,8 @@ SELECT b.item_id, d.doc_id FROM benchmark b JOIN documents d ON contains(lower(t
 """,
 )
 def quote_binding(spark: SparkSession, d: str) -> DataFrame:
-    """Quotes are a stated query set; a seed word of each, joined by equality, finds the documents to compare with."""
-    seeds = lambda t: F.array_distinct(F.regexp_extract_all(F.lower(t), F.lit("[a-z0-9]{5,}"), F.lit(0)))
-    docs = table(spark, d, "documents").select("doc_id", F.col("text").alias("body"))
-    words = docs.select("doc_id", F.explode(seeds(F.col("body"))).alias("w"))
-    quotes = table(spark, d, "benchmark").select("item_id", F.col("text").alias("quote"))
-    inside = F.slice(seeds(F.regexp_replace("quote", r"^\S+|\S+$", " ")), 1, 100)
-    seeded = quotes.select("item_id", F.explode(inside).alias("w"))
-    df = words.join(seeded.select("w").distinct(), "w").groupBy("w").agg(F.count("*").alias("df"))
-    rarest = events.first_by_key(seeded.join(df, "w"), ["item_id"], ["df", "w"]).select("item_id", "w")
-    pairs = rarest.join(words, "w").select("item_id", "doc_id").distinct()
-    return pairs.join(quotes, "item_id").join(docs, "doc_id").where(text.is_bound("quote", "body")).select("item_id", "doc_id")
+    """Quotes are a stated query set; every document is searched for all of them."""
+    return spans.bound_pairs(table(spark, d, "benchmark"), table(spark, d, "documents"), "item_id", "text", "doc_id", "text")
 
 
 _LINES_SQL = r"WITH l AS (SELECT doc_id, trim(unnest(string_split(text, chr(10))), ' ') AS l FROM documents)"

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from factloom import providers
 from factloom.functions import text
-from factloom.operators import events, index, intervals, packing, parts, records, recurrence, search, similar, terms, vectors
+from factloom.operators import events, index, intervals, packing, parts, records, recurrence, search, similar, spans, terms, vectors
 
 
 def rows(df, *order):
@@ -162,6 +162,21 @@ def test_greedy_clusters_of_a_whole_group_and_lanes_equal_plain_python(spark):
     assert rows(QUERIES["budget_packing"](spark, d), "doc_id") == wanted
 
 
+def test_bound_pairs_equal_all_pairs(spark):
+    q = ["a b c", "two words", "Привет мир", "foo bar", "example of it", "", "...", "STRASSE", "naïve", "ok\n go"]
+    d = ["x A  B c y", "in two\nwords", "он сказал привет  МИР", "foobar", "an exam-\nple of it", None, "wait ... what", "die straße", "a NAÏVE one", "OK, go", "nothing"]
+    quotes = spark.createDataFrame(list(enumerate(q)), "item int, q string")
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(d)], "k long, t string")
+    wanted = rows(quotes.crossJoin(docs).where(text.is_bound("q", "t")).select("item", "k"), "item", "k")
+    assert {(0, 0), (1, 1), (2, 2), (3, 3), (4, 4), (6, 6)} <= set(wanted)
+    old, spans.QUOTES = spans.QUOTES, 3
+    try:
+        assert rows(spans.bound_pairs(quotes, docs, "item", "q", "k", "t"), "item", "k") == wanted
+    finally:
+        spans.QUOTES = old
+    assert spans.bound_pairs(quotes.limit(0), docs, "item", "q", "k", "t").count() == 0
+
+
 def test_terms(spark):
     d = spark.createDataFrame([(i, "Put RTZ and THE belt, ABCDEFG 12", "oem1", f"m{i % 2}") for i in range(4)], "k int, t string, oem string, model string")
     found = terms.occurrences(d, "k", "t", terms.TermRules())
