@@ -62,9 +62,11 @@ def repeats(row: np.ndarray, h: np.ndarray, rows: int) -> tuple[np.ndarray, np.n
     """By row: values that equal an earlier one, distinct values, count of the most frequent."""
     repeated, distinct, top = np.zeros(rows), np.zeros(rows), np.zeros(rows)
     if len(h):
-        key = np.sort(tb.mix(h ^ (row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) & np.uint64((1 << 44) - 1) | (row.astype(np.uint64) << np.uint64(44)))
+        key = tb.mix(h ^ (row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+        order = np.argsort(key)
+        key = key[order]
         first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        r = (key[first] >> np.uint64(44)).astype(np.int64)
+        r = row[order[first]]
         n = np.diff(np.r_[first, len(key)])
         repeated = np.bincount(r, weights=n - 1, minlength=rows)
         distinct = np.bincount(r, minlength=rows).astype(float)

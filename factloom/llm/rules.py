@@ -1,12 +1,15 @@
 """Quality rules with adaptive thresholds.
 
-Each text gets exact counts (``metrics``).  For every (lang, source) group, mergeable KLL quantile sketches of the rates in
-``RATES`` give upper fences ``q75 + SPREAD * (q75 - q25) + slack``; groups of fewer than ``SUPPORT`` texts
-take the fences of the merged sketches of their language, or of all texts.  The fences are joined to the rows, and
-a text is kept if it passes the base rules and no rate lies above its fence.
-
-Defined results: null text has no words and fails; null lang or source is a group of its own; repeated rows count each; an empty
-table gives an empty result.  Input columns named as an output are replaced.
+Each text gets exact counts (``metrics``) and, for the counts of RATES, the log-odds ``ln((k + 1/2) / (n - k + 1/2))`` of k marked among n
+words, lines or characters.  Log-odds spread evenly also where most texts have no mark at all, since their lengths differ.  For every (lang, source) group,
+mergeable KLL quantile sketches of these log-odds give the upper fences ``q75 + FAR * (q75 - q25)``, the "far out" limit of box plots; the
+quartiles' distance counts as at least the mean one of the language's groups (by rows), so that a group of mere copies does not reject its other texts.
+Groups of fewer than ``SUPPORT`` texts take the fences of their language, or of all texts.  The fences are joined to the rows, and
+a text is kept if it passes the base rules and no rate lies above its fence by more than CLEAR standard errors of the counts, which a short text with
+a few marks does not. No threshold of a rate is fixed, and labels play no part.
+
+Defined results: null text has no words and fails; null lang or source is a group of its own; repeated rows count each; a rate equal to its fence
+passes; an empty table gives an empty result; a text of any length is counted whole. Input columns named as an output are replaced.
 """
 
 from __future__ import annotations
@@ -20,9 +23,12 @@ from factloom.llm.common import annotate
 from factloom.llm.quality import by_row, repeats
 from factloom.storage import materialize
 
-#: Rate, and the least distance of its fence from the upper quartile.
-RATES = {"symbol_rate": 0.25, "repeat_rate": 0.45, "dup_line_rate": 0.4, "upper_rate": 0.3, "exclaim_rate": 0.3}
-SPREAD, SUPPORT, SKETCH_K = 6.0, 200, 200
+#: Rate: the count of marked ones, and of all.
+RATES = {
+    "symbol_rate": ("n_symbols", "word_chars"), "repeat_rate": ("n_repeat_words", "n_words"), "dup_line_rate": ("n_dup_lines", "n_lines"),
+    "upper_rate": ("n_upper", "word_chars"), "exclaim_rate": ("n_exclaims", "word_chars"),
+}
+FAR, CLEAR, SUPPORT, SKETCH_K = 3.0, 3.0, 200, 200
 COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_upper long, n_exclaims long"
 
 
@@ -69,52 +75,58 @@ def metrics(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
         parts = [counts(s) for s in tb.slices(b["text"])]
         return {k.split()[0]: np.concatenate([np.zeros(0), *(p[k.split()[0]] for p in parts)]).astype(np.int64) for k in COUNTS.split(", ")}
 
-    out = annotate(docs, run, COUNTS, keep)
-    n = F.greatest(F.col("n_words"), F.lit(1))
-    return out.withColumns(
-        {
-            "base_failed": (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")),
-            "symbol_rate": F.col("n_symbols") / n,
-            "repeat_rate": F.col("n_repeat_words") / n,
-            "dup_line_rate": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
-            "upper_rate": F.col("n_upper") / F.greatest(F.col("word_chars"), F.lit(1)),
-            "exclaim_rate": F.col("n_exclaims") / n,
-        }
-    )
+    odds = lambda k, n: F.log((F.col(k) + 0.5) / (F.col(n) - F.col(k) + 0.5))
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return annotate(docs, run, COUNTS, keep).withColumns({"base_failed": failed} | {r: odds(*kn) for r, kn in RATES.items()})
 
 
-def _fences(sketches: DataFrame) -> list[Column]:
-    quartile = lambda r, q: F.kll_sketch_get_quantile_double(F.col(f"{r}_sketch"), F.lit(q))
-    return [(quartile(r, 0.75) + SPREAD * (quartile(r, 0.75) - quartile(r, 0.25)) + F.lit(slack)).alias(f"{r}_fence") for r, slack in RATES.items()]
+def _quartiles(sketches: DataFrame, prefix: str) -> list[Column]:
+    """The upper quartile of each rate and its distance from the lower one."""
+    at = lambda r, q: F.kll_sketch_get_quantile_double(F.col(f"{r}_sketch"), F.lit(q))
+    return [c for r in RATES for c in (at(r, 0.75).alias(f"{prefix}{r}_q"), (at(r, 0.75) - at(r, 0.25)).alias(f"{prefix}{r}_w"))]
 
 
-def thresholds(measured: DataFrame) -> DataFrame:
+def thresholds(measured: DataFrame, far: float = FAR, support: int = SUPPORT) -> DataFrame:
     """The group's keys and a fence for each rate, one row a group."""
     keyed = measured.where(F.col("n_words") > 0).select(F.coalesce("lang", F.lit("\0")).alias("__lang"), F.coalesce("source", F.lit("\0")).alias("__source"), *RATES)
     groups = keyed.groupBy("__lang", "__source").agg(F.count("*").alias("n"), *[F.kll_sketch_agg_double(r, F.lit(SKETCH_K)).alias(f"{r}_sketch") for r in RATES])
     merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(f"{r}_sketch").alias(f"{r}_sketch") for r in RATES]]
     groups = materialize(groups, "sketches")
-    own = groups.select("__lang", "__source", "n", *_fences(groups))
-    by_lang = groups.groupBy("__lang").agg(*merged)
-    by_lang = by_lang.select("__lang", F.col("n").alias("lang_n"), *[c.alias(f"lang_{r}") for c, r in zip(_fences(by_lang), RATES, strict=True)])
+    own = groups.select("*", *_quartiles(groups, "own_"))
+    floors = [(F.sum(F.col("n") * F.col(f"own_{r}_w")) / F.sum("n")).alias(f"floor_{r}") for r in RATES]
+    by_lang = own.groupBy("__lang").agg(*merged, *floors)
+    by_lang = by_lang.select("__lang", F.col("n").alias("lang_n"), *_quartiles(by_lang, "lang_"), *[f"floor_{r}" for r in RATES])
     overall = groups.agg(*merged)
-    overall = overall.where(F.col("n") > 0).select(*[c.alias(f"all_{r}") for c, r in zip(_fences(overall), RATES, strict=True)])
+    overall = overall.where(F.col("n") > 0).select(*_quartiles(overall, "all_"))
     joined = own.join(by_lang, "__lang").join(F.broadcast(overall))  # one row
-    pick = lambda r: F.when(F.col("n") >= SUPPORT, F.col(f"{r}_fence")).when(F.col("lang_n") >= SUPPORT, F.col(f"lang_{r}")).otherwise(F.col(f"all_{r}"))
-    return joined.select("__lang", "__source", *[pick(r).alias(f"{r}_fence") for r in RATES])
+
+    def fence(r: str) -> Column:
+        of = lambda p: F.col(f"{p}{r}_q") + far * F.col(f"{p}{r}_w")
+        by_own = F.col(f"own_{r}_q") + far * F.greatest(f"own_{r}_w", f"floor_{r}")
+        return F.when(F.col("lang_n") < support, of("all_")).when(F.col("n") < support, of("lang_")).otherwise(by_own).alias(f"{r}_fence")
+
+    return joined.select("__lang", "__source", *[fence(r) for r in RATES])
+
+
+def _clearly_above(rate: str) -> Column:
+    """Whether the log-odds exceed the fence by more than CLEAR standard errors of the difference of two counts: the text's, and the one expected at the fence."""
+    k, n = (F.col(c) for c in RATES[rate])
+    at_fence = n / (1 + F.exp(-F.col(f"{rate}_fence")))
+    variance = lambda k: 1 / (k + 0.5) + 1 / (n - k + 0.5)
+    return F.col(rate) - F.col(f"{rate}_fence") > CLEAR * F.sqrt(variance(k) + variance(at_fence))
 
 
 def judge(measured: DataFrame, fences: DataFrame) -> DataFrame:
-    """``measured`` with kept: the base rules passed and no rate above its fence."""
+    """``measured`` with kept: the base rules passed and no rate clearly above its fence."""
     keyed = measured.withColumns({"__lang": F.coalesce("lang", F.lit("\0")), "__source": F.coalesce("source", F.lit("\0"))})
     within = ~F.col("base_failed")
     for r in RATES:
-        within &= F.col(r) <= F.col(f"{r}_fence")
+        within &= ~_clearly_above(r)
     out = keyed.join(fences, ["__lang", "__source"], "left").withColumn("kept", F.coalesce(within, F.lit(False)))
     return out.drop("__lang", "__source", *[f"{r}_fence" for r in RATES])
 
 
-def rule_verdicts(docs: DataFrame) -> DataFrame:
+def rule_verdicts(docs: DataFrame, far: float = FAR, support: int = SUPPORT) -> DataFrame:
     """doc_id, the base counts, base_failed and kept for every document."""
     measured = materialize(metrics(docs, ["doc_id", "lang", "source"]), "rules")
-    return judge(measured, thresholds(measured)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return judge(measured, thresholds(measured, far, support)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")

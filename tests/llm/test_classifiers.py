@@ -156,3 +156,67 @@ def test_rules_adapt_by_group(spark):
     rows.append((9000, "# ".join("".join(sentence(rng, 10) for _ in range(9)).split()), "aa", "prose"))
     kept = {r.doc_id: r.kept for r in rules.rule_verdicts(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
     assert all(kept[i] for i in range(600)) and not kept[9000]
+
+
+def brute_verdicts(rows, far, support):
+    """kept of each row, from exact quantiles (the least value that a share of the group's values does not exceed)."""
+    import math
+    import re
+
+    rates = []
+    for _, text, lang, source in rows:
+        t = text or ""
+        n, chars, symbols, dup, repeat, failed = brute_rules(t)
+        lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        upper, exclaims = len(re.findall("[A-Z]", t)), t.count("!")
+        pairs = ((symbols, chars), (repeat, n), (dup, len(lines)), (upper, chars), (exclaims, chars))
+        rates.append((lang or "\0", source or "\0", n, failed, [math.log((k + 0.5) / (m - k + 0.5)) for k, m in pairs], pairs))
+    seen = [r for r in rates if r[2] > 0]
+    at = lambda v, q: sorted(v)[max(0, math.ceil(q * len(v)) - 1)]
+    out = []
+    error = lambda k, m: 1 / (k + 0.5) + 1 / (m - k + 0.5)
+    for lang, source, _, failed, odds, pairs in rates:
+        ok = not failed
+        for k in range(5):
+            every, of_lang = [r[4][k] for r in seen], [r[4][k] for r in seen if r[0] == lang]
+            groups = {}
+            for r in seen:
+                if r[0] == lang:
+                    groups.setdefault(r[1], []).append(r[4][k])
+            spread = lambda v: at(v, 0.75) - at(v, 0.25)
+            own = groups.get(source, [])
+            if not own:
+                ok = False
+                break
+            if len(of_lang) < support:
+                fence = at(every, 0.75) + far * spread(every)
+            elif len(own) < support:
+                fence = at(of_lang, 0.75) + far * spread(of_lang)
+            else:
+                floor = sum(len(v) * spread(v) for v in groups.values()) / len(of_lang)
+                fence = at(own, 0.75) + far * max(spread(own), floor)
+            count, m = pairs[k]
+            ok = ok and odds[k] - fence <= rules.CLEAR * math.sqrt(error(count, m) + error(m / (1 + math.exp(-fence)), m))
+        out.append(ok)
+    return out
+
+
+def test_rule_verdicts_equal_exact_quantiles(spark):
+    rng = random.Random(21)
+    rows = []
+    for i in range(420):
+        n = rng.randint(5, 30)
+        t = "".join(sentence(rng, 10).capitalize() for _ in range(n)).split()
+        source = rng.choice(["s1", "s2", "s2", None, "rare"] if i % 20 == 0 else ["s1", "s2", "s2", None])
+        for _ in range(rng.choice([0, 0, 1, 4, 40])):
+            t[rng.randrange(len(t))] += rng.choice("#!|")
+        text = " ".join(t)
+        rows.append((i, text + ("\n" + text[:200]) * rng.choice([0, 0, 0, 3]), rng.choice(["aa", "aa", "bb"]), source))
+    rows += [(1000 + k, rows[0][1], "aa", "s1") for k in range(60)] + [(2000, None, "aa", "s1"), (2001, "few words", "cc", "s9"), (2002, "#" * 300 + " x" * 60, "cc", "s9")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r.kept for r in rules.rule_verdicts(docs, support=20).collect()}
+    expected = brute_verdicts(rows, rules.FAR, 20)
+    assert [got[r[0]] for r in rows] == expected
+    assert 0 < sum(expected) < sum(not brute_rules(r[1])[-1] for r in rows)
+    fences = rules.thresholds(rules.metrics(docs), support=20).select("symbol_rate_fence").distinct().count()
+    assert fences > 3
