@@ -4,12 +4,12 @@ A store is a folder of immutable Parquet shards and numbered manifests.  ``appen
 writes its rows of an arrival as one small shard, without a shuffle.  The shards of an arrival are a run.
 ``compact`` looks at the runs' sizes: a tier holds the runs whose sizes lie within a factor ``fanout``; a tier of
 ``fanout`` runs or more is merged into one run, which may fill the next tier, until no tier is full.  Each merged run is
-written once, as files of about ``target_bytes``, and the rows of a file are chosen by a hash range, so no
-file and no task grows with a run.  A new manifest becomes visible by one rename that fails if the version exists; readers
+written once, as files of about ``target_bytes``. The rows of a file are chosen by a hash range of their id and place, and every
+file is written by a task of its own, so no file and no task grows with a run, whatever rows are repeated in it.  A new manifest becomes visible by one rename that fails if the version exists; readers
 of older versions are not disturbed until ``vacuum``.
 
 The driver holds the list of runs (arrivals since the last compaction), never rows or files of rows.
-Defined results: null texts have 0 bytes; repeated rows stay; an empty table makes an empty version. The columns
+Defined results: null texts have 0 bytes; repeated rows stay, spread over the files; a text longer than ``target_bytes`` stays whole in one file; null ids are hashed like others; an empty table makes an empty version. The columns
 ``shard_run``, ``shard_file`` and ``shard_bytes`` are the store's own: input columns of these names are replaced.
 """
 
@@ -106,21 +106,20 @@ class ShardStore:
         groups = plan({int(k): v["bytes"] for k, v in m["runs"].items()}, self.fanout)
         if not groups:
             return base
-        parts = []
+        rows, total = None, 0
+        plain = StructType([f for f in self.schema if f.name != "shard_run"])
         for i, g in enumerate(groups):
             old = [m["runs"].pop(str(r)) for r in g]
             files = max(1, math.ceil(sum(x["bytes"] for x in old) / self.target_bytes))
-            u = F.pmod(F.xxhash64(hash_column, "text"), F.lit(1 << 30)) / float(1 << 30)
             for x in old:
-                parts.append((x["path"], m["next"] + i, files, u))
+                # a row's place in its immutable file tells repeated rows apart, and is the same when a task is run again
+                u = F.pmod(F.xxhash64(hash_column, F.col("_metadata.row_index")), F.lit(1 << 30)) / float(1 << 30)
+                one = self.spark.read.schema(plain).parquet(x["path"]).withColumns({"shard_run": F.lit(m["next"] + i), "shard_file": F.floor(u * files).cast("int")})
+                one = one.select(*self.schema.names, (F.lit(total) + F.col("shard_file")).alias("__task"))
+                rows = one if rows is None else rows.unionByName(one)
+            total += files
         m["next"] += len(groups)
-        rows = None
-        for path, run, files, u in parts:
-            one = self.spark.read.schema(StructType([f for f in self.schema if f.name != "shard_run"])).parquet(path)
-            one = one.withColumns({"shard_run": F.lit(run), "shard_file": F.floor(u * files).cast("int")}).select(*self.schema.names)
-            rows = one if rows is None else rows.unionByName(one)
-        total = len({(r, k) for _, r, n, _ in parts for k in range(n)})
-        rows = rows.repartition(max(total, int(self.spark.conf.get("spark.sql.shuffle.partitions"))), "shard_run", "shard_file")
+        rows = rows.repartitionById(total, "__task").drop("__task")  # files are numbered densely: one task each
         m["runs"] |= {str(k): v for k, v in self._write(rows, f"{self.root}/data/{uuid.uuid4().hex}").items()}
         return self._commit(m, base)
 

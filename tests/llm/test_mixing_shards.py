@@ -82,3 +82,42 @@ def test_versions_are_atomic_and_old_ones_stay_readable(docs, corpus, spark, tmp
     assert store.compact() == 5
     store.vacuum()
     assert store.read().count() == n
+
+
+def test_repeated_rows_spread_over_files_and_tasks(spark, tmp_path):
+    rows = [(None, "x" * 99 + "y", "aa")] * 3000 + [(7, "x" * 100, "bb")] * 1000 + [(8, "z" * 70_000, None), (9, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    store = shards.ShardStore(spark, f"file://{tmp_path}/r", docs.schema, target_bytes=20_000)
+    for _ in range(4):
+        store.append(docs)
+    store.compact()
+    out = store.read()
+    assert out.groupBy(docs.columns).count().where("count % 4 <> 0").isEmpty() and out.count() == 4 * len(rows)
+    merged = out.withColumn("at", F.input_file_name())
+    files = merged.groupBy("shard_run", "shard_file").agg(F.sum("shard_bytes").alias("b"), F.max("shard_bytes").alias("m"), F.countDistinct("at").alias("written")).collect()
+    whole = [r for r in files if r.m < 70_000]
+    assert len(whole) > 50 and all(r.b <= 2 * 20_000 for r in whole) and all(r.written == 1 for r in files)
+
+
+def brute_plan(sizes, fanout):
+    """Merging as by hand: while four or more runs share a tier, the smallest such tier becomes one run."""
+    import math
+
+    runs = [([r], s) for r, s in sizes.items()]
+    while True:
+        tiers = {}
+        for run in runs:
+            tiers.setdefault(math.floor(math.log(max(run[1], 1)) / math.log(fanout) + 1e-9), []).append(run)
+        full = sorted(t for t, v in tiers.items() if len(v) >= fanout)
+        if not full:
+            return sorted(sorted(ids) for ids, _ in runs if len(ids) > 1)
+        runs = [r for r in runs if r not in tiers[full[0]]] + [(sum((ids for ids, _ in tiers[full[0]]), []), sum(s for _, s in tiers[full[0]]))]
+
+
+def test_plan_equals_brute_force():
+    import random
+
+    rng = random.Random(3)
+    for _ in range(200):
+        sizes = {i: rng.choice([0, 1, 5, 60, 70, 900, 12_000, 13_000]) for i in range(rng.randint(0, 30))}
+        assert sorted(shards.plan(sizes, 4)) == brute_plan(sizes, 4)
