@@ -220,3 +220,50 @@ def test_rule_verdicts_equal_exact_quantiles(spark):
     assert 0 < sum(expected) < sum(not brute_rules(r[1])[-1] for r in rows)
     fences = rules.thresholds(rules.metrics(docs), support=20).select("symbol_rate_fence").distinct().count()
     assert fences > 3
+
+
+def brute_predictions(rows):
+    """Profiles, ranks and out-of-place distances with dictionaries; n-grams are those of the operator, which another test compares."""
+    import zlib
+    from collections import Counter
+
+    import pyarrow as pa
+
+    from factloom.llm import textbatch as tb
+
+    def counted(text):
+        (s,) = tb.slices(pa.array([text], pa.string()))
+        return Counter(language.grams(s)[0].tolist())
+
+    ranked = lambda c: sorted(c, key=lambda g: (-c[g], g))[: language.PROFILE]
+    total = {}
+    for i, text, lang in rows:
+        if text is not None and lang is not None and zlib.crc32(str(i).encode()) % 5 != 0:
+            total.setdefault(lang, Counter()).update(counted(text))
+    profile = {k: {g: r for r, g in enumerate(ranked(c))} for k, c in sorted(total.items())}
+    out = []
+    for _, text, _ in rows:
+        own = ranked(counted(text))
+        if not own:
+            out.append(("und", 0.0))
+            continue
+        far = {k: sum(abs(p[g] - r) if g in p else language.PROFILE for r, g in enumerate(own)) for k, p in profile.items()}
+        best = min(far, key=lambda k: (far[k], k))
+        out.append((best, 1 - far[best] / (language.PROFILE * len(own))))
+    return out
+
+
+def test_languages_equal_brute_force(spark):
+    rng = random.Random(13)
+    a, b = [sentence(rng, 1)[:-2] for _ in range(60)], ["".join(rng.choice("qwxyzåé𐐀") for _ in range(5)) for _ in range(60)]
+    rows = [(i, " ".join(rng.choice(a if i % 3 else b) for _ in range(rng.randint(1, 60))), "aa" if i % 3 else "bb") for i in range(150)]
+    rows += [(1, rows[1][1], "aa")] * 3  # repeated rows
+    rows += [(300, "😀😀 123", "aa"), (301, "𝟘 12", "bb"), (302, "𐐀𐐁 𐐂", "bb"), (303, "", "aa"), (304, None, "aa"), (305, " ".join(a * 4000), None)]
+    rows += [(400 + k, "kk jj", lang) for k, lang in enumerate(["dd", "cc"] * 6)]  # two languages alike: the smaller code wins
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("lang_pred", F.lit("mine")).withColumn("lang_score", F.lit(9))
+    got = [(r.lang_pred, round(r.lang_score, 9)) for r in language.identify(docs, language.Model.of(language.profiles(docs))).orderBy("doc_id").collect()]
+    order = sorted(range(len(rows)), key=lambda i: rows[i][0])
+    expected = brute_predictions(rows)
+    assert got == [(expected[i][0], round(expected[i][1], 9)) for i in order]
+    by = {rows[i][0]: g[0] for i, g in zip(order, got, strict=True)}
+    assert by[300] == by[301] == by[303] == by[304] == "und" and by[302] == "bb" and by[305] == "aa" and by[400] == by[401] == "cc"
