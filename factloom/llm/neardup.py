@@ -13,7 +13,10 @@
 At a similarity of exactly 0.75 a pair shares no band with a probability of 5e-6, and fails the signature bits with one of about
 1e-6; both fall fast above it.
 
-Defined results: a text without words has an empty set and no links; a null id has a null component and is kept; rows that
+Buckets of any size are spread over tasks: joins by bucket are salted by SALT_ROWS members, and a large bucket's remaining members are packed into blocks of SPLIT, whose
+pairs are the tasks. The rows made are thus linear in the members, plus the pairs of blocks; the comparisons of members that no hub links grow with the square.
+
+Defined results: a text without words has an empty set and no links; a text of any length is compared whole; an empty table gives an empty result; a null id has a null component and is kept; rows that
 repeat an id are one vertex, linked through each of their texts.
 """
 
@@ -35,8 +38,10 @@ _BLOCK = 1 << 19
 _SIEVE_BITS = 1 << 26
 #: Bits of the second signature, for members of buckets that hold several components.
 LONG_BITS = 4096
-#: Members on either side of a block, about.
-SPLIT = 512
+#: Members of a block, about.
+SPLIT = 4096
+#: Rows of one bucket that a task gets in a join by bucket, about.
+SALT_ROWS = 1024
 #: Members of a bucket that is compared by a join; larger ones are compared in blocks.
 SMALL = 48
 
@@ -167,47 +172,76 @@ def _within_small(open_: DataFrame, percent: int) -> DataFrame:
     b = open_.select("bucket", *side("b"), "top")
     once = (F.col("cb") == F.col("top")) | (F.col("ua") < F.col("ub"))
     # a pair of many buckets comes out once: of the one with the least key (32 bits of each key are compared)
-    first_shared = F.array_min(F.array_intersect("ka", "kb")) == (a["bucket"].bitwiseAND(F.lit(0xFFFFFFFF)) - F.lit(1 << 31)).cast("int")
+    first_shared = F.array_min(F.zip_with("ka", "kb", lambda x, y: F.when(x == y, x))) == (a["bucket"].bitwiseAND(F.lit(0xFFFFFFFF)) - F.lit(1 << 31)).cast("int")
     return a.join(b, (a["bucket"] == b["bucket"]) & (F.col("ca") != F.col("cb")) & once & _sizes(percent) & _long_plausible(percent) & first_shared).select("ua", "ha", "ub", "hb")
 
 
 def _within_large(open_: DataFrame, percent: int) -> DataFrame:
-    """The same in large buckets: blocks of at most about SPLIT by SPLIT members, each compared as bit matrices."""
+    """The same in large buckets. Members are packed into blocks of about SPLIT, a row each; every pair of a bucket's blocks is a task that compares bit matrices.
+
+    So the rows made are the members, once, and the pairs of blocks.
+    """
     n = F.ceil(F.col("k") / SPLIT).cast("int")
-    own, every = F.pmod(F.xxhash64("rep"), n).cast("int"), F.explode(F.sequence(F.lit(0), n - 1))
-    a = open_.where(F.col("comp") != F.col("top")).select("bucket", own.alias("pa"), every.alias("pb"), *_SIDE)
-    b = open_.select("bucket", every.alias("pa"), own.alias("pb"), *_SIDE, "top")
+    members = open_.select("bucket", n.alias("blocks"), F.pmod(F.xxhash64("rep"), n).cast("int").alias("block"), *_SIDE, "top")
+    longs, arrays = ("rep", "h1", "n", "comp"), {"keys": np.int32, "t": np.uint64}
+    fields = [("bucket", pa.int64()), ("blocks", pa.int32()), ("block", pa.int32()), ("top", pa.int64()), *[(c, pa.binary()) for c in (*longs, *arrays)]]
+    packed_schema = pa.schema(fields)
+
+    def pack(t: pa.Table) -> pa.Table:
+        one = {c: [t[c][0].as_py()] for c in ("bucket", "blocks", "block", "top")}
+        one |= {c: [t[c].to_numpy().tobytes()] for c in longs}
+        one |= {c: [np.concatenate([x.flatten().to_numpy(zero_copy_only=False) for x in t[c].chunks]).tobytes()] for c in arrays}
+        return pa.table(one, packed_schema)
+
+    packed = members.groupBy("bucket", "block").applyInArrow(pack, "bucket long, blocks int, block int, top long, rep binary, h1 binary, n binary, comp binary, keys binary, t binary")
+    packed = materialize(packed, "blocks")
+    data = [*longs, *arrays]
+    a = packed.select("bucket", F.col("block").alias("pa"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("pb"), "top", *data)
+    b = packed.select("bucket", F.explode(F.sequence(F.lit(0), F.col("block"))).alias("pa"), F.col("block").alias("pb"), *data)
     p = (1 - percent / 100) / 2
     most = int(LONG_BITS * p + 4.8 * np.sqrt(LONG_BITS * p * (1 - p)))
     schema = pa.schema([(c.split()[0], pa.int64()) for c in _PAIR.split(", ")])
 
-    def matrix(t: pa.Table, c: str, kind) -> np.ndarray:
-        return t[c].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(t.num_rows, -1).view(kind)
+    def unpack(t: pa.Table) -> dict[str, np.ndarray]:
+        get = lambda c, kind: np.frombuffer(t[c][0].as_py(), kind)
+        out = {c: get(c, np.int64) for c in longs}
+        return out | {c: get(c, kind).reshape(len(out["rep"]), -1) for c, kind in arrays.items()}
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
-        x, y = ({c: t[c].to_numpy() for c in ("rep", "h1", "n", "comp")} for t in (left, right))
-        tx, ty, kx, ky = matrix(left, "t", np.uint64), matrix(right, "t", np.uint64), matrix(left, "keys", np.int32), matrix(right, "keys", np.int32)
+        x, y = unpack(left), unpack(right)
+        same, top = left["pa"][0].as_py() == left["pb"][0].as_py(), left["top"][0].as_py()
         bucket = (int(left["bucket"][0].as_py()) & 0xFFFFFFFF) - (1 << 31)
-        out = []
-        for i in range(0, left.num_rows, 32):
-            u = {c: v[i : i + 32, None] for c, v in x.items()}
-            differ = np.bitwise_count(tx[i : i + 32, None, :] ^ ty[None, :, :]).sum(axis=2, dtype=np.int32)
-            good = (differ <= most) & (u["comp"] != y["comp"]) & ((y["comp"] == right["top"].to_numpy()) | (u["rep"] < y["rep"]))
-            good &= 100 * np.minimum(u["n"], y["n"]) >= percent * np.maximum(u["n"], y["n"])
+        out = [np.zeros((0, 4), np.int64)]
+        for i in range(0, len(x["rep"]), 8):
+            u = {c: x[c][i : i + 8, None] for c in longs}
+            differ = np.bitwise_count(x["t"][i : i + 8, None, :] ^ y["t"][None, :, :]).sum(axis=2, dtype=np.int32)
+            good = (differ <= most) & (u["comp"] != y["comp"]) & (100 * np.minimum(u["n"], y["n"]) >= percent * np.maximum(u["n"], y["n"]))
             j, k = np.nonzero(good)
             j = j + i
-            least = np.where(kx[j] == ky[k], kx[j].astype(np.int64), 1 << 31).min(axis=1) if len(j) else j
-            keep = least == bucket
-            out.append(np.column_stack([x["rep"][j[keep]], x["h1"][j[keep]], y["rep"][k[keep]], y["h1"][k[keep]]]))
-        found = np.concatenate(out)
-        return pa.Table.from_arrays([pa.array(c) for c in found.T.copy()], schema=schema)
+            if same:  # each pair of a block once
+                j, k = j[j < k], k[j < k]
+            # a pair of many buckets comes out once: of the one with the least key
+            keep = np.where(x["keys"][j] == y["keys"][k], x["keys"][j].astype(np.int64), 1 << 31).min(axis=1, initial=1 << 31) == bucket
+            j, k = j[keep], k[keep]
+            ends = [np.column_stack([z["rep"][m], z["h1"][m]]) for z, m in ((x, j), (y, k))]
+            # a member of the largest component is the second, of two others the larger
+            swap = (x["comp"][j] == top) | ((y["comp"][k] != top) & (x["rep"][j] > y["rep"][k]))
+            out.append(np.where(swap[:, None], np.hstack(ends[::-1]), np.hstack(ends)))
+        return pa.Table.from_arrays([pa.array(c) for c in np.concatenate(out).T.copy()], schema=schema)
 
     key = ["bucket", "pa", "pb"]
     return a.groupBy(*key).cogroup(b.groupBy(*key)).applyInArrow(run, _PAIR)
 
 
+def _by_bucket(rows: DataFrame, few: DataFrame, members: str = "members") -> DataFrame:
+    """``rows`` (bucket, rep, ...) joined with ``few`` (bucket, members, ...), one row a bucket, which is repeated for each SALT_ROWS of a bucket's members."""
+    parts = F.ceil(F.col(members) / SALT_ROWS).cast("int")
+    spread = few.withColumn("__salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop(members)
+    return rows.withColumn("__salt", F.pmod(F.xxhash64("rep"), parts).cast("int")).join(spread, ["bucket", "__salt"]).drop("__salt")
+
+
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (ua, ha, ub, hb) whose full sets are similar enough, as (u, v)."""
 
@@ -247,8 +281,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     # a bucket's leader is its member with the most bucket mates overall: of a group of copies, the one that is most alike to the others
     degree = member.groupBy("rep").agg(F.sum("members").alias("degree"))
-    leader = member.join(degree, "rep").groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("rep")).alias("minus"))).alias("top"))
-    led = member.join(leader, "bucket").select((-F.col("top.minus")).alias("ua"), F.col("rep").alias("ub"), F.col("top.degree").alias("degree")).where(F.col("ua") != F.col("ub")).distinct()
+    best = F.max(F.struct("degree", (-F.col("rep")).alias("minus"))).alias("top")
+    leader = member.join(degree, "rep").groupBy("bucket").agg(F.max("members").alias("members"), best)
+    led = _by_bucket(member, leader).select((-F.col("top.minus")).alias("ua"), F.col("rep").alias("ub"), F.col("top.degree").alias("degree")).where(F.col("ua") != F.col("ub")).distinct()
     may = led.join(end("a"), "ua").join(end("b"), "ub").where(_plausible(percent))
     best = may.groupBy("ub", "hb").agg(F.max(F.struct("degree", (-F.col("ua")).alias("minus"), "ha")).alias("top"))
     first = materialize(best.select((-F.col("top.minus")).alias("ua"), F.col("top.ha").alias("ha"), "ub", "hb"), "pairs")
@@ -262,14 +297,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     label = materialize(components(links), "labels")
 
     # members of a bucket outside its largest component, against all other components
-    placed = member.select("bucket", "rep").join(label, F.col("rep") == F.col("vertex"), "left").select("bucket", "rep", F.coalesce("component", "rep").alias("comp"))
-    split = placed.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where(F.col("low") != F.col("high")).select("bucket")
-    mixed = materialize(placed.join(split, "bucket").distinct(), "mixed")
-    top = mixed.groupBy("bucket", "comp").agg(F.count("*").alias("k")).groupBy("bucket").agg(F.max(F.struct("k", "comp")).alias("top"), F.sum("k").alias("k"))
+    placed = member.join(label, F.col("rep") == F.col("vertex"), "left").select("bucket", "rep", "members", F.coalesce("component", "rep").alias("comp"))
+    split = placed.groupBy("bucket").agg(F.max("members").alias("members"), F.min("comp").alias("low"), F.max("comp").alias("high")).where(F.col("low") != F.col("high"))
+    mixed = materialize(_by_bucket(placed, split.select("bucket", "members")).distinct(), "mixed")
+    top = mixed.groupBy("bucket", "comp").agg(F.max("members").alias("members"), F.count("*").alias("k")).groupBy("bucket").agg(F.max("members").alias("members"), F.max(F.struct("k", "comp")).alias("top"), F.sum("k").alias("k"))
     sets = materialize(_sets(docs, mixed.join(light, "rep").select(F.col("rep").alias("id"), "h1").distinct(), True), "sets")
     keys = F.transform("bands", lambda x: x.bitwiseAND(F.lit(0xFFFFFFFF)) - F.lit(1 << 31)).cast("array<int>")
     known = reps.select("rep", "h1", "n", keys.alias("keys")).join(sets.select(F.col("id").alias("rep"), "h1", "t"), ["rep", "h1"]).dropDuplicates(["rep", "h1"])
-    open_ = mixed.join(top.select("bucket", F.col("top.comp").alias("top"), "k"), "bucket").join(known, "rep")
+    open_ = _by_bucket(mixed, top.select("bucket", "members", F.col("top.comp").alias("top"), "k")).join(known, "rep")
     open_ = materialize(open_.select("bucket", "k", "rep", "h1", "n", "keys", "t", "comp", "top"), "open")
     rest = _within_small(open_.where(F.col("k") <= SMALL), percent).unionByName(_within_large(open_.where(F.col("k") > SMALL), percent)).distinct()
     swapped = first.select(F.col("ub").alias("ua"), F.col("hb").alias("ha"), F.col("ua").alias("ub"), F.col("ha").alias("hb"))

@@ -1,5 +1,6 @@
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from factloom.llm import neardup
@@ -88,7 +89,26 @@ def test_blocks_give_the_same_as_joins(spark, monkeypatch):
         rows.append((k, " ".join(v)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     expected = brute(rows)
-    for small, split in ((48, 512), (1, 16), (1000, 512)):
+    for small, split, salt in ((48, 512, 1024), (1, 16, 4), (1000, 512, 16)):
+        monkeypatch.setattr(neardup, "SALT_ROWS", salt)
         monkeypatch.setattr(neardup, "SMALL", small)
         monkeypatch.setattr(neardup, "SPLIT", split)
         assert {r.doc_id: r.component_id for r in neardup.near_duplicates(docs).collect()} == expected
+
+
+def test_rows_of_large_buckets_are_linear(spark, monkeypatch):
+    """A bucket of k members without a hub makes k rows and one a pair of blocks."""
+    monkeypatch.setattr(neardup, "SPLIT", 50)
+    rng = np.random.default_rng(1)
+    bits = [rng.integers(-(1 << 62), 1 << 62, neardup.LONG_BITS // 64).tolist() for _ in range(200)]
+    # members 2m and 2m + 1 have one signature; the bucket is their least common key
+    rows = [(7, 400, i, i, 100, [7 - (1 << 31)] + [i * 64 + j for j in range(31)], bits[i // 2], i, 0) for i in range(400)]
+    open_ = spark.createDataFrame(rows, "bucket long, k long, rep long, h1 long, n long, keys array<int>, t array<long>, comp long, top long")
+    written = []
+    real = neardup.materialize
+    monkeypatch.setattr(neardup, "materialize", lambda df, name: written.append(real(df, name)) or written[-1])
+    pairs = neardup._within_large(open_, 75)
+    blocks = written[0].select("bucket", "block", F.length("rep") / 8).collect()
+    assert sum(r[2] for r in blocks) == len(rows) and len(blocks) <= 16
+    got = [(r.ua, r.ub) for r in pairs.collect()]
+    assert sorted(got) == sorted((1, 0) if m == 0 else (2 * m, 2 * m + 1) for m in range(200))  # 0 is the largest component
