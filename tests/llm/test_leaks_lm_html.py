@@ -49,10 +49,54 @@ def test_leaks_verbatim_paraphrased_and_none(spark, nothing):
     clean = decontaminate.clean(table, benchmark)
     assert clean.columns == table.columns and clean.count() == len(docs) - 61
     # several blocks give the same
-    assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(table, benchmark, block_size=7).collect()} == got
+    assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(table, benchmark, block_words=150).collect()} == got
+    assert decontaminate.clean(table, benchmark, block_words=150).count() == len(docs) - 61
     assert decontaminate.leaks(table, benchmark.limit(0)).count() == 0 and decontaminate.leaks(nothing, benchmark).count() == 0
 
 
+def test_paraphrase_recall(spark):
+    """1,200 paraphrases with known longest common subsequences and answers: all that qualify are found, and the cosine gate loses none of them."""
+    rng = random.Random(17)
+    nouns = ["".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(3)) for _ in range(900)]
+    other = ["x" + w for w in nouns]
+    items = {f"item-{i}": [rng.choice(nouns) for _ in range(rng.randint(18, 31))] + [f"answer{i}", f"key{i}"] for i in range(60)}
+    rows, expected = [], set()
+    for k in range(1200):
+        name = rng.choice(list(items))
+        item, rate, out = items[name], rng.choice([0.05, 0.15, 0.25, 0.35]), []
+        for w in item:
+            x = rng.random()
+            if x < rate * 0.4:
+                continue
+            out.append(rng.choice(other) if x < rate * 0.8 else w)
+            if x > 1 - rate * 0.3 and len(out) > 1:
+                out[-1], out[-2] = out[-2], out[-1]
+        code = {w: i for i, w in enumerate(set(item + out))}
+        common = decontaminate.lcs(np.array([code[w] for w in item]), np.array([code[w] for w in out]))
+        if common >= 0.7 * len(item) and any(w in out for w in item[-2:]):
+            expected.add((k, name))
+        fill = lambda: [rng.choice(other) for _ in range(rng.randint(0, 120))]
+        rows.append((k, " ".join([*fill(), *out, *fill()]).capitalize() + "."))
+    docs = spark.createDataFrame(rows * 2, "doc_id long, text string").repartition(4)  # every row twice
+    benchmark = spark.createDataFrame([(n, " ".join(w), " ".join(w[-2:])) for n, w in items.items()] + [(None, "qq ww ee rr tt", "tt")], "item_id string, text string, answer string")
+    got = [(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, benchmark).collect()]
+    ungated = {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, benchmark, cosine=-1.0).collect()}
+    assert 400 < len(expected) < 1200 and len(got) == 2 * len(set(got))
+    assert set(got) - expected == set() and ungated == expected
+    assert len(set(got)) >= 0.99 * len(expected)
+
+
+def test_a_very_long_text_and_null_item_ids_leak(spark):
+    rng = random.Random(2)
+    item = "the exam question asks which river flows through seven named towns before the sea"
+    long = "".join(sentence(rng, 10) for _ in range(20_000)) + item + " " + "".join(sentence(rng, 10) for _ in range(20_000))
+    docs = spark.createDataFrame([(1, long, "mine"), (2, long[:100_000], "mine"), (3, item, "mine"), (3, item, "mine")], "doc_id long, text string, item_id string")
+    benchmark = spark.createDataFrame([(None, item), (-1, item)], "item_id int, text string")
+    got = sorted((r.doc_id, repr(r.item_id)) for r in decontaminate.leaks(docs, benchmark).collect())
+    assert got == sorted((i, x) for i in (1, 3, 3) for x in ("None", "-1"))
+    assert decontaminate.clean(docs, benchmark).collect() == [(2, long[:100_000], "mine")]
+
+
 def test_language_model_base_is_exact(docs, corpus, nothing):
     def tokens(t):
         return re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")) + ["\n"]
