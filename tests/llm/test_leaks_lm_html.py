@@ -114,19 +114,107 @@ def test_language_model_base_is_exact(docs, corpus, nothing):
     assert language_model.text_scores(nothing).count() == 0
 
 
-def test_language_model_is_a_distribution(docs):
+def test_language_model_is_a_distribution(docs, monkeypatch):
+    monkeypatch.setattr(language_model, "FREQUENT", 30)
     model, counts = language_model.fit(docs)
-    z = model.log_class(np.arange(50), np.arange(50), np.arange(50))
-    assert np.allclose(np.exp(z).sum(axis=1), 1, atol=1e-4)
-    # within a class: all known words and one unknown word
-    rows = counts.collect()
-    own = {w: c for w, c in zip(model.words.view(np.int64).tolist(), model.classes.tolist(), strict=True)}
-    total = collections.Counter()
-    for r in rows:
-        c = own.get(r.w, r.cls)
-        total[c] += (r.n + 0.5) / (model.class_total[c] + 0.5 * (model.class_distinct[c] + 1))
-    for c, p in total.items():
-        assert abs(p + 0.5 / (model.class_total[c] + 0.5 * (model.class_distinct[c] + 1)) - 1) < 1e-9
+    known = [(r.w, r.cls) for r in counts.collect()]
+    unknown = [(-5 - c, c) for c in range(language_model.TOP + 1, language_model.CLASSES)]
+    rare = {r.w: r.n for r in counts.collect()}
+    for first, second in ((known[0], known[1]), (known[5], known[9]), (unknown[3], known[2])):
+        rows = [[first, second, last] for last in known + unknown]
+        h = np.array([w for r in rows for w, _ in r], np.int64).view(np.uint64)
+        cls = np.array([c for r in rows for _, c in r])
+        at, other, logs = language_model.log_probabilities(model, h, cls, np.repeat(np.arange(len(rows)), 3))
+        total = 0.0
+        for i, (w, _) in enumerate(known + unknown):
+            k = 3 * i + 2
+            total += 10 ** logs[k] * (rare.get(w, 0) + 0.5 if other[k] else 1.0)
+        assert abs(total - 1) < 1e-5, total
+
+
+def brute_steps(model, h, cls, slot, row, batch):
+    """Gradient steps token by token, with dictionaries of weight rows."""
+    lm = language_model
+    of_class, of_slot = lm.history(h, cls, row)
+    tables = []
+    for keys, target, table in ((of_class, cls, model.by_class), (of_slot, slot, model.by_slot)):
+        w, sq, seen = {}, collections.defaultdict(lambda: 1.0), collections.Counter()
+        get = lambda k, w=w, table=table: w.setdefault(k, table[k].astype(float).copy())
+        for i in range(0, len(h), batch):
+            use = [t for t in range(i, min(i + batch, len(h))) if table is model.by_class or cls[t] > lm.TOP]
+            grads = [collections.defaultdict(float) for _ in keys]
+            counts = [collections.Counter() for _ in keys]
+            for t in use:
+                z = sum(get(int(k[t])) for k in keys)
+                p = np.exp(z - z.max())
+                p /= p.sum()
+                p[target[t]] -= 1
+                for g, n, k in zip(grads, counts, keys, strict=True):
+                    g[int(k[t])] = g[int(k[t])] + p
+                    n[int(k[t])] += 1
+            for g, n in zip(grads, counts, strict=True):
+                for k, v in g.items():
+                    v = v / math.sqrt(n[k])
+                    sq[k] += float(np.mean(v * v))
+                    get(k)
+                    w[k] -= lm.STEP * v / math.sqrt(sq[k])
+                    seen[k] += n[k]
+        tables.append((w, seen))
+    return tables
+
+
+def test_language_model_equals_a_dense_one(docs, corpus, monkeypatch):
+    import pyarrow as pa
+
+    from factloom.llm import textbatch as tb
+
+    monkeypatch.setattr(language_model, "STEP_TOKENS", 64)
+    model, _ = language_model.fit(docs.limit(0))
+    trained, _ = language_model.fit(docs)
+    assert (model.total, trained.total > 0) == (0, True)
+    texts = [r[1] for r in corpus[:25]]
+    start = language_model.Model(**{f: getattr(trained, f).copy() if isinstance(getattr(trained, f), np.ndarray) else getattr(trained, f) for f in trained.__dataclass_fields__})
+    (s,) = tb.slices(pa.array(texts))
+    found = language_model.descend(start, [s])
+    h, cls, row = language_model.tokens(s)
+    _, cls, slot = start.encode(h, cls)
+    for d, (w, seen) in zip(found, brute_steps(start, h, cls, slot, row, 64), strict=True):
+        assert {int(k) for k in np.flatnonzero(d.seen)} == set(seen) and all(d.seen[k] == n for k, n in seen.items())
+        assert max(np.abs(d.table[k] - v).max() for k, v in w.items()) < 1e-3
+    # scores token by token
+    at, other, logs = language_model.log_probabilities(trained, h, cls, row)
+    of_class, of_slot = language_model.history(h, cls, row)
+    for t in range(0, len(h), 7):
+        z = sum(trained.by_class[k[t]].astype(float) for k in of_class)
+        p = math.exp(z[cls[t]]) / sum(math.exp(x) for x in z)
+        if cls[t] > language_model.TOP:
+            z = sum(trained.by_slot[k[t]].astype(float) for k in of_slot)
+            p *= math.exp(z[slot[t]]) / sum(math.exp(x) for x in z)
+            if slot[t] == 0:
+                p /= trained.other_total[cls[t]] + 0.5 * (trained.other_distinct[cls[t]] + 1)
+        assert abs(math.log10(p) - logs[t]) < 1e-4
+
+
+def test_average_equals_plain_sums():
+    rng = np.random.default_rng(4)
+    parts, total, weight = [], collections.defaultdict(float), collections.Counter()
+    for _ in range(5):
+        rows = np.sort(rng.choice(20, 8, replace=False)).astype(np.int32)
+        seen, v = rng.integers(1, 9, 8).astype(float), rng.normal(size=(8, 3)).astype(np.float32)
+        parts.append((rows.tobytes(), seen.tobytes(), v.tobytes()))
+        for r, n, x in zip(rows.tolist(), seen, v, strict=True):
+            total[r] = total[r] + n * x
+            weight[r] += n
+    rows, seen, v = language_model._average(parts, 3)
+    assert np.frombuffer(rows, np.int32).tolist() == sorted(total)
+    assert np.allclose(np.frombuffer(v, np.float32).reshape(-1, 3), [total[r] / weight[r] for r in sorted(total)], atol=1e-6)
+
+
+def test_scores_do_not_depend_on_partitions(docs, monkeypatch):
+    monkeypatch.setattr(language_model, "SHARD_TOKENS", 8000)
+    monkeypatch.setattr(language_model, "_FAN_IN", 2)
+    of = lambda d: sorted((repr(r.doc_id), r.n_tokens, round(r.score, 9)) for r in language_model.text_scores(d).collect())
+    assert of(docs) == of(docs.repartition(1)) == of(docs.repartition(7))
 
 
 def test_rare_words_join_the_counts(docs, monkeypatch):
