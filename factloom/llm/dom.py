@@ -20,7 +20,7 @@ _TOKEN = re.compile(
 #: Elements that are dropped with their content, but only where they have an end tag.
 _DROPPED = re.compile(_NEVER + r"|<(/?)(svg|object|select)(?=[\s/>])([^>]*)>", re.S | re.I)
 _ATTRIBUTE = re.compile(r"(class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_PART = re.compile(r"[a-z]+|[0-9]+", re.I)
+_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark output q ruby rp rt s samp small span strike strong sub sup time tt u var wbr img br".split())
 #: Start tag: the open elements that it closes, up to a boundary.
@@ -35,13 +35,21 @@ _CLOSES = {
     "body": ({"head"}, set()),
 }
 _ENDS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
-TOKENS = 96
+#: Hashed tokens whose log-odds are learned.
+TOKENS = 1 << 15
+#: Hashed flags: of an element's own tokens, and as many of its ancestors'.
+FLAGS = 512
 
 
-def _bucket(token: str) -> int:
+def bucket(token: str) -> int:
     return zlib.crc32(token.encode()) % TOKENS
 
 
+def _signs(tag: str, parts: tuple[str, ...]) -> list[str]:
+    """The tokens of an element: its tag, the parts of its attributes, and the beginnings of longer parts."""
+    return [f"<{tag}", *parts, *(f"^{p[:k]}" for p in parts for k in (5, 7) if len(p) > k)]
+
+
 def _dropped(source: str) -> dict[int, int]:
     """Start to end of each svg, object and select that has an end tag of its own. A self-closed svg is empty."""
     found, open_ = {}, {"svg": [], "object": [], "select": []}
@@ -129,6 +137,14 @@ class Page:
             n[i] += len(t.strip())
         return n
 
+    def units(self) -> list[int]:
+        """The element that decides for each one's own text: itself, but for an inline element without a name the one around it."""
+        at = list(range(len(self.tag)))
+        for i in range(1, len(at)):
+            if self.tag[i] in _INLINE and not self.tokens[i]:
+                at[i] = at[self.parent[i]]
+        return at
+
     def blocks(self, chosen: np.ndarray) -> list[str]:
         """Texts of the blocks among the chosen elements' own text, in page order."""
         tag, parent = self.tag, self.parent
@@ -145,8 +161,8 @@ class Page:
         texts = (" ".join(entities.unescape("".join(p)).split()) for p in out if p)
         return [t for t in texts if t]
 
-    def features(self) -> np.ndarray:
-        """A row of FEATURES for each element."""
+    def numbers(self) -> np.ndarray:
+        """A row of NUMERIC features for each element."""
         n = len(self.tag)
         own = self.lengths()
         parent, end = np.array(self.parent), np.array(self.end)
@@ -160,7 +176,7 @@ class Page:
             inside_link[i] = self.tag[i] == "a" or inside_link[parent[i]]
         sub = lambda v: (c := np.r_[0, np.cumsum(v)])[end] - c[:n]
         chars, links, tags = sub(own), sub(own * inside_link), (end - np.arange(n)).astype(float)
-        paragraphs, controls, items, marks = sub(is_("p")), sub(is_("input", "button", "form", "label")), sub(is_("li")), sub(commas)
+        paragraphs, controls, items, marks = sub(is_("p")), sub(is_("input", "button", "form", "label", "textarea", "select")), sub(is_("li")), sub(commas)
         kids = np.bincount(parent[1:], minlength=n).astype(float) if n > 1 else np.zeros(n)
         place = np.zeros(n)
         seen = np.zeros(n)
@@ -170,19 +186,69 @@ class Page:
         up = np.maximum(parent, 0)
         total = max(chars[0], 1.0)
         before = np.r_[0, np.cumsum(own)][:n]
-        numeric = np.column_stack(
+        # what paragraphs beside an element hold
+        beside = np.bincount(up[1:], weights=(chars * is_("p"))[1:], minlength=n)[up] - chars * is_("p")
+        return np.column_stack(
             [
                 np.array(self.depth), np.log1p(chars), chars / total, chars / np.maximum(chars[up], 1), links / np.maximum(chars, 1), links[up] / np.maximum(chars[up], 1), np.log1p(chars / tags), np.log1p(tags),
                 np.log1p(paragraphs), np.log1p(sub(link)), np.log1p(items), np.log1p(controls), marks / np.maximum(chars, 1) * 100, kids, kids[up], place / np.maximum(kids[up], 1), before / total, np.log1p(own), paragraphs / tags,
+                np.log1p(np.maximum(beside, 0)), np.full(n, np.log1p(total)), np.full(n, np.log1p(n)),
             ]
-        )
-        flags = np.zeros((n, 2 * TOKENS))
-        for i in range(n):
-            for t in (f"<{self.tag[i]}", *self.tokens[i]):
-                flags[i, _bucket(t)] = 1
-        for i in range(1, n):  # what any ancestor says
-            flags[i, TOKENS:] = np.maximum(flags[parent[i], TOKENS:], flags[parent[i], :TOKENS])
-        return np.hstack([numeric, flags])
+        ).astype(np.float32)
+
+    def masks(self) -> tuple[list[int], list[int]]:
+        """The flags of each element's tokens and of its ancestors', as bits of an integer. Equal ones are one object."""
+        known: dict[tuple, int] = {}
+        own, above, below = [], [], []
+        for i, (tag, parent) in enumerate(zip(self.tag, self.parent, strict=True)):
+            key = (tag, self.tokens[i])
+            if key not in known:
+                known[key] = 0
+                for t in _signs(tag, self.tokens[i]):
+                    known[key] |= 1 << bucket(t) % FLAGS
+            own.append(known[key])
+            above.append(below[parent] if i else 0)
+            both = above[i] | own[i]
+            below.append(above[i] if both == above[i] else both)
+        return own, above
+
+
+    def signs(self, i: int) -> list[str]:
+        return _signs(self.tag[i], self.tokens[i])
+
+    def names(self, odds: np.ndarray) -> np.ndarray:
+        """A row of NAMES features for each element: what the log-odds of tokens say of it, its ancestors and its text."""
+        n = len(self.tag)
+        known: dict[tuple, tuple[float, float]] = {}
+        least, most, above_least, above_most = np.zeros(n), np.zeros(n), np.zeros(n), np.zeros(n)
+        for i, (tag, parent) in enumerate(zip(self.tag, self.parent, strict=True)):
+            key = (tag, self.tokens[i])
+            if key not in known:
+                v = [float(odds[bucket(t)]) for t in _signs(tag, self.tokens[i])]
+                known[key] = min(v), max(v)
+            least[i], most[i] = known[key]
+            if i:
+                above_least[i], above_most[i] = min(above_least[parent], least[parent]), max(above_most[parent], most[parent])
+        parent, end, own = np.maximum(np.array(self.parent), 0), np.array(self.end), self.lengths()
+        sub = lambda v: (c := np.r_[0, np.cumsum(v)])[end] - c[:n]
+        path = np.minimum(least, above_least)
+        bad, chars = sub(own * (path < -1)), np.maximum(sub(own), 1)
+        return np.column_stack([least, most, least[parent], most[parent], above_least, above_most, path, bad / chars, (bad[0] - bad) / max(own.sum(), 1)]).astype(np.float32)
+
+
+def flags(own: list[int], above: list[int], used: np.ndarray | None = None) -> np.ndarray:
+    """0/1 flags of some elements: FLAGS of their own and FLAGS of their ancestors, or those of them that are used."""
+    def bits(masks: list[int], columns: np.ndarray | slice) -> np.ndarray:
+        place: dict[int, int] = {}
+        at = [place.setdefault(m, len(place)) for m in masks]
+        packed = np.frombuffer(b"".join(m.to_bytes(FLAGS // 8, "little") for m in place), np.uint8).reshape(len(place), -1)
+        if isinstance(columns, slice):
+            return np.unpackbits(packed, axis=1, bitorder="little")[at]
+        return ((packed[:, columns >> 3] >> (columns & 7).astype(np.uint8)) & 1)[at]
+
+    if used is None:
+        return np.hstack([bits(own, slice(None)), bits(above, slice(None))])
+    return np.hstack([bits(own, used[used < FLAGS]), bits(above, used[used >= FLAGS] - FLAGS)])
 
 
-NUMERIC = 19
+NUMERIC, NAMES = 22, 9

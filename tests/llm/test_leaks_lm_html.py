@@ -256,15 +256,85 @@ def test_extra_columns_stay_or_are_replaced(spark):
     assert r.keep == 3 and r.text.startswith("The & title") and r.asDict().keys() == {"page_id", "url", "html", "keep", "text", "n_chars"}
 
 
-def test_decoding_never_contradicts_an_ancestor():
-    from factloom.llm.dom import Page
+def brute_decode(page, z, i):
+    """Best score of the subtree of element i and the elements whose own text it takes, by trying its three verdicts; nameless inline elements are parts of the one around them."""
+    inline = {"b"}
+    own, inside = page.lengths(), range(i, page.end[i])
+    size = sum(own[k] for k in inside)
+    zi = max(-6.0, min(6.0, z[i]))
+
+    def around(k):
+        k = page.parent[k]
+        return k if page.tag[k] not in inline or k == i else around(k)
+
+    unit = [k for k in inside if k == i or (page.tag[k] in inline and around(k) == i)]
+    kids = [brute_decode(page, z, k) for k in inside if k != i and page.tag[k] not in inline and around(k) == i]
+    parts = (sum(own[k] for k in unit) * abs(zi) + sum(s for s, _ in kids) - 0.5, (set(unit) if zi > 0 else set()) | set().union(*(t for _, t in kids)))
+    return max([(zi * size, set(inside)), (-zi * size, set()), parts], key=lambda v: v[0])
 
-    page = Page(PAGE)
-    rng = np.random.default_rng(0)
-    for _ in range(20):
-        chosen = extraction.decode(page, rng.normal(size=len(page.tag)) * 3)
-        assert chosen.dtype == bool and len(chosen) == len(page.tag)
 
+def test_decoding_is_the_best_consistent_cut():
+    """An element that is taken or dropped whole decides for all below it; no other cut scores better."""
+    rng = random.Random(12)
+    tags = ["div", "section", "ul", "b", "p"]
+
+    def tree(depth):
+        inner = "".join(tree(depth - 1) for _ in range(rng.randint(0, 3))) if depth else ""
+        tag = rng.choice(tags)
+        return f"<{tag}>{'t' * rng.randint(0, 9)}{inner}</{tag}>"
+
+    for _ in range(60):
+        page = extraction.Page("".join(tree(3) for _ in range(2)))
+        z = np.array([rng.uniform(-8, 8) for _ in page.tag])
+        own = page.lengths()
+        chosen = {k for k in np.flatnonzero(extraction.decode(page, z)).tolist() if own[k]}
+        assert chosen == {k for k in brute_decode(page, z, 0)[1] if own[k]}
+
+
+TEMPLATES = {
+    "comments inside the article": ('<html><body><article><h1>Title here</h1><p>First para of the story, long enough to count.</p><p>Second one.</p><section class="comments"><h3>2 comments</h3><div class="comment"><p>I really liked this, thanks for the writing.</p></div><div class="comment"><p>Me too</p></div></section></article></body></html>', "Title here\nFirst para of the story, long enough to count.\nSecond one."),
+    "a thread after the article": ('<html><body><nav><a href=/>Home</a></nav><article><h1>Title here</h1><p>First para of the story, long enough to count.</p><p>Second one.</p></article><div id="disqus_thread"><div class="reply">I think that is wrong, and here is a long reason why it is.</div><div class="reply">No it is not.</div></div></body></html>', "Title here\nFirst para of the story, long enough to count.\nSecond one."),
+    "an aside inside the article": ('<body><article><h1>Title here</h1><p>First para of the story, long enough to count.</p><aside class="related"><h3>Read also</h3><ul><li><a href=x>Another story about this</a></li></ul></aside><p>Second one.</p></article>', "Title here\nFirst para of the story, long enough to count.\nSecond one."),
+    "code, caption and a short end": ("<main><h1>How to install</h1><p>Run the following command in your shell.</p><pre>make install\n  --all</pre><figure><img src=a.png><figcaption>The result on screen</figcaption></figure><p>Short.</p></main>", "How to install\nRun the following command in your shell.\nmake install --all\nThe result on screen\nShort."),
+    "only paragraphs": ("<p>One paragraph only here.</p><p>And another.</p>", "One paragraph only here.\nAnd another."),
+    "only text": ("Just some text without any markup at all &amp; no more.", "Just some text without any markup at all & no more."),
+    "no container": ("<html><body><nav><ul><li><a href=1>A</a></li><li><a href=2>B</a></li></ul></nav><h1>Heading</h1><p>Text of the page that goes on for a while and then ends.</p><p>Ok.</p><footer>(c) 2020</footer></body></html>", "Heading\nText of the page that goes on for a while and then ends.\nOk."),
+    "a blog": ('<div id="page"><div id="masthead"><a href=/>My blog</a><p>just another site</p></div><div id="primary"><div class="hentry"><h2 class="entry-title">A walk</h2><div class="entry-content"><p>We went out early in the morning, and it rained.</p><ul><li>first stop</li><li>second stop</li></ul><p>Bye</p></div><div class="sharedaddy sd-sharing"><a href=f>Facebook</a> <a href=t>Twitter</a></div></div><div id="respond"><h3>Leave a reply</h3><form><textarea></textarea></form></div></div><div id="secondary" class="widget-area"><h3>Archives</h3><ul><li><a href=1>May</a></li><li><a href=2>June</a></li></ul></div></div>', "A walk\nWe went out early in the morning, and it rained.\nfirst stop\nsecond stop\nBye"),
+    "a table as layout": ('<table><tr><td class="menu"><a href=1>Home</a><br><a href=2>News</a></td><td><h1>Old page</h1><p>This is a page from long ago, with tables for its layout.</p>Loose text here.</td></tr></table>', "Old page\nThis is a page from long ago, with tables for its layout.\nLoose text here."),
+    "a notice, a header with a heading, an advert": ('<body><div class="cookie-banner">We use cookies to make this site better. <button>OK</button></div><header class="site-header"><h1>Daily News</h1><nav><a href=a>World</a><a href=b>Sport</a></nav></header><main><article class="story"><h1>Rain</h1><p>It rained all day in the north of the country.</p><div class="ad-slot">Advertisement: buy shoes now</div><p>It will stop.</p><blockquote>We are wet, said a man.</blockquote></article></main><footer><p>All rights reserved, the publisher.</p></footer>', "Rain\nIt rained all day in the north of the country.\nIt will stop.\nWe are wet, said a man."),
+    "a form inside": ('<main id="content"><h1>On bees</h1><p>Bees are insects that make honey, and they live in hives.</p><form class="newsletter"><p>Sign up for more</p><input><button>Go</button></form><p>They dance.</p><dl><dt>Drone</dt><dd>A male bee</dd></dl></main>', "On bees\nBees are insects that make honey, and they live in hives.\nThey dance.\nDrone\nA male bee"),
+    "a comment longer than the article": ('<div class="post"><p>Short note.</p></div><div class="comments-area"><ol><li><cite>Ann</cite><p>What a long and thoughtful comment this is, it goes on and on, with commas, and several sentences. Really it does. It is longer than the note.</p></li></ol></div>', "Short note."),
+    "only a menu": ("<nav><a href=x>only a menu</a></nav>", ""),
+}
+
+
+def test_unlike_templates():
+    model = extraction.train()
+    got = dict(zip(TEMPLATES, extraction.main_texts_of([h for h, _ in TEMPLATES.values()], model), strict=True))
+    assert got == {k: text for k, (_, text) in TEMPLATES.items()}
+
+
+def test_generated_pages_that_were_not_trained_on():
+    rng, model, same = random.Random(977), extraction.train(), 0
+    for _ in range(200):
+        source, unmarked = extraction._Writer(rng).page()
+        page = extraction.Page(source)
+        same += "\n".join(page.blocks(extraction._marks(source, page, unmarked) > 0)) == extraction.main_texts_of([source], model)[0]
+    assert same >= 180
+
+
+def test_a_page_of_ten_megabytes_and_an_empty_table(spark):
+    import resource
+
+    paragraphs = [f"<p>Some <b>bold</b> words, number {i}, of a long article.</p>" for i in range(170_000)]
+    source = "<nav><a href=/>Home</a></nav><article><h1>Long</h1>" + "".join(paragraphs) + '</article><div class="comments"><p>Me</p></div>'
+    assert len(source) > 9_000_000
+    model = extraction.train()
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    (text,) = extraction.main_texts_of([source], model)
+    assert text.count("\n") == 170_000 and text.startswith("Long\nSome bold words, number 0,") and not text.endswith("Me")
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 900_000  # kilobytes
+    assert extraction.main_texts(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 def test_clashing_score_columns(spark, docs):
     model, counts = language_model.fit(docs)
