@@ -201,13 +201,25 @@ class Model:
     used: np.ndarray  # flags that the trees look at
 
     def log_odds(self, pages: list[Page]) -> np.ndarray:
-        """Of all elements of some pages, in chunks, so that a page of any size needs little more than its own parts."""
-        out = []
+        """Of all elements of some pages, _CHUNK at a time, so that a page of any size needs little more than its own parts."""
+        out, held, n = [np.zeros(0)], [], 0
+
+        def flush() -> None:
+            x, own, above = (list(v) for v in zip(*held, strict=True))
+            join = lambda lists: [m for v in lists for m in v]
+            out.append(self.trees.logit(np.hstack([np.vstack(x), flags(join(own), join(above), self.used)])))
+            held.clear()
+
         for page in pages:
             x, (own, above) = np.hstack([page.numbers(), page.names(self.odds)]), page.masks()
             for i in range(0, len(x), _CHUNK):
-                j = slice(i, i + _CHUNK)
-                out.append(self.trees.logit(np.hstack([x[j], flags(own[j], above[j], self.used)])))
+                held.append((x[i : i + _CHUNK], own[i : i + _CHUNK], above[i : i + _CHUNK]))
+                n += len(held[-1][0])
+                if n >= _CHUNK:
+                    flush()
+                    n = 0
+        if held:
+            flush()
         return np.concatenate(out)
 
 
