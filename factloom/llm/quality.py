@@ -6,8 +6,8 @@ equations whose sums each partition makes on its own; only these fixed-size sums
 Pool-adjacent-violators on a part of the sample that the ridge did not see turns raw scores into
 probabilities.
 
-Defined results: null text reads as empty and gets the score of an all-zero statistic row; repeated ids are
-scored each; labels without id or value are left out; without labels of both classes every score is the
+Defined results: null text reads as empty and gets the score of an all-zero statistic row; repeated ids and rows are
+scored each, and alike; a very long text is scored whole; an empty table gives an empty result; texts of equal statistics score the same; labels without id or value are left out; without labels of both classes every score is the
 share of the class that there is (0.5 without any).  Input columns named as an output are replaced.
 """
 

@@ -1,13 +1,13 @@
 """Toxicity by multiple-instance learning.
 
 A document is a bag of sentences.  A sentence's score is the logistic of summed weights of its words and their beginnings (hashed);
-the document's score is their noisy-or, 1 - prod(1 - p).  The weights are trained from document labels alone by
+the document's score is their noisy-or, 1 - prod(1 - p), where p is what the sentence adds to one without evidence.  The weights are trained from document labels alone by
 full-batch adaptive gradients of the noisy-or likelihood, on a bounded labelled sample.  The trained
 sentence scores then locate the offending sentences.
 
 Words are maximal runs of letters (A-Z lower-cased; all non-ASCII characters count as letters); sentences end at
-``.``, ``!``, ``?`` or a line feed.  Defined results: a text without words, or a null one, scores 0; repeated ids are scored
-each; without labels of both classes every score is the share of label 1.  Input columns named as an output are replaced.
+``.``, ``!``, ``?`` or a line feed.  Defined results: a text without words, or a null one, scores 0; repeated ids and rows are scored
+each, and alike; a very long text is scored whole; an empty table gives an empty result; rows of one id whose labels differ count as label 1 from a half on; without labels of both classes every score is the share of label 1.  Input columns named as an output are replaced.
 """
 
 from __future__ import annotations
@@ -76,8 +76,10 @@ class Model:
     flat: float | None = None
 
     def sentence(self, x: Sentences) -> np.ndarray:
+        """What a sentence adds to one without any weighted word, which scores 0: else the leak of the bias would condemn every text of many sentences."""
         z = np.bincount(x.sentence, weights=self.weights[x.feature], minlength=len(x.row)) + self.bias
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        p, leak = 1 / (1 + np.exp(-np.clip(z, -30, 30))), 1 / (1 + np.exp(-self.bias))
+        return np.maximum(p - leak, 0) / (1 - leak)
 
     def document(self, p: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
         if self.flat is not None:
@@ -182,6 +184,6 @@ def score(docs: DataFrame, model: Model, cut: float = 0.5, keep: list[str] | Non
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, limit: int = SAMPLE) -> DataFrame:
-    """doc_id, held_out, score, predicted and the number of offending sentences for every document."""
-    out = score(docs, fit(docs, labels, limit=limit), keep=["doc_id"], locate=False)
-    return out.select("doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= threshold).cast("int").alias("predicted"), "n_offending")
+    """doc_id, held_out, score, predicted, and the offending sentences with their scores, of every document."""
+    out = score(docs, fit(docs, labels, limit=limit), keep=["doc_id"])
+    return out.select("doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= threshold).cast("int").alias("predicted"), "n_offending", "offending")

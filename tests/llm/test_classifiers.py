@@ -48,6 +48,7 @@ def test_toxicity_held_out_and_located(marked):
     docs, labels = marked
     out = toxicity.toxicity_scores(docs, labels)
     assert accuracy(out, labels, "toxic", 503) > 0.97
+    assert all(len(r.offending) == r.n_offending for r in out.collect())
     found = toxicity.score(docs.where("doc_id < 40"), toxicity.fit(docs, labels), keep=["doc_id", "text"]).where("toxicity >= 0.5").collect()
     assert found and all(any("nasty" in s.sentence or "horrid" in s.sentence for s in r.offending) for r in found)
 
@@ -267,3 +268,128 @@ def test_languages_equal_brute_force(spark):
     assert got == [(expected[i][0], round(expected[i][1], 9)) for i in order]
     by = {rows[i][0]: g[0] for i, g in zip(order, got, strict=True)}
     assert by[300] == by[301] == by[303] == by[304] == "und" and by[302] == "bb" and by[305] == "aa" and by[400] == by[401] == "cc"
+
+
+def brute_statistics(text):
+    """STATISTICS of a text, from the words and lines themselves."""
+    import math
+    import re
+    from collections import Counter
+
+    t = text or ""
+    raw = t.encode()
+    words, lines = re.findall(rb"[^\x20\x09-\x0D]+", raw), [x for x in raw.split(b"\n") if x]
+    n, size = len(words), sum(map(len, words))
+    triples = [tuple(words[i : i + 3]) for i in range(n - 2)]
+    again = lambda v: len(v) - len(set(v))
+    count = lambda pattern: len(re.findall(pattern, raw))
+    upper, lower, chars, one, a_line = count(rb"[A-Z]"), count(rb"[a-z]"), max(size, 1), max(n, 1), max(len(lines), 1)
+    return [
+        math.log1p(n), math.log1p(size / one), upper / max(upper + lower, 1), count(rb"[0-9]") / chars, math.sqrt(count(rb"[#*$%&|<>]") / chars), math.sqrt(count(rb"[!?]") / chars), count(rb"[.,;:'\"()-]") / chars,
+        count(rb"[\x80-\xff]") / chars, len(set(words)) / one, max(Counter(words).values(), default=0) / one, math.sqrt(again(triples) / max(len(triples), 1)), math.sqrt(again(lines) / a_line),
+        math.log1p(len(lines)), math.log1p(n / a_line), sum(len(x) < 30 for x in lines) / a_line,
+    ]
+
+
+def test_statistics_equal_plain_python(corpus):
+    import pyarrow as pa
+
+    texts = [r[1] for r in corpus] + ["a b a b a b\n\na b\na b", "é ß – x", "\n", "word " * 50_000]
+    got = quality._all_statistics(pa.array(texts, pa.string()))
+    assert np.allclose(got, [brute_statistics(t) for t in texts])
+
+
+def test_fourier_features_approximate_the_kernel():
+    rng = np.random.default_rng(5)
+    d, many = len(quality.STATISTICS), 40_000
+    m = quality.Model(np.zeros(d), np.ones(d), rng.normal(scale=np.sqrt(2 * quality.GAMMA), size=(d, many)), rng.uniform(0, 2 * np.pi, many), np.zeros(many + 1), np.zeros(1), np.zeros(1))
+    x = rng.normal(scale=0.6, size=(12, d))
+    z = m.lift(x)[:, :-1]
+    kernel = np.exp(-quality.GAMMA * ((x[:, None] - x[None]) ** 2).sum(axis=2))
+    assert np.abs(z @ z.T - kernel).max() < 0.03
+
+
+def test_ridge_equals_one_solution_of_all_rows(marked, spark):
+    """The weights from partition sums are those of the whole sample's normal equations."""
+    import pyarrow as pa
+
+    docs, labels = marked
+    model = quality.fit(docs, labels)
+    y = {r.doc_id: r.y for r in labelled(labels, "quality", quality.SAMPLE).collect()}
+    rows = docs.where("doc_id is not null").select("doc_id", "text", (F.pmod(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1000)), F.lit(5)) == 0).alias("part")).collect()
+    rows = [r for r in rows if r.doc_id in y]
+    x = quality._all_statistics(pa.array([r.text for r in rows], pa.string()))
+    assert np.allclose(model.mean, x.mean(axis=0)) and np.allclose(model.scale, np.where(x.std(axis=0) > 1e-9, x.std(axis=0), 1))
+    labels_ = np.array([y[r.doc_id] for r in rows])
+    n, ones = len(rows), labels_.sum()
+    use = np.array([not r.part for r in rows])
+    z = model.lift(x[use])
+    w = np.where(labels_[use] == 1, 0.5 * n / ones, 0.5 * n / (n - ones))
+    a = z.T @ (w[:, None] * z) + quality.RIDGE * n * np.diag(np.r_[np.ones(z.shape[1] - 1), 1e-6])
+    assert np.allclose(a @ model.weights, z.T @ (w * labels_[use]), rtol=1e-6, atol=1e-6)
+
+
+def test_isotonic_equals_the_min_max_formula():
+    rng = np.random.default_rng(2)
+    x, y = np.sort(rng.normal(size=60)), (rng.random(60) < 0.5).astype(float)
+    knots, values = quality.isotonic(x, y)
+    mean = lambda i, j: y[i : j + 1].mean()
+    expected = [max(min(mean(i, j) for j in range(k, 60)) for i in range(k + 1)) for k in range(60)]
+    assert np.allclose([values[np.searchsorted(knots, v, side="left").clip(max=len(knots) - 1)] if v in knots else np.interp(v, knots, values) for v in knots], values)
+    blocks = sorted(set(np.round(expected, 9)))
+    assert np.allclose(sorted(values), blocks)
+
+
+def test_noisy_or_gradient_and_score_equal_definitions():
+    import pyarrow as pa
+
+    from factloom.llm import textbatch as tb
+
+    rng = np.random.default_rng(3)
+    feature, sentence_ = rng.integers(0, 9, 40), np.sort(rng.integers(0, 12, 40))
+    bag, y = np.sort(rng.integers(0, 5, 12)), np.array([1.0, 0, 1, 0, 1])
+    w, b, weight = rng.normal(size=9), -0.7, np.array([1.0, 2, 1, 2, 1])
+
+    def loss(w, b):
+        out = 0.0
+        for k in range(5):
+            none = 1.0
+            for s in np.flatnonzero(bag == k):
+                none *= 1 - 1 / (1 + np.exp(-(b + sum(w[f] for f in feature[sentence_ == s]))))
+            out -= weight[k] * np.log(1 - none if y[k] else none) if (bag == k).any() else 0.0
+        return out
+
+    g, gb = toxicity._gradient(feature, sentence_, bag, y, w, b, weight)
+    eps = 1e-6
+    for k in range(9):
+        e = np.eye(9)[k] * eps
+        assert abs((loss(w + e, b) - loss(w - e, b)) / (2 * eps) - g[k]) < 1e-4
+    assert abs((loss(w, b + eps) - loss(w, b - eps)) / (2 * eps) - gb) < 1e-4
+    # a document's score, sentence by sentence, each hashed on its own
+    model = toxicity.Model(rng.normal(scale=0.5, size=1 << toxicity.BITS), -2.0)
+    texts = ["One thing here. Another Thing there! And a third\nline? ...", "", None, "word", "x. " * 3000, "One thing here."] * 2
+    (s,) = tb.slices(pa.array(texts))
+    x = toxicity.sentences(s)
+    got = model.document(model.sentence(x), x.row, s.rows)
+    for t, p in zip(texts, got, strict=True):
+        none = 1.0
+        for part in __import__("re").split(r"[.!?\n]", t or ""):
+            (one,) = tb.slices(pa.array([part]))
+            f = toxicity.sentences(one)
+            if len(f.row):
+                assert len(f.row) == 1
+                with_, without = (1 / (1 + np.exp(-v)) for v in (model.bias + model.weights[f.feature].sum(), model.bias))
+                none *= min(1, (1 - with_) / (1 - without))
+        assert abs(p - (1 - none)) < 1e-9
+
+
+def test_scores_of_odd_rows(marked):
+    """Very long texts, repeated rows and columns named as outputs."""
+    docs, labels = marked
+    long = "".join("plain words in a row. " for _ in range(60_000))
+    odd = docs.sparkSession.createDataFrame([(1, long), (2, long + "you are a complete nasty thing."), (3, "few"), (3, "few"), (None, None)], "doc_id long, text string").withColumns({c: F.lit("mine") for c in ("toxicity", "offending", "quality_score", "y", "h", "part", "score")})
+    out = toxicity.score(odd, toxicity.fit(docs, labels)).orderBy("doc_id").collect()
+    assert [r.doc_id for r in out] == [None, 1, 2, 3, 3] and out[0].toxicity == 0 and out[1].toxicity < 0.5 < out[2].toxicity and out[3] == out[4]
+    assert [s.sentence for s in out[2].offending] == ["you are a complete nasty thing"] and out[0].h == "mine"
+    q = quality.score(odd, quality.fit(docs.withColumn("y", F.lit("mine")).withColumn("part", F.lit(1)), labels)).orderBy("doc_id").collect()
+    assert all(0 <= r.quality_score <= 1 for r in q) and q[3] == q[4] and q[0].y == "mine"
