@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from factloom.llm import decontaminate, mixing, neardup, quality, shards
 from factloom.llm.common import table
-from factloom.storage import materialize
+from factloom.storage import materialize, release
 
 
 def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,4 +52,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        release(spark)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,12 +2,13 @@
 
 ``materialize`` writes a DataFrame as Parquet below the folder that the cluster names in
 ``spark.checkpoint.dir`` and reads it back, which cuts the lineage.  Only if that setting is
-missing, as in local tests, is a temporary folder made.
+missing and driver and executors are one process, as in local tests, is a temporary folder made.
 """
 
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -22,6 +23,8 @@ def shared_dir(spark: SparkSession) -> str:
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if at:
         return at.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _local:
         _local.append(tempfile.mkdtemp(prefix="factloom-"))
     return f"file://{_local[0]}"
@@ -61,11 +64,17 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
 
 
 def drop_materialized(df: DataFrame) -> None:
     """Remove the files of a materialized table that nothing reads any more."""
-    spark = df.sparkSession
-    for f in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
-        remove(spark, f)
+    remove(df.sparkSession, df._written_at)
+
+
+def release(spark: SparkSession) -> None:
+    """Let go of what finished steps left in the driver: plans, broadcasts and shuffles that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
