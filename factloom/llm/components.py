@@ -16,7 +16,7 @@ def _large_star(links: DataFrame) -> DataFrame:
     """Each vertex hands the smallest of its neighbours and itself to its larger neighbours."""
     both = links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return both.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))  # at most one a link; repeated ones go in the small star
 
 
 def _small_star(links: DataFrame) -> DataFrame:

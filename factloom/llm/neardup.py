@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from factloom.llm import textbatch as tb
 from factloom.llm.common import arrow_map, batch
 from factloom.llm.components import components
-from factloom.storage import drop_materialized, materialize
+from factloom.storage import drop_materialized, materialize, release
 
 SHINGLE, PERCENT = 5, 75
 HASHES, BANDS, SEED = 128, 32, 3
@@ -100,10 +100,11 @@ def sketches(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
 
 
 def _sieve(ids: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size that holds the hash of every id, for dropping most other rows early."""
-    slot = F.pmod(F.xxhash64("id"), F.lit(_SIEVE_BITS))
+    """A bitmap that holds the hash of every id, for dropping most other rows early: some 64 bits an id, 8 MB at most."""
+    bits = min(_SIEVE_BITS, max(1 << 10, 1 << (64 * ids.count()).bit_length()))
+    slot = F.pmod(F.xxhash64("id"), F.lit(bits))
     rows = ids.select(slot.alias("slot")).select(F.expr("CAST(slot DIV 32 AS INT)").alias("i"), F.expr("shiftleft(1L, CAST(slot % 32 AS INT))").alias("b"))
-    out = np.zeros(_SIEVE_BITS // 32, np.uint32)
+    out = np.zeros(bits // 32, np.uint32)
     for r in rows.groupBy("i").agg(F.bit_or("b").alias("b")).toLocalIterator():
         out[r["i"]] = r["b"]
     return out
@@ -112,8 +113,9 @@ def _sieve(ids: DataFrame) -> np.ndarray:
 def _sets(docs: DataFrame, ids: DataFrame, long_signature: bool = False) -> DataFrame:
     """(id, h1, set) with the sorted shingle hashes of the texts of ``ids`` (id, h1); with ``long_signature`` also t, LONG_BITS bits."""
     family = _family(LONG_BITS, SEED + 1) if long_signature else None
-    ship = docs.sparkSession.sparkContext.broadcast(_sieve(ids))  # 8 MB
-    slot = F.pmod(F.xxhash64("id"), F.lit(_SIEVE_BITS))
+    sieve = _sieve(ids)
+    ship = docs.sparkSession.sparkContext.broadcast(sieve)  # 8 MB at most
+    slot = F.pmod(F.xxhash64("id"), F.lit(32 * len(sieve)))
 
     def run(batches):
         for rb in batches:
@@ -288,20 +290,24 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     best = may.groupBy("ub", "hb").agg(F.max(F.struct("degree", (-F.col("ua")).alias("minus"), "ha")).alias("top"))
     first = materialize(best.select((-F.col("top.minus")).alias("ua"), F.col("top.ha").alias("ha"), "ub", "hb"), "pairs")
     ids = first.select(F.col("ua").alias("id"), F.col("ha").alias("h1")).unionByName(first.select(F.col("ub").alias("id"), F.col("hb").alias("h1"))).distinct()
+    ids = materialize(ids, "ids")
     sets = materialize(_sets(docs, ids), "sets")
     links = confirm(first, sets, percent)
     drop_materialized(sets)
+    release(docs.sparkSession)
     # an id with several texts links their classes
     several = filled.select("id", *key).distinct().join(classes, key).groupBy("id").agg(F.count("*").alias("k"), F.collect_set("rep").alias("reps")).where(F.col("k") > 1)
     links = links.unionByName(several.select(F.col("id").alias("u"), F.explode("reps").alias("v")))
     label = materialize(components(links), "labels")
+    release(docs.sparkSession)
 
     # members of a bucket outside its largest component, against all other components
     placed = member.join(label, F.col("rep") == F.col("vertex"), "left").select("bucket", "rep", "members", F.coalesce("component", "rep").alias("comp"))
     split = placed.groupBy("bucket").agg(F.max("members").alias("members"), F.min("comp").alias("low"), F.max("comp").alias("high")).where(F.col("low") != F.col("high"))
     mixed = materialize(_by_bucket(placed, split.select("bucket", "members")).distinct(), "mixed")
     top = mixed.groupBy("bucket", "comp").agg(F.max("members").alias("members"), F.count("*").alias("k")).groupBy("bucket").agg(F.max("members").alias("members"), F.max(F.struct("k", "comp")).alias("top"), F.sum("k").alias("k"))
-    sets = materialize(_sets(docs, mixed.join(light, "rep").select(F.col("rep").alias("id"), "h1").distinct(), True), "sets")
+    ids = materialize(mixed.join(light, "rep").select(F.col("rep").alias("id"), "h1").distinct(), "ids")
+    sets = materialize(_sets(docs, ids, True), "sets")
     keys = F.transform("bands", lambda x: x.bitwiseAND(F.lit(0xFFFFFFFF)) - F.lit(1 << 31)).cast("array<int>")
     known = reps.select("rep", "h1", "n", keys.alias("keys")).join(sets.select(F.col("id").alias("rep"), "h1", "t"), ["rep", "h1"]).dropDuplicates(["rep", "h1"])
     open_ = _by_bucket(mixed, top.select("bucket", "members", F.col("top.comp").alias("top"), "k")).join(known, "rep")
@@ -311,6 +317,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rest = materialize(rest.join(first.unionByName(swapped), pair, "left_anti"), "pairs")
     more = confirm(rest, sets, percent)
     drop_materialized(sets)
+    release(docs.sparkSession)
     if not more.isEmpty():
         old = label.select(F.col("vertex").alias("u"), F.col("component").alias("v"))
         label = materialize(components(old.unionByName(more)), "labels")

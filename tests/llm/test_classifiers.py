@@ -386,7 +386,7 @@ def test_noisy_or_gradient_and_score_equal_definitions():
 def test_scores_of_odd_rows(marked):
     """Very long texts, repeated rows and columns named as outputs."""
     docs, labels = marked
-    long = "".join("plain words in a row. " for _ in range(60_000))
+    long = "".join("plain words stand in one row. " for _ in range(60_000))
     odd = docs.sparkSession.createDataFrame([(1, long), (2, long + "you are a complete nasty thing."), (3, "few"), (3, "few"), (None, None)], "doc_id long, text string").withColumns({c: F.lit("mine") for c in ("toxicity", "offending", "quality_score", "y", "h", "part", "score")})
     out = toxicity.score(odd, toxicity.fit(docs, labels)).orderBy("doc_id").collect()
     assert [r.doc_id for r in out] == [None, 1, 2, 3, 3] and out[0].toxicity == 0 and out[1].toxicity < 0.5 < out[2].toxicity and out[3] == out[4]
