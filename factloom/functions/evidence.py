@@ -106,7 +106,7 @@ def install_context(after: ColumnOrName) -> Column:
 # Cues of an installed part, of service without one, of doubt, and of cause.
 INSTALL_CUES = ("replac(e|ed|ing)", "install(ed|ing)?", "add(ed|ing)?", "new", "fit(ted|ting)?", "swapp(ed|ing)?")
 SERVICE_CUES = ("adjust(ed|ing)?", "slipp(ed|ing)?", "rebuild", "rebuilt", "machin(e|ed|ing)", "clean(ed|ing)?", "greas(e|ed|ing)", "regreas(e|ed|ing)", "align(ed|ing)?", "re-?align(ed|ing)?", "repair(ed|ing)?", "polish(ed|ing)?", "resurfac(e|ed|ing)?", "vacuum(ed|ing)?")
-DOUBT_CUES = ("suspect(ed|ing)?", "may", "might", "could", "possibl(e|y)", "believ(e|ed)", "think", "thought", "appears?", "seems?", "concrete proof", "unconfirmed", "not confirmed")
+DOUBT_CUES = ("suspect(ed|ing)?", "may", "might", "could", "possibl(e|y)", "believ(e|ed)", "think", "thought", "appears?", "seems?", r"(?:don['’]?t|do\s+not)\s+have\b.{0,30}\bconcrete\s+proof", r"no\b.{0,20}\bconcrete\s+proof", r"without\b.{0,20}\bconcrete\s+proof", "unconfirmed", r"not\s+confirmed")
 CAUSE_CUES = ("root cause", "caused by", "caus(e|ed|ing)", "due to", "because of")
 
 
@@ -120,6 +120,49 @@ def root_cause_status(note: ColumnOrName) -> Column:
     return F.when(k == "diagnostic_hypothesis", "not_confirmed").when(k == "root_cause_candidate", "pending_human_confirmation").otherwise("not_established")
 
 
+def cue_hits(note: ColumnOrName, cues: tuple[str, ...]) -> Column:
+    """array<struct(text, start, end)> of the words of a cue list in a note, in order; start counts from 0."""
+    s = text(note)
+    pattern = r"(?i)\b(?:" + "|".join(cues) + r")\b"
+    found = F.regexp_extract_all(s, F.lit(pattern), F.lit(0))
+    none = F.array().cast("array<struct<text:string,start:int,end:int>>")
+
+    def add(a: Column, w: Column) -> Column:  # each one is looked for behind the one before
+        at = F.call_function("locate", w, s, a["at"] + 1) - 1
+        here = F.struct(w.alias("text"), at.alias("start"), (at + F.length(w)).alias("end"))
+        return F.struct((at + F.length(w)).alias("at"), F.concat(a["out"], F.array(here)).alias("out"))
+
+    return F.aggregate(found, F.struct(F.lit(0).alias("at"), none.alias("out")), add, lambda a: a["out"])
+
+
+def clean_complaint(c: ColumnOrName) -> Column:
+    """A complaint up to a bracket or bar, without signs at its ends; null if nothing is left."""
+    s = F.regexp_replace(F.trim(text(c)), r"(?s)\s+[\[|].*$", "")
+    s = F.regexp_replace(s, r"^[ \t\r\n|\[\]{}<>;:]+|[ \t\r\n|\[\]{}<>;:]+$", "")
+    return F.nullif(F.regexp_replace(F.regexp_replace(s, r"\s+", " "), r"[ .;,|]+$", ""), F.lit(""))
+
+
+def clean_action(c: ColumnOrName) -> Column:
+    """An action without signs at its ends; null for blanks and for words that say there is none."""
+    s = F.regexp_replace(F.trim(text(c)), r"\s+", " ")
+    bare = F.regexp_replace(F.regexp_replace(s, r"^[ |\[\]{}<>]+|[ |\[\]{}<>]+$", ""), r"[ .;,|]+$", "")
+    return F.when(~F.lower(s).isin("[unclear]", "unclear", "none", "n/a", "na"), F.nullif(bare, F.lit("")))
+
+
+def semantic_role(step: ColumnOrName, setup: str | None = None) -> Column:
+    """setup, inspection, test or unknown, by the words of a test step; ``setup`` is a pattern of steps that only prepare."""
+    s = compact(step)
+    inspection = ("inspect", "visual", "check", "verify", "clearance", "alignment", "tension")
+    rules = [("setup", s.rlike(f"(?i){setup}"))] if setup else []
+    return first_match([*rules, ("inspection", any_word(s, inspection)), ("test", any_word(s, ("measure", "level", "movement", "servo", "home", "vacuum")))], "unknown")
+
+
+def fact_text(facts: ColumnOrName, fields: tuple[str, ...] = ("text", "evidence_quote", "part_number")) -> Column:
+    """Distinct values of an array of facts in the order of their first place, joined by bars."""
+    each = F.flatten(F.transform(col(facts), lambda f: F.array(*[compact(f[k]) for k in fields])))
+    return F.array_join(F.array_distinct(F.filter(each, lambda v: v != "")), " | ")
+
+
 def mention_class(action: ColumnOrName) -> Column:
     """installed (a part went in), serviced (work on it without one), or referenced."""
     return F.when(any_word(action, INSTALL_CUES), "installed").when(any_word(action, SERVICE_CUES), "serviced").otherwise("referenced")

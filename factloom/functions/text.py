@@ -59,7 +59,10 @@ def query_form(c: ColumnOrName) -> Column:
 
 
 #: Words that carry no meaning in a pattern query.
-STOPWORDS = ("a", "an", "and", "are", "at", "by", "do", "does", "for", "from", "get", "how", "in", "is", "it", "of", "on", "or", "that", "the", "these", "this", "to", "we", "what", "which", "with")
+STOPWORDS = (
+    "a", "an", "and", "are", "as", "at", "be", "been", "for", "from", "gb8", "genmark", "i", "in", "is", "it", "me", "my", "of", "on", "or", "please", "show", "the", "to",
+    "what", "when", "where", "which", "with", "normally", "usually", "common", "about",
+)
 
 
 def tokens(c: ColumnOrName, stopwords: tuple[str, ...] = STOPWORDS, least: int = 2) -> Column:

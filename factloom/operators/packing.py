@@ -49,9 +49,36 @@ def overlapping_batches(rows: DataFrame, lane: str, key: str, size: str, budget:
 
 
 def component_batches(members: DataFrame, component: str, key: str, most: int) -> DataFrame:
-    """(component, key, part): components of more than ``most`` members are split, in key order."""
+    """(component, key, part): components of more than ``most`` members are split, in key order. ``pack_components`` also puts small ones together."""
     from pyspark.sql import Window
     from pyspark.sql import functions as F
 
     place = F.row_number().over(Window.partitionBy(component).orderBy(key)) - 1
     return members.select(component, key, F.floor(place / most).cast("int").alias("part"))
+
+
+def pack_components(members: DataFrame, lane: str, component: str, key: str, most: int) -> DataFrame:
+    """(lane, component, key, batch): whole components, the largest first and then by their smallest key, fill batches of at most ``most`` members; a larger component is split into batches of its own.
+
+    Only the list of a lane's components is packed in one task; members get their batch by join.
+    """
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    sizes = members.groupBy(lane, component).agg(F.count("*").alias("n"), F.min(key).alias("first"))
+    schema = StructType([members.schema[lane], members.schema[component], StructField("batch", IntegerType())])
+
+    def run(p: pd.DataFrame) -> pd.DataFrame:
+        p = p.sort_values(["n", "first"], ascending=[False, True])
+        batch, used, at = 0, 0, []
+        for n in p["n"]:
+            if used and (n > most or used + n > most):
+                batch, used = batch + 1, 0
+            at.append(batch)
+            batch, used = (batch + -(-n // most), 0) if n > most else (batch, used + n)
+        return p[[lane, component]].assign(batch=pd.Series(at, index=p.index, dtype="int32"))
+
+    starts = sizes.groupBy(lane).applyInPandas(run, schema)
+    both = members.select(lane, component, key).join(starts, [lane, component])
+    place = F.row_number().over(Window.partitionBy(lane, component).orderBy(key)) - 1
+    return both.select(lane, component, key, (F.col("batch") + F.floor(place / most)).cast("int").alias("batch"))

@@ -118,9 +118,11 @@ def sanitised(docs: DataFrame, key: str, body: str, drop: list[tuple[str, str]],
     return docs.select(key, F.array_join(view, "\n").alias("view"), dropped.cast("long").alias("dropped"))
 
 
-def union_coverage(groups: DataFrame, ids: str) -> DataFrame:
-    """Distinct ids over all groups."""
-    return groups.select(F.explode(ids).alias("x")).agg(F.countDistinct("x").alias("covered"))
+def union_coverage(members: DataFrame, ids: str) -> DataFrame:
+    """Distinct ids over all groups, from their members as rows (or as arrays)."""
+    kind = members.schema[ids].dataType.typeName()
+    x = F.explode(ids) if kind == "array" else F.col(ids)
+    return members.select(x.alias("x")).distinct().agg(F.count("x").alias("covered"))
 
 
 def consolidate(clusters: DataFrame, lane: str, key: str, members: str, label: str, generic: tuple[str, ...] = ("", "unknown", "other")) -> DataFrame:

@@ -80,8 +80,11 @@ def supported_actions(actions: DataFrame, notes: DataFrame, event: str, action:
     return both.withColumn("similarity", F.when(inside, F.greatest("_s", F.lit(0.95))).otherwise(F.col("_s"))).drop("_s").where(F.col("similarity") >= threshold)
 
 
-def anchors(words: DataFrame, line: list[str], labels: dict[str, tuple[str, ...]], least: float = 0.72) -> DataFrame:
-    """Best place of each printed label among OCR words (word_num, text, left, top, width, height): windows of n-1 to n+2 words of a line, by ratio."""
+def anchors(words: DataFrame, line: list[str], labels: dict[str, tuple[str, ...]], least: float = 0.72, page: list[str] | None = None) -> DataFrame:
+    """Best place of each printed label on each page among OCR words (word_num, text, left, top, width, height): windows of n-1 to n+2 words of a line, by ratio.
+
+    page: the columns of ``line`` that name a page, the first by default.
+    """
     boxes = F.array_sort(F.collect_list(F.struct("word_num", "text", "left", "top", "width", "height")))
     lines = words.groupBy(*line).agg(boxes.alias("w"))
     names = F.array(*[F.struct(F.lit(k).alias("label"), F.lit(a).alias("alias"), F.lit(len(a.split())).alias("n")) for k, aliases in labels.items() for a in aliases])
@@ -89,7 +92,7 @@ def anchors(words: DataFrame, line: list[str], labels: dict[str, tuple[str, ...]
     sized = each.select("*", F.explode(F.sequence(F.greatest(F.lit(1), F.col("n") - 1), F.col("n") + 2)).alias("k")).where(F.col("at") + F.col("k") - 1 <= F.size("w"))
     part = sized.withColumn("p", F.slice("w", F.col("at"), F.col("k"))).withColumn("found", compare_form(F.array_join(F.transform("p", lambda x: x["text"]), " ")))
     scored = part.withColumn("score", text_ratio("found", compare_form("alias"))).where(F.col("score") >= least)
-    w = Window.partitionBy("label").orderBy(F.desc("score"), *line, "at", "k")
+    w = Window.partitionBy(*(line[:1] if page is None else page), "label").orderBy(F.desc("score"), *line, "at", "k")
     best = scored.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1)
     edge = lambda f: F.transform("p", f)
     return best.select(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.functions import evidence, ids, text
-from factloom.operators import events, index, intervals, packing, parts, records, recurrence, search, similar, terms, vectors
+from factloom.operators import events, index, intervals, packing, parts, records, recurrence, routing, search, similar, terms, vectors
 from factloom.plans.catalog import query, table
 from factloom.providers import signature, uncached, valid_clusters
 from factloom.sources import files
@@ -59,16 +59,8 @@ def evidence_examples(spark: SparkSession, d: str) -> DataFrame:
     "WITH p AS (SELECT a.conv_id, lower(a.text) = lower(b.text) AS s FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND a.turn < b.turn) SELECT conv_id, count(*) AS pairs, count(*) FILTER (s) AS agreeing FROM p GROUP BY conv_id",
 )
 def source_agreement(spark: SparkSession, d: str) -> DataFrame:
-    """Pairs of turns of a conversation: those that agree are counted by value, so that no pair is made."""
-    c = table(spark, d, "conversations").withColumn("v", F.lower("text"))
-    by_turn = c.groupBy("conv_id", "turn").agg(F.count("*").alias("n"))
-    by_value = c.groupBy("conv_id", "v").agg(F.count("*").alias("n"), F.countDistinct("turn").alias("turns"))
-    same_turn_value = c.groupBy("conv_id", "v", "turn").agg(F.count("*").alias("n"))
-    pairs_of = lambda x: F.sum(F.col(x) * (F.col(x) - 1) / 2)
-    total = c.groupBy("conv_id").agg(F.count("*").alias("n")).select("conv_id", (F.col("n") * (F.col("n") - 1) / 2).alias("all_pairs"))
-    out = total.join(by_turn.groupBy("conv_id").agg(pairs_of("n").alias("same_turn")), "conv_id").join(by_value.groupBy("conv_id").agg(pairs_of("n").alias("same_value")), "conv_id").join(same_turn_value.groupBy("conv_id").agg(pairs_of("n").alias("same_both")), "conv_id")
-    out = out.select("conv_id", (F.col("all_pairs") - F.col("same_turn")).cast("long").alias("pairs"), (F.col("same_value") - F.col("same_both")).cast("long").alias("agreeing"))
-    return out.where(F.col("pairs") > 0)
+    """Pairs of turns of a conversation, and those that say the same."""
+    return similar.agreement(table(spark, d, "conversations").withColumn("v", F.lower("text")), ["conv_id"], "turn", "v")
 
 
 @query(
@@ -141,10 +133,9 @@ def cache_misses(spark: SparkSession, d: str) -> DataFrame:
     return uncached(docs.where(F.col("doc_id") % 4 != 0), docs.where(F.col("doc_id") % 4 == 0)).select("doc_id")
 
 
-@query("union_coverage", "SELECT count(DISTINCT l_orderkey) AS covered FROM lineitem WHERE l_partkey < 50")
+@query("union_coverage", "SELECT count(DISTINCT l_orderkey) AS covered FROM lineitem")
 def union_coverage(spark: SparkSession, d: str) -> DataFrame:
-    groups = table(spark, d, "lineitem").where("l_partkey < 50").groupBy("l_partkey").agg(F.collect_set("l_orderkey").alias("logs"))
-    return recurrence.union_coverage(groups, "logs")
+    return recurrence.union_coverage(table(spark, d, "lineitem").select("l_partkey", "l_orderkey"), "l_orderkey")
 
 
 @query(
@@ -280,3 +271,46 @@ def hash_distance(spark: SparkSession, d: str) -> DataFrame:
 def rating_and_part_tokens(spark: SparkSession, d: str) -> DataFrame:
     s = F.concat(F.lit("fuse "), F.col("p_size"), F.lit(" A 600V QX-"), F.col("p_partkey"))
     return table(spark, d, "part").select("p_partkey", text.rating_tokens(s).alias("ratings"), text.part_like(s).alias("part_like"))
+
+
+_LANE = "CASE role WHEN 'user' THEN 'repair_or_service' WHEN 'assistant' THEN 'diagnostic_or_failure' WHEN 'system' THEN 'unclear_ocr' ELSE 'other' END"
+
+
+@query(
+    "lane_routing",
+    rf"""
+WITH c AS (SELECT conv_id, turn, {_LANE} AS kind, trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g')) AS s FROM conversations),
+r AS (SELECT *, CASE WHEN kind = 'unclear_ocr' THEN 'unclear_ocr_preserved_for_human_or_secondary_vision_review'
+  WHEN regexp_matches(s, '^\s*(?:part\s*#|Serial\s*#|Frame\s+Serial\s*#|Board\s+Serial\s*#)(?:\s|:|$)', 'i') THEN 'generic_identity_or_admin_pattern_1'
+  WHEN regexp_matches(s, '^\s*(?:RMA\s+Number|Cust(?:omer)?\s*RMA|Customer\s+PO|Cust\s+PO|POC\s+Phone|Point\s+of\s+Contact|Rep|Sales\s+Rep)\b', 'i') THEN 'generic_identity_or_admin_pattern_2'
+  WHEN regexp_matches(s, '^\s*(?:pricing approved|needs quote)\b', 'i') THEN 'generic_identity_or_admin_pattern_5' END AS reason FROM c)
+SELECT CASE WHEN reason IS NULL THEN CASE kind WHEN 'repair_or_service' THEN 'repairs' WHEN 'diagnostic_or_failure' THEN 'diagnostics' ELSE 'other' END END AS reasoning_lane, reason AS reasoning_exclusion_reason, count(*) AS n FROM r GROUP BY ALL
+""",
+)
+def lane_routing(spark: SparkSession, d: str) -> DataFrame:
+    """Turns as candidates: their lanes, or why they are left out."""
+    kind = F.when(F.col("role") == "user", "repair_or_service").when(F.col("role") == "assistant", "diagnostic_or_failure").when(F.col("role") == "system", "unclear_ocr").otherwise("other")
+    out = routing.prepare(table(spark, d, "conversations").withColumn("kind", kind), "kind", "text")
+    return out.groupBy("reasoning_lane", "reasoning_exclusion_reason").agg(F.count("*").alias("n"))
+
+
+@query(
+    "replacement_fill",
+    """SELECT l_orderkey, l_linenumber, coalesce(nullif(trim(nullif(l_returnflag, 'N')), ''), nullif(trim(o_orderstatus), '')) AS status, coalesce(nullif(trim(o_orderpriority), ''), '[unknown]') AS priority
+FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey AND o_orderkey % 7 <> 0""",
+)
+def replacement_fill(spark: SparkSession, d: str) -> DataFrame:
+    """Lines that lack a value take that of their order, if there is one."""
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.nullif("l_returnflag", F.lit("N")).alias("status"), F.lit(None).cast("string").alias("priority"))
+    events = table(spark, d, "orders").where("o_orderkey % 7 <> 0").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"))
+    return records.fill_from_event(lines, events, "l_orderkey", ["status", "priority"], {"priority": "[unknown]"})
+
+
+@query(
+    "merge_tracking",
+    "SELECT o_orderkey, list_sort(list(DISTINCT nullif(trim(l_returnflag), '')) FILTER (nullif(trim(l_returnflag), '') IS NOT NULL)) AS l_returnflag FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey AND l_linenumber < 3 GROUP BY o_orderkey HAVING count(l_orderkey) > 0",
+)
+def merge_tracking(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct flags of each order's first lines."""
+    lines = table(spark, d, "lineitem").where("l_linenumber < 3").select(F.col("l_orderkey").alias("o_orderkey"), "l_returnflag")
+    return records.merge_tracking(table(spark, d, "orders").select("o_orderkey"), lines, "o_orderkey", ["l_returnflag"]).where(F.size("l_returnflag") > 0)

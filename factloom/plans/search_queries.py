@@ -73,7 +73,7 @@ SELECT p_partkey, round((signal + least(5.0, log2(1.0 + serials) * 0.8 + log2(1.
 def pattern_search(spark: SparkSession, d: str) -> DataFrame:
     use = table(spark, d, "lineitem").groupBy("l_partkey").agg(F.countDistinct("l_orderkey").alias("logs"), F.countDistinct("l_suppkey").alias("serials"))
     groups = table(spark, d, "part").join(use, F.col("p_partkey") == F.col("l_partkey")).withColumn("areas", F.lit(""))
-    s = groups.withColumn("s", search.pattern_score("red ring", "p_name", "p_type", "areas", "serials", "logs", {})).where(F.col("s.signal") > 0.2)
+    s = groups.withColumn("s", search.pattern_score("red ring", "p_name", "p_type", "areas", "serials", "logs")).where(F.col("s.signal") > 0.2)
     return s.select("p_partkey", F.round("s.score", 6).alias("score"))
 
 
@@ -107,14 +107,14 @@ def duplicate_representatives(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "vector_top_k",
     """
-WITH q AS (SELECT vec_id, embedding FROM embeddings WHERE vec_id < 5),
+WITH q AS (SELECT vec_id, embedding FROM embeddings WHERE vec_id % 100 = 0),
 s AS (SELECT q.vec_id AS query_id, e.vec_id, list_cosine_similarity(q.embedding::DOUBLE[], e.embedding::DOUBLE[]) AS similarity FROM q JOIN embeddings e ON e.vec_id <> q.vec_id),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) AS INTEGER) AS rank FROM s) SELECT query_id, vec_id, rank, round(similarity, 4) AS similarity FROM r WHERE rank <= 10
 """,
 )
 def vector_top_k(spark: SparkSession, d: str) -> DataFrame:
     v = table(spark, d, "embeddings")
-    q = v.where(F.col("vec_id") < 5).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("qv"))
+    q = v.where(F.col("vec_id") % 100 == 0).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("qv"))
     return vectors.nearest_of(q, v, "query_id", "vec_id", "embedding", 10).select("query_id", "vec_id", "rank", F.round("similarity", 4).alias("similarity"))
 
 
@@ -296,13 +296,13 @@ def point_ids(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "rank_clusters",
     """
-WITH p AS (SELECT conv_id, md5(lower(text)) AS k, role, max(CASE role WHEN 'assistant' THEN 80 ELSE 10 END) AS w, count(*) AS n FROM conversations GROUP BY ALL), p2 AS (SELECT conv_id, k, role, max(w) AS w, sum(n) AS n FROM p GROUP BY ALL),
+WITH p AS (SELECT conv_id, md5(lower(text)) AS k, role, max(CASE role WHEN 'assistant' THEN 100 ELSE 10 END) AS w, count(*) AS n FROM conversations GROUP BY ALL), p2 AS (SELECT conv_id, k, role, max(w) AS w, sum(n) AS n FROM p GROUP BY ALL),
 c AS (SELECT conv_id, k, count(*) AS sources, CAST(sum(w) AS BIGINT) AS authority_sum, CAST(sum(n) AS BIGINT) AS size FROM p2 GROUP BY conv_id, k)
 SELECT *, CASE WHEN sources >= 3 THEN 'confirmed' WHEN sources = 2 THEN 'corroborated' ELSE 'single_source' END AS confidence, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY sources DESC, authority_sum DESC, size DESC, k) AS INTEGER) AS rank FROM c
 """,
 )
 def rank_clusters(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "conversations").withColumns({"k": F.md5(F.lower("text")), "authority": F.when(F.col("role") == "assistant", "traveler").otherwise("none")})
+    rows = table(spark, d, "conversations").withColumns({"k": F.md5(F.lower("text")), "authority": F.when(F.col("role") == "assistant", "primary_repair_anchor").otherwise("none")})
     return records.rank_clusters(rows, ["conv_id"], "k", "role", "authority")
 
 

@@ -118,21 +118,36 @@ def extract_text(files: DataFrame, providers: dict[str, Callable[[bytes], str]]
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Write a table beside its place, then swap it in, so that readers see the old or the new one."""
+    """Write a table beside its place, then swap it in. A whole copy exists at every moment, and ``recover`` puts it in place after a driver's death."""
     spark = df.sparkSession
-    staged = f"{path.rstrip('/')}.staged"
-    remove(spark, staged)
-    df.write.parquet(staged)
-    fs, target = filesystem(spark, path)
-    _, old = filesystem(spark, f"{path.rstrip('/')}.old")
-    _, new = filesystem(spark, staged)
+    recover(spark, path)
+    at = path.rstrip("/")
+    remove(spark, f"{at}.staged")
+    df.write.parquet(f"{at}.staged")
+    fs, target = filesystem(spark, at)
+    old, new = (filesystem(spark, f"{at}.{x}")[1] for x in ("old", "staged"))
     fs.delete(old, True)
-    if fs.exists(target):
-        fs.rename(target, old)
-    fs.rename(new, target)
+    if fs.exists(target) and not fs.rename(target, old):
+        raise OSError(f"cannot move {at} away")
+    if not fs.rename(new, target):
+        raise OSError(f"cannot move {at}.staged into place")
     fs.delete(old, True)
 
 
+def recover(spark, path: str) -> bool:
+    """Finish a swap that was cut short: without a table, a staged one that was written whole takes its place, else the old one. Whether there is a table."""
+    at = path.rstrip("/")
+    fs, target = filesystem(spark, at)
+    if fs.exists(target):
+        return True
+    for x in ("staged", "old"):
+        _, copy = filesystem(spark, f"{at}.{x}")
+        _, done = filesystem(spark, f"{at}.{x}/_SUCCESS")
+        if fs.exists(copy) and (x == "old" or fs.exists(done)):
+            return bool(fs.rename(copy, target))
+    return False
+
+
 def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Old rows with the new ones in place of those of the same key; of several new rows the last in column order stays."""
     from factloom.operators.events import first_by_key

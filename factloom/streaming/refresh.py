@@ -8,16 +8,14 @@ from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.types import StructType
 
 from factloom.operators.events import first_by_key
-from factloom.sources.files import replace_table, upsert
-from factloom.storage import filesystem
+from factloom.sources.files import recover, replace_table, upsert
 
 
 def refresh_stream(spark: SparkSession, landing: str, schema: StructType, table: str, key: str, checkpoint: str) -> StreamingQuery:
     """Upsert the Parquet files that arrived in a folder since the last run into a table, then stop; a rerun of a batch changes nothing."""
 
     def merge(batch: DataFrame, epoch: int) -> None:
-        fs, p = filesystem(spark, table)
-        old = spark.read.parquet(table) if fs.exists(p) else spark.createDataFrame([], schema)
+        old = spark.read.parquet(table) if recover(spark, table) else spark.createDataFrame([], schema)
         replace_table(upsert(old, batch.select(schema.names), key), table)
 
     return spark.readStream.schema(schema).parquet(landing).writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

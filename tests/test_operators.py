@@ -143,8 +143,7 @@ def test_greedy_clusters_of_a_whole_group_and_lanes_equal_plain_python(spark):
     names, wanted = defaultdict(list), []
     for b, k, v in rows(spark.read.parquet(f"{d}/part.parquet").select("p_brand", "p_partkey", "p_name"), "p_partkey"):
         clusters = names[b]
-        best = [max(ratio(v, w) for w in c) for c in clusters]
-        at = max(range(len(best)), key=lambda i: best[i]) if best and max(best) >= 0.82 else len(clusters)
+        at = next((i for i, c in enumerate(clusters) if max(ratio(v, w) for w in c) >= 0.82), len(clusters))
         if at == len(clusters):
             clusters.append([])
         clusters[at].append(v)
