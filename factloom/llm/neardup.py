@@ -159,7 +159,8 @@ def _plausible(percent: int) -> Column:
 def _long_plausible(percent: int) -> Column:
     """The long signatures (ta, tb) do not rule out the similarity by 4.8 standard deviations."""
     p = (1 - percent / 100) / 2
-    differ = sum(F.bit_count(F.get(F.col("ta"), F.lit(i)).bitwiseXOR(F.get(F.col("tb"), F.lit(i)))) for i in range(LONG_BITS // 64))
+    # as a loop over the arrays: 64 terms would make a large plan
+    differ = F.aggregate(F.zip_with("ta", "tb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     return differ <= int(LONG_BITS * p + 4.8 * np.sqrt(LONG_BITS * p * (1 - p)))
 
 

@@ -178,10 +178,10 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", limit: int
     a = sum(np.frombuffer(p["a"]).reshape(features + 1, -1) for p in parts)
     c = sum(np.frombuffer(p["c"]) for p in parts)
     model.weights = np.linalg.solve(a + ridge * n * np.diag(np.r_[np.ones(features), 1e-6]), c)
-    rest = table.where("part").select("x", "y").toPandas()
-    if rest.y.nunique() < 2:
-        rest = table.select("x", "y").toPandas()
-    model.knots, model.values = isotonic(model.raw(np.vstack(rest.x.to_numpy())), rest.y.to_numpy(float))
+    rest = table.where("part").select("x", "y").collect()  # at most about ``limit`` rows
+    if len({r["y"] for r in rest}) < 2:
+        rest = table.select("x", "y").collect()
+    model.knots, model.values = isotonic(model.raw(np.array([r["x"] for r in rest])), np.array([r["y"] for r in rest], float))
     return model
 
 
