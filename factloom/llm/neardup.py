@@ -38,8 +38,8 @@ _BLOCK = 1 << 19
 _SIEVE_BITS = 1 << 26
 #: Bits of the second signature, for members of buckets that hold several components.
 LONG_BITS = 4096
-#: Members of a block, about.
-SPLIT = 4096
+#: Members of a block, about: a sixteenth of the bucket's, but at most SPLIT and not fewer than LEAST_SPLIT.
+SPLIT, LEAST_SPLIT = 4096, 512
 #: Rows of one bucket that a task gets in a join by bucket, about.
 SALT_ROWS = 1024
 #: Members of a bucket that is compared by a join; larger ones are compared in blocks.
@@ -184,7 +184,7 @@ def _within_large(open_: DataFrame, percent: int) -> DataFrame:
 
     So the rows made are the members, once, and the pairs of blocks.
     """
-    n = F.ceil(F.col("k") / SPLIT).cast("int")
+    n = F.ceil(F.col("k") / F.least(F.lit(SPLIT), F.greatest(F.lit(LEAST_SPLIT), F.ceil(F.col("k") / 16)))).cast("int")
     members = open_.select("bucket", n.alias("blocks"), F.pmod(F.xxhash64("rep"), n).cast("int").alias("block"), *_SIDE, "top")
     longs, arrays = ("rep", "h1", "n", "comp"), {"keys": np.int32, "t": np.uint64}
     fields = [("bucket", pa.int64()), ("blocks", pa.int32()), ("block", pa.int32()), ("top", pa.int64()), *[(c, pa.binary()) for c in (*longs, *arrays)]]
