@@ -86,3 +86,21 @@ def annotate(docs: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, pa.Array]
             yield r if where is None else r.filter(pa.array(where))
 
     return arrow_map(docs.select(*read), run, schema, rows)
+
+
+#: A key is heavy if it has more than one in HEAVY of all rows; so there are fewer than HEAVY heavy keys.
+HEAVY = 10_000
+
+
+def join_heavy(rows: DataFrame, of: DataFrame, key: str) -> DataFrame:
+    """``rows`` joined with ``of``, which has one row a key, whatever share of ``rows`` a key holds.
+
+    Heavy keys, fewer than HEAVY, are joined by broadcast; the rest, of which each holds a small share, by a shuffle. Both sides are read more
+    than once and should be written tables. Null keys and keys without a partner go.
+    """
+    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("c"))
+    total = rows.agg(F.count("*").alias("t"))
+    heavy = counts.join(F.broadcast(total), F.col("c") * HEAVY > F.col("t")).select(key)  # one row
+    mark = rows.join(F.broadcast(heavy.withColumn("__heavy", F.lit(True))), key, "left")
+    of_heavy = F.broadcast(of.join(F.broadcast(heavy), key, "left_semi"))
+    return mark.where(F.col("__heavy")).drop("__heavy").join(of_heavy, key).unionByName(mark.where(F.col("__heavy").isNull()).drop("__heavy").join(of, key))

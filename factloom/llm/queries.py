@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factloom.llm import decontaminate, extraction, language, language_model, mixing, neardup, quality, resampling, rules, shards, toxicity
+from factloom.llm import conversations, decontaminate, extraction, language, language_model, mixing, neardup, quality, resampling, rules, shards, simhash, toxicity
 from factloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,11 +21,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": lambda spark, d: decontaminate.leaks(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op10_main_text": lambda spark, d: extraction.main_texts(table(spark, d, "pages")),
     "op11_resampling": lambda spark, d: resampling.resample(table(spark, d, "documents"), table(spark, d, "benchmark")),
+    "op12_simhash": lambda spark, d: simhash.near_duplicates(table(spark, d, "documents")),
+    "op13_conversations": lambda spark, d: conversations.repair_digest(table(spark, d, "conversations")),
 }
 
 SQL: dict[str, str] = {
     "op2_mixing": mixing.SQL,
     "op11_resampling": resampling.SQL,
+    "op13_conversations": conversations.SQL,
     # the synthetic pages mark their article; SQL takes it by that mark
     "op10_main_text": r"""
 WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(?:</article>|$)', 1) AS a FROM pages),
