@@ -3,7 +3,7 @@
 1. Each block of texts (``BLOCK_BYTES``, one long text at least) has a dictionary of its own: its words become small integers, its n-grams tuples of
    them, and every document a list of (n-gram, count).  A block names each of its distinct n-grams once, so what is shuffled later grows with the
    distinct n-grams of the blocks and not with the tokens, and no word has more than one row a block.
-2. The corpus dictionary maps each distinct word to an integer id; the blocks' tuples are rewritten to tuples of these ids.
+2. The corpus dictionary maps each distinct word to an integer id; the blocks' tuples are rewritten to tuples of these ids. A tuple of one word is its entry in the dictionary.
 3. Every distinct tuple of the corpus is written out as text once and hashed once: crc32 of its UTF-8 bytes modulo ``buckets``.
 4. Counts by bucket, of the documents and of the target, give each bucket's gain (``buckets`` numbers, the only table that is sent to all tasks), and the
    buckets are joined back to the blocks, where a document's weight is the floored mean of its features' gains.
@@ -34,14 +34,14 @@ from factloom.llm.common import arrow_map
 from factloom.storage import drop_materialized, materialize
 
 MAX_N, BUCKETS, SEED, PERCENT, MIN_WORDS = 1, 10_000, 2024, 10, 20
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 8 << 20
 #: Rows that repeat one id are counted in so many parts.
 SALT = 256
 #: Word characters, as bytes of UTF-8: digits, small letters, and all beyond ASCII.
 _INSIDE = np.zeros(256, bool)
 _INSIDE[48:58] = _INSIDE[97:123] = _INSIDE[128:] = True
 
-_FIELDS = "block long, target boolean, pos int, n_words long, n_features long, grams array<int>, counts array<long>, gram int, parts array<int>, word string, n long"
+_FIELDS = "block long, target boolean, pos int, n_words long, n_features long, grams array<int>, counts array<int>, gram int, parts array<int>, word string, n long"
 
 
 def _local(s: tb.Slice, max_n: int) -> tuple[pa.Array, np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
@@ -78,6 +78,19 @@ def _columns(rows: int, schema: pa.Schema, **given) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([given[f.name].cast(f.type) if f.name in given else pa.nulls(rows, f.type) for f in schema], schema=schema)
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """Ids and texts of as many batches as make a block, about."""
+    held, size = [], 0
+    for rb in batches:
+        held.append(rb)
+        size += rb["text"].nbytes
+        if size >= BLOCK_BYTES:
+            yield tuple(pa.concat_arrays([b[c] for b in held]) for c in ("id", "text"))
+            held, size = [], 0
+    if held:
+        yield tuple(pa.concat_arrays([b[c] for b in held]) for c in ("id", "text"))
+
+
 def block_features(docs: DataFrame, max_n: int = MAX_N, target: bool = False, id_column: str = "doc_id") -> DataFrame:
     """Rows of blocks: one a document (gram null) with its distinct n-grams' numbers and counts, and one a distinct n-gram with its count in the block and
     its ``word`` or, for longer ones, the numbers of its words (``parts``)."""
@@ -88,9 +101,8 @@ def block_features(docs: DataFrame, max_n: int = MAX_N, target: bool = False, id
         from pyspark.sql.pandas.types import to_arrow_schema
 
         out, done = to_arrow_schema(schema), 0
-        for rb in batches:
-            ids = rb.column(rb.schema.get_field_index("id"))
-            for s in tb.slices(rb["text"], BLOCK_BYTES):
+        for ids, texts in _gathered(batches):
+            for s in tb.slices(texts, BLOCK_BYTES):
                 s = s.lower()
                 words, n_words, levels = _local(s, max_n)
                 row, gram = np.concatenate([x[0] for x in levels]), np.concatenate([x[1] for x in levels])
@@ -100,7 +112,7 @@ def block_features(docs: DataFrame, max_n: int = MAX_N, target: bool = False, id
                 same = lambda k, v, kind: pa.array(np.full(k, v), kind)
                 lists = lambda v, kind: pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(v, kind))
                 yield _columns(s.rows, out, id=ids.slice(s.first, s.rows), block=same(s.rows, block, pa.int64()), target=same(s.rows, target, pa.bool_()), pos=pa.array(np.arange(s.rows), pa.int32()),
-                               n_words=pa.array(n_words), n_features=pa.array(np.bincount(row, minlength=s.rows)), grams=lists(at, pa.int32()), counts=lists(n, pa.int64()))
+                               n_words=pa.array(n_words), n_features=pa.array(np.bincount(row, minlength=s.rows)), grams=lists(at, pa.int32()), counts=lists(n, pa.int32()))
                 total = np.bincount(gram, minlength=len(words))
                 first = 0
                 for k, (_, _, parts) in enumerate(levels):
@@ -113,35 +125,43 @@ def block_features(docs: DataFrame, max_n: int = MAX_N, target: bool = False, id
     return arrow_map(docs.select(F.col(id_column).alias("id"), "text"), run, schema)
 
 
-def word_dictionary(features: DataFrame) -> DataFrame:
-    """(word, word_id): an integer for each distinct word. Materialise it before use, since the numbers depend on the order of the rows."""
-    return features.where(F.col("word").isNotNull()).select("word").distinct().withColumn("word_id", F.monotonically_increasing_id())
+def _sums() -> list[Column]:
+    of = lambda target: F.coalesce(F.sum(F.when(F.col("target") == target, F.col("n"))), F.lit(0).cast("long"))
+    return [of(False).alias("s"), of(True).alias("t")]
+
+
+def _bucket(text: Column, buckets: int) -> Column:
+    return (F.crc32(text.cast("binary")) % buckets).cast("int").alias("bucket")
 
 
-def gram_tuples(features: DataFrame, dictionary: DataFrame, max_n: int = MAX_N) -> DataFrame:
-    """(block, target, gram, n, ids): each block's distinct n-grams as tuples of word ids."""
-    words = features.where(F.col("word").isNotNull()).select("block", "target", "gram", "n", "word").join(dictionary, "word")
-    one = words.select("block", "target", "gram", "n", F.array("word_id").alias("ids"))
-    if max_n == 1:
-        return one
-    place = words.select("block", F.col("gram").alias("part"), "word_id")
+def word_dictionary(features: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """(word, word_id, s, t, bucket): an integer for each distinct word, which is the tuple of one word as well, hence its counts and its hash.
+
+    Materialise it before use, since the numbers depend on the order of the rows.
+    """
+    words = features.where(F.col("word").isNotNull()).groupBy("word").agg(*_sums())
+    return words.select("word", F.monotonically_increasing_id().alias("word_id"), "s", "t", _bucket(F.col("word"), buckets))
+
+
+def longer_tuples(features: DataFrame, dictionary: DataFrame, max_n: int = MAX_N) -> DataFrame:
+    """(block, target, gram, n, i1, i2, ...): each block's distinct n-grams of two words and more as tuples of word ids; places beyond the n-gram's end are null."""
+    place = features.where(F.col("word").isNotNull()).select("block", F.col("gram").alias("part"), "word").join(dictionary.select("word", "word_id"), "word").select("block", "part", "word_id")
     longer = features.where(F.col("parts").isNotNull()).select("block", "target", "gram", "n", F.posexplode("parts").alias("at", "part"))
-    tuples = longer.join(place, ["block", "part"]).groupBy("block", "target", "gram", "n").agg(F.array_sort(F.collect_list(F.struct("at", "word_id"))).alias("x"))  # at most max_n each
-    return one.unionByName(tuples.select("block", "target", "gram", "n", F.col("x.word_id").alias("ids")))
+    ids = [F.max(F.when(F.col("at") == k, F.col("word_id"))).alias(f"i{k + 1}") for k in range(max_n)]
+    return longer.join(place, ["block", "part"]).groupBy("block", "target", "gram", "n").agg(*ids)
 
 
-def hashed_tuples(tuples: DataFrame, dictionary: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """(ids, s, t, bucket): every distinct tuple once, its counts in the documents and the target, and the bucket of its text's bytes."""
-    of = lambda target: F.coalesce(F.sum(F.when(F.col("target") == target, F.col("n"))), F.lit(0).cast("long"))
-    distinct = tuples.groupBy("ids").agg(of(False).alias("s"), of(True).alias("t"))
-    spelled = distinct.select("ids", "s", "t", F.posexplode("ids").alias("at", "word_id")).join(dictionary, "word_id")
-    text = F.concat_ws(" ", F.col("x.word"))
-    by_tuple = spelled.groupBy("ids", "s", "t").agg(F.array_sort(F.collect_list(F.struct("at", "word"))).alias("x"))  # at most max_n each
-    return by_tuple.select("ids", "s", "t", (F.crc32(text.cast("binary")) % buckets).cast("int").alias("bucket"))
+def hashed_tuples(tuples: DataFrame, dictionary: DataFrame, max_n: int = MAX_N, buckets: int = BUCKETS) -> DataFrame:
+    """(i1, i2, ..., s, t, bucket): every distinct tuple once, its counts in the documents and the target, and the bucket of its text's bytes."""
+    ids = [f"i{k + 1}" for k in range(max_n)]
+    spelled = tuples.groupBy(*ids).agg(*_sums())
+    for k in ids:
+        spelled = spelled.join(dictionary.select(F.col("word_id").alias(k), F.col("word").alias(f"w_{k}")), k, "left")
+    return spelled.select(*ids, "s", "t", _bucket(F.concat_ws(" ", *[f"w_{k}" for k in ids]), buckets))  # leaves out nulls
 
 
 def bucket_gains(hashed: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """(bucket, gain) of every bucket, used or not."""
+    """(bucket, gain) of every bucket, used or not, from (bucket, s, t) of all tuples."""
     used = hashed.groupBy("bucket").agg(F.sum("s").alias("s"), F.sum("t").alias("t"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("double")
     totals = used.agg(F.coalesce(F.sum("s"), F.lit(0)).cast("double").alias("all_s"), F.coalesce(F.sum("t"), F.lit(0)).cast("double").alias("all_t"))
@@ -168,7 +188,7 @@ def _weigh(documents: DataFrame, gains_of: DataFrame, id_type, gains: np.ndarray
         weight = np.where(features > 0, total // np.maximum(features, 1), 0)
         return pa.Table.from_arrays([docs["id"], docs["pos"], docs["n_words"], docs["n_features"], pa.array(weight)], schema=to_arrow_schema(schema))
 
-    return documents.groupBy("block").cogroup(gains_of.groupBy("block")).applyInArrow(run, schema)
+    return documents.groupBy("of_block").cogroup(gains_of.groupBy("block")).applyInArrow(run, schema)
 
 
 def gumbel(id_column: str | Column = "doc_id", seed: int = SEED) -> Column:
@@ -182,16 +202,21 @@ def weigh(docs: DataFrame, target: DataFrame, max_n: int = MAX_N, buckets: int =
     """(id, pos, n_words, n_features, weight) of every row of ``docs``; ``target`` needs a column text only. pos is the row's place in its block."""
     aimed = block_features(target.select(F.lit(None).cast(docs.schema[id_column].dataType).alias("id"), "text"), max_n, True, "id")
     features = materialize(block_features(docs, max_n, False, id_column).unionByName(aimed), "features")
-    dictionary = materialize(word_dictionary(features), "dictionary")
-    tuples = materialize(gram_tuples(features, dictionary, max_n), "tuples")
-    hashed = materialize(hashed_tuples(tuples, dictionary, buckets), "hashed")
+    dictionary = materialize(word_dictionary(features, buckets), "dictionary")
+    words = features.where(F.col("word").isNotNull() & ~F.col("target")).select("block", "gram", "word")
+    counts, back, used = dictionary.select("bucket", "s", "t"), words.join(dictionary.select("word", "bucket"), "word").select("block", "gram", "bucket"), [features, dictionary]
+    if max_n > 1:
+        tuples = materialize(longer_tuples(features, dictionary, max_n), "tuples")
+        hashed = materialize(hashed_tuples(tuples, dictionary, max_n, buckets), "hashed")
+        same = [tuples[f"i{k + 1}"].eqNullSafe(hashed[f"i{k + 1}"]) for k in range(max_n)]
+        back = back.unionByName(tuples.where(~F.col("target")).join(hashed, same).select("block", "gram", "bucket"))
+        counts, used = counts.unionByName(hashed.select("bucket", "s", "t")), [*used, tuples, hashed]
     gains = np.zeros(buckets, np.int64)
-    for r in bucket_gains(hashed, buckets).toLocalIterator():  # as many rows as buckets
+    for r in bucket_gains(counts, buckets).toLocalIterator():  # as many rows as buckets
         gains[r["bucket"]] = r["gain"]
-    back = tuples.where(~F.col("target")).select("block", "gram", "ids").join(hashed.select("ids", "bucket"), "ids").select("block", "gram", "bucket")
-    own = features.where(F.col("gram").isNull() & ~F.col("target")).select("block", "id", "pos", "n_words", "n_features", "grams", "counts")
+    own = features.where(F.col("gram").isNull() & ~F.col("target")).select(F.col("block").alias("of_block"), "id", "pos", "n_words", "n_features", "grams", "counts")
     weighed = materialize(_weigh(own, back, docs.schema[id_column].dataType, gains), "weights")
-    for t in (features, dictionary, tuples, hashed):
+    for t in used:
         drop_materialized(t)
     return weighed
 
