@@ -59,11 +59,11 @@ def _clean(spark: SparkSession) -> None:
             return
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write and reread ``df``; later reads do not compute it again."""
+def materialize(df: DataFrame, name: str = "table", codec: str | None = None) -> DataFrame:
+    """Write and reread ``df``; later reads do not compute it again. codec: the compression, if not the session's."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_at = path
     return out
