@@ -180,7 +180,8 @@ def _weigh(documents: DataFrame, gains_of: DataFrame, id_type, gains: np.ndarray
         sizes = np.asarray(pc.list_value_length(docs["grams"]), np.int64)
         at, n = np.asarray(pc.list_flatten(docs["grams"]), np.int64), np.asarray(pc.list_flatten(docs["counts"]), np.int64)
         gain = np.zeros(grams.num_rows, np.int64)
-        gain[np.asarray(grams["gram"])] = gains[np.asarray(grams["bucket"])]
+        gram, bucket = np.divmod(np.asarray(grams["gram_bucket"]), len(gains))
+        gain[gram] = gains[bucket]
         ends = np.cumsum(sizes)
         run_sum = np.concatenate([[0], np.cumsum(gain[at] * n)])
         total = run_sum[ends] - run_sum[ends - sizes]
@@ -201,7 +202,7 @@ def gumbel(id_column: str | Column = "doc_id", seed: int = SEED) -> Column:
 def weigh(docs: DataFrame, target: DataFrame, max_n: int = MAX_N, buckets: int = BUCKETS, id_column: str = "doc_id") -> DataFrame:
     """(id, pos, n_words, n_features, weight) of every row of ``docs``; ``target`` needs a column text only. pos is the row's place in its block."""
     aimed = block_features(target.select(F.lit(None).cast(docs.schema[id_column].dataType).alias("id"), "text"), max_n, True, "id")
-    features = materialize(block_features(docs, max_n, False, id_column).unionByName(aimed), "features")
+    features = materialize(block_features(docs, max_n, False, id_column).unionByName(aimed), "features", "zstd")
     dictionary = materialize(word_dictionary(features, buckets), "dictionary")
     words = features.where(F.col("word").isNotNull() & ~F.col("target")).select("block", "gram", "word")
     counts, back, used = dictionary.select("bucket", "s", "t"), words.join(dictionary.select("word", "bucket"), "word").select("block", "gram", "bucket"), [features, dictionary]
@@ -215,6 +216,7 @@ def weigh(docs: DataFrame, target: DataFrame, max_n: int = MAX_N, buckets: int =
     for r in bucket_gains(counts, buckets).toLocalIterator():  # as many rows as buckets
         gains[r["bucket"]] = r["gain"]
     own = features.where(F.col("gram").isNull() & ~F.col("target")).select(F.col("block").alias("of_block"), "id", "pos", "n_words", "n_features", "grams", "counts")
+    back = back.select("block", (F.col("gram").cast("long") * buckets + F.col("bucket")).alias("gram_bucket"))  # a narrow row
     weighed = materialize(_weigh(own, back, docs.schema[id_column].dataType, gains), "weights")
     for t in used:
         drop_materialized(t)
