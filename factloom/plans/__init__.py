@@ -1,6 +1,6 @@
 """Query catalogue: importing it registers every query of the library."""
 
-from factloom.plans import index_queries, part_queries, path_queries, record_queries, search_queries  # noqa: F401  they register themselves
+from factloom.plans import cluster_queries, index_queries, part_queries, path_queries, record_queries, search_queries  # noqa: F401  they register themselves
 from factloom.plans.catalog import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

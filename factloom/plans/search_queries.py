@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from factloom.functions import ids, text
-from factloom.operators import events, intervals, packing, records, search, similar, terms, vectors
+from factloom.operators import events, hamming, intervals, packing, records, search, similar, terms, vectors
 from factloom.plans.catalog import query, table
 from factloom.streaming import refresh
 
@@ -104,6 +104,49 @@ def duplicate_representatives(spark: SparkSession, d: str) -> DataFrame:
     return similar.representatives(docs, "doc_id", similar.components(similar.similar_pairs(docs, "doc_id", "text", 0.55)))
 
 
+@query(
+    "hamming_pairs",
+    """
+WITH h AS (SELECT vec_id, list_transform(embedding, lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END) AS s FROM embeddings),
+p AS (SELECT a.vec_id AS a, b.vec_id AS b, CAST(list_sum(list_transform(list_zip(a.s, b.s), lambda z: abs(z[1] - z[2]))) AS INTEGER) AS differing FROM h a JOIN h b ON a.vec_id < b.vec_id)
+SELECT a, b, differing FROM p WHERE differing <= 18
+""",
+)
+def hamming_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Vectors whose signs differ in at most 18 of 64 places."""
+    v = table(spark, d, "embeddings").select("vec_id", hamming.sign_pieces("embedding", 64).alias("signs"))
+    return hamming.hamming_pairs(v, "vec_id", "signs", 64, 18)
+
+
+# records from documents: one image for copies of a text's beginning, and the hash of an image from the signs of a vector
+_IMAGES_SQL = rf"""
+v AS (SELECT vec_id, lpad(array_to_string(list_transform(range(0, 16), lambda k: substr('0123456789abcdef', CAST(list_sum(list_transform(range(1, 5), lambda j: CASE WHEN embedding[4*k+j] > 0 THEN 2 ** (4 - j) ELSE 0 END)) AS INTEGER) + 1, 1)), ''), 64, '0') AS x FROM embeddings),
+m AS (SELECT count(*) AS m FROM embeddings),
+f AS (SELECT doc_id, sha256(left(text, 40)) AS i, x, {_DUP} AS t FROM documents JOIN m ON true LEFT JOIN v ON vec_id = (n_chars % m)),
+w AS (SELECT doc_id, i, x, t, length(t) AS n, string_split(t, ' ') AS w FROM f),
+s AS (SELECT doc_id, i, x, n, t, CASE WHEN t = '' THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda j: w[j] || ' ' || w[j+1] || ' ' || w[j+2])) END AS g FROM w),
+u AS (SELECT doc_id, len(g) AS c, unnest(g) AS y FROM s),
+k AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) / (a.c + b.c - count(*))::DOUBLE AS j FROM u a JOIN u b ON a.y = b.y AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id, a.c, b.c),
+e AS (SELECT a.doc_id AS a, b.doc_id AS b, CASE WHEN least(a.n, b.n) > 0 AND least(a.n, b.n) >= 0.35 * greatest(a.n, b.n) THEN coalesce(j, 0) ELSE 0 END AS j, bit_count(xor(CAST('0x' || a.x[49:56] AS BIGINT), CAST('0x' || b.x[49:56] AS BIGINT))) + bit_count(xor(CAST('0x' || a.x[57:64] AS BIGINT), CAST('0x' || b.x[57:64] AS BIGINT))) AS h, coalesce(a.i = b.i, false) AS x
+  FROM s a JOIN s b ON a.doc_id < b.doc_id LEFT JOIN k ON k.a = a.doc_id AND k.b = b.doc_id),
+r AS (SELECT a, b FROM e WHERE x OR j >= 0.55 OR h <= 22 AND j >= 0.18)
+"""
+
+
+@query(
+    "record_duplicates",
+    f"WITH RECURSIVE {_IMAGES_SQL}, o AS (SELECT a, b FROM r UNION SELECT b, a FROM r), c(v, m) AS (SELECT doc_id, doc_id FROM documents UNION SELECT o.b, c.m FROM c JOIN o ON o.a = c.v) SELECT v AS doc_id, min(m) AS component FROM c GROUP BY v",
+)
+def record_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    """The smallest record that each is tied to by the same image, similar text, or alike images of somewhat similar texts."""
+    docs, v = table(spark, d, "documents"), table(spark, d, "embeddings")
+    pieces = v.select("vec_id", hamming.sign_pieces("embedding", 64).alias("s")).select("vec_id", F.lpad(F.lower(F.concat(*[F.lpad(F.hex(F.get("s", F.lit(k))), 8, "0") for k in range(2)])), 64, "0").alias("hash"))
+    image = docs.join(F.broadcast(v.agg(F.count("*").alias("m")))).withColumn("vec_id", F.col("n_chars") % F.col("m"))  # one row
+    records = image.join(pieces, "vec_id", "left").select("doc_id", F.sha2(F.substring("text", 1, 40), 256).alias("image"), "hash", "text")
+    pairs = hamming.record_duplicates(records, "doc_id", "image", "hash", "text", distance=22)
+    return similar.representatives(docs, "doc_id", similar.components(pairs)).select("doc_id", F.col("representative").alias("component"))
+
+
 @query(
     "vector_top_k",
     """
