@@ -2,9 +2,10 @@
 
 Each text gets exact counts (``metrics``) and, for the counts of RATES, the log-odds ``ln((k + 1/2) / (n - k + 1/2))`` of k marked among n
 words, lines or characters.  Log-odds spread evenly also where most texts have no mark at all, since their lengths differ.  For every (lang, source) group,
-mergeable KLL quantile sketches of these log-odds give the upper fences ``q75 + FAR * (q75 - q25)``, the "far out" limit of box plots; the
-quartiles' distance counts as at least the mean one of the language's groups (by rows), so that a group of mere copies does not reject its other texts.
-Groups of fewer than ``SUPPORT`` texts take the fences of their language, or of all texts.  The fences are joined to the rows, and
+mergeable KLL quantile sketches of these log-odds, over the texts that pass the base rules, give the upper fences ``q75 + FAR * (q75 - q25)``, the "far out" limit of box
+plots.  Quartiles and their distance are shrunk: those of a group of n texts are mixed with those of its language, with the weights n and PRIOR, and the language's with those of
+all texts in the same way, so every group's own texts count, and a few texts do not decide alone.  The distance counts as at least the mean one of the language's groups (by
+rows), so that a group of mere copies does not reject its other texts.  The fences are joined to the rows, and
 a text is kept if it passes the base rules and no rate lies above its fence by more than CLEAR standard errors of the counts, which a short text with
 a few marks does not. No threshold of a rate is fixed, and labels play no part.
 
@@ -28,7 +29,9 @@ RATES = {
     "symbol_rate": ("n_symbols", "word_chars"), "repeat_rate": ("n_repeat_words", "n_words"), "dup_line_rate": ("n_dup_lines", "n_lines"),
     "upper_rate": ("n_upper", "word_chars"), "exclaim_rate": ("n_exclaims", "word_chars"),
 }
-FAR, CLEAR, SUPPORT, SKETCH_K = 3.0, 3.0, 200, 200
+FAR, CLEAR, SKETCH_K = 3.0, 3.0, 200
+#: Texts of the wider group that count with a group's own.
+PRIOR = 50.0
 COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_upper long, n_exclaims long"
 
 
@@ -86,10 +89,11 @@ def _quartiles(sketches: DataFrame, prefix: str) -> list[Column]:
     return [c for r in RATES for c in (at(r, 0.75).alias(f"{prefix}{r}_q"), (at(r, 0.75) - at(r, 0.25)).alias(f"{prefix}{r}_w"))]
 
 
-def thresholds(measured: DataFrame, far: float = FAR, support: int = SUPPORT) -> DataFrame:
-    """The group's keys and a fence for each rate, one row a group."""
-    keyed = measured.where(F.col("n_words") > 0).select(F.coalesce("lang", F.lit("\0")).alias("__lang"), F.coalesce("source", F.lit("\0")).alias("__source"), *RATES)
-    groups = keyed.groupBy("__lang", "__source").agg(F.count("*").alias("n"), *[F.kll_sketch_agg_double(r, F.lit(SKETCH_K)).alias(f"{r}_sketch") for r in RATES])
+def thresholds(measured: DataFrame, far: float = FAR, prior: float = PRIOR) -> DataFrame:
+    """The group's keys and a fence for each rate, one row a group that has texts which pass the base rules;
+    no text of another group can be kept."""
+    passing = measured.where(~F.col("base_failed")).select(F.coalesce("lang", F.lit("\0")).alias("__lang"), F.coalesce("source", F.lit("\0")).alias("__source"), *RATES)
+    groups = passing.groupBy("__lang", "__source").agg(F.count("*").alias("n"), *[F.kll_sketch_agg_double(r, F.lit(SKETCH_K)).alias(f"{r}_sketch") for r in RATES])
     merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(f"{r}_sketch").alias(f"{r}_sketch") for r in RATES]]
     groups = materialize(groups, "sketches")
     own = groups.select("*", *_quartiles(groups, "own_"))
@@ -101,9 +105,11 @@ def thresholds(measured: DataFrame, far: float = FAR, support: int = SUPPORT) ->
     joined = own.join(by_lang, "__lang").join(F.broadcast(overall))  # one row
 
     def fence(r: str) -> Column:
-        of = lambda p: F.col(f"{p}{r}_q") + far * F.col(f"{p}{r}_w")
-        by_own = F.col(f"own_{r}_q") + far * F.greatest(f"own_{r}_w", f"floor_{r}")
-        return F.when(F.col("lang_n") < support, of("all_")).when(F.col("n") < support, of("lang_")).otherwise(by_own).alias(f"{r}_fence")
+        def shrunk(end: str, own_end: Column) -> Column:
+            mix = lambda n, x, y: (F.col(n) * x + prior * y) / (F.col(n) + prior)
+            return mix("n", own_end, mix("lang_n", F.col(f"lang_{r}_{end}"), F.col(f"all_{r}_{end}")))
+
+        return (shrunk("q", F.col(f"own_{r}_q")) + far * shrunk("w", F.greatest(f"own_{r}_w", f"floor_{r}"))).alias(f"{r}_fence")
 
     return joined.select("__lang", "__source", *[fence(r) for r in RATES])
 
@@ -126,7 +132,7 @@ def judge(measured: DataFrame, fences: DataFrame) -> DataFrame:
     return out.drop("__lang", "__source", *[f"{r}_fence" for r in RATES])
 
 
-def rule_verdicts(docs: DataFrame, far: float = FAR, support: int = SUPPORT) -> DataFrame:
+def rule_verdicts(docs: DataFrame, far: float = FAR, prior: float = PRIOR) -> DataFrame:
     """doc_id, the base counts, base_failed and kept for every document."""
     measured = materialize(metrics(docs, ["doc_id", "lang", "source"]), "rules")
-    return judge(measured, thresholds(measured, far, support)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return judge(measured, thresholds(measured, far, prior)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")

@@ -159,8 +159,8 @@ def test_rules_adapt_by_group(spark):
     assert all(kept[i] for i in range(600)) and not kept[9000]
 
 
-def brute_verdicts(rows, far, support):
-    """kept of each row, from exact quantiles (the least value that a share of the group's values does not exceed)."""
+def brute_verdicts(rows, far, prior):
+    """kept of each row, from exact quantiles (the least value that a share of the group's values does not exceed) of the texts that pass the base rules."""
     import math
     import re
 
@@ -171,31 +171,29 @@ def brute_verdicts(rows, far, support):
         lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
         upper, exclaims = len(re.findall("[A-Z]", t)), t.count("!")
         pairs = ((symbols, chars), (repeat, n), (dup, len(lines)), (upper, chars), (exclaims, chars))
-        rates.append((lang or "\0", source or "\0", n, failed, [math.log((k + 0.5) / (m - k + 0.5)) for k, m in pairs], pairs))
-    seen = [r for r in rates if r[2] > 0]
+        rates.append((lang or "\0", source or "\0", failed, [math.log((k + 0.5) / (m - k + 0.5)) for k, m in pairs], pairs))
+    seen = [r for r in rates if not r[2]]
     at = lambda v, q: sorted(v)[max(0, math.ceil(q * len(v)) - 1)]
-    out = []
+    spread = lambda v: at(v, 0.75) - at(v, 0.25)
     error = lambda k, m: 1 / (k + 0.5) + 1 / (m - k + 0.5)
-    for lang, source, _, failed, odds, pairs in rates:
+    mix = lambda n, x, y: (n * x + prior * y) / (n + prior)
+    out = []
+    for lang, source, failed, odds, pairs in rates:
         ok = not failed
         for k in range(5):
-            every, of_lang = [r[4][k] for r in seen], [r[4][k] for r in seen if r[0] == lang]
+            every, of_lang = [r[3][k] for r in seen], [r[3][k] for r in seen if r[0] == lang]
             groups = {}
             for r in seen:
                 if r[0] == lang:
-                    groups.setdefault(r[1], []).append(r[4][k])
-            spread = lambda v: at(v, 0.75) - at(v, 0.25)
+                    groups.setdefault(r[1], []).append(r[3][k])
             own = groups.get(source, [])
             if not own:
                 ok = False
                 break
-            if len(of_lang) < support:
-                fence = at(every, 0.75) + far * spread(every)
-            elif len(own) < support:
-                fence = at(of_lang, 0.75) + far * spread(of_lang)
-            else:
-                floor = sum(len(v) * spread(v) for v in groups.values()) / len(of_lang)
-                fence = at(own, 0.75) + far * max(spread(own), floor)
+            floor = sum(len(g) * spread(g) for g in groups.values()) / len(of_lang)
+            quartile = mix(len(own), at(own, 0.75), mix(len(of_lang), at(of_lang, 0.75), at(every, 0.75)))
+            width = mix(len(own), max(spread(own), floor), mix(len(of_lang), spread(of_lang), spread(every)))
+            fence = quartile + far * width
             count, m = pairs[k]
             ok = ok and odds[k] - fence <= rules.CLEAR * math.sqrt(error(count, m) + error(m / (1 + math.exp(-fence)), m))
         out.append(ok)
@@ -215,12 +213,39 @@ def test_rule_verdicts_equal_exact_quantiles(spark):
         rows.append((i, text + ("\n" + text[:200]) * rng.choice([0, 0, 0, 3]), rng.choice(["aa", "aa", "bb"]), source))
     rows += [(1000 + k, rows[0][1], "aa", "s1") for k in range(60)] + [(2000, None, "aa", "s1"), (2001, "few words", "cc", "s9"), (2002, "#" * 300 + " x" * 60, "cc", "s9")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
-    got = {r.doc_id: r.kept for r in rules.rule_verdicts(docs, support=20).collect()}
-    expected = brute_verdicts(rows, rules.FAR, 20)
+    got = {r.doc_id: r.kept for r in rules.rule_verdicts(docs).collect()}
+    expected = brute_verdicts(rows, rules.FAR, rules.PRIOR)
     assert [got[r[0]] for r in rows] == expected
     assert 0 < sum(expected) < sum(not brute_rules(r[1])[-1] for r in rows)
-    fences = rules.thresholds(rules.metrics(docs), support=20).select("symbol_rate_fence").distinct().count()
-    assert fences > 3
+    fences = rules.thresholds(rules.metrics(docs))
+    assert fences.select("symbol_rate_fence").distinct().count() == fences.count() > 3  # every group's own texts count
+
+
+def test_every_rate_rejects(spark):
+    rng = random.Random(31)
+    rows = []
+    for i in range(400):
+        lines = [" ".join(sentence(rng, 12).strip().capitalize() for _ in range(2)) for _ in range(10)]
+        if i % 3 == 0:
+            lines[rng.randrange(10)] += "!"
+        rows.append([i, "\n".join(lines), "aa", "s"])
+    odd = {}
+    text = lambda: "".join(sentence(rng, 12) for _ in range(40))
+    odd["symbol_rate"] = " ".join(w + "#|" for w in text().split())
+    odd["upper_rate"] = text().upper()
+    odd["exclaim_rate"] = " ".join(w + "!!" for w in text().split())
+    odd["dup_line_rate"] = "\n".join(sentence(rng, 12) + "\nsame" for _ in range(40))  # one short line again and again
+    few = text().split()
+    odd["repeat_rate"] = " ".join(few + few[:100])  # under half of the words
+    rows += [[1000 + k, t, "aa", "s"] for k, t in enumerate(odd.values())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    measured = rules.metrics(docs)
+    keyed = measured.withColumns({"__lang": measured["lang"], "__source": measured["source"]}).join(rules.thresholds(measured), ["__lang", "__source"])
+    flags = {r["doc_id"]: r for r in keyed.select("doc_id", "base_failed", *[rules._clearly_above(r).alias(r) for r in rules.RATES]).collect()}
+    for k, rate in enumerate(odd):
+        assert not flags[1000 + k]["base_failed"], rate
+        assert flags[1000 + k][rate], rate
+    assert sum(any(flags[i][r] for r in rules.RATES) for i in range(400)) == 0
 
 
 def brute_predictions(rows):
