@@ -150,7 +150,9 @@ def test_greedy_clusters_of_a_whole_group_and_lanes_equal_plain_python(spark):
         wanted.append((b, k, at))
     assert rows(QUERIES["greedy_cluster"](spark, d), "p_partkey") == wanted
     g = spark.createDataFrame([(None, 1, "red ring x"), (None, 2, "rad ring x"), (None, 3, "red ring x"), (None, 4, None), (None, 5, "")], "e string, k int, v string")
-    assert rows(similar.greedy_clusters(g, ["e"], "k", "v"), "k") == [(None, 1, 0), (None, 2, 0), (None, 3, 0), (None, 4, 1), (None, 5, 1)]
+    assert rows(similar.greedy_clusters(g, ["e"], "k", "v"), "k") == [(None, 1, 0), (None, 2, 0), (None, 3, 0), (None, 4, 1), (None, 5, 2)]  # what is empty is like nothing
+    g = spark.createDataFrame([("e", 1, "Belt-worn, arm A2 left side"), ("e", 2, "left side arm a2: belt worn"), ("e", 3, "BELT worn arm a2 left  side!")], "e string, k int, v string")
+    assert rows(similar.greedy_clusters(g, ["e"], "k", "v"), "k") == [("e", 1, 0), ("e", 2, 0), ("e", 3, 0)]  # by words
     wanted, used = [], defaultdict(lambda: [0, 0])
     for k, lang, source, n in rows(spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "lang", "source", "n_chars"), "doc_id"):
         u = used[f"{lang}/{source}"]
