@@ -6,9 +6,9 @@ softmaxes are maximum-entropy models over hashed features of
 the history: the word before (bigram), the word before that (skip), and for the class also the pair of their classes (trigram); the features of the
 slots are crossed with the class.  Among the words of slot 0, of which there may be any number, a word has its smoothed relative frequency from exact counts.
 
-Training is by distributed gradient updates: the training texts are dealt by hash to shards of about SHARD_TOKENS tokens (more where there would be over
-MOST_SHARDS), whatever the number of cores.  A task runs adaptive gradient steps over its shard, in the order of the texts' hashes, in sparse numpy batches; the
-tables' rows are then averaged in a tree, weighted by the tokens that touched them.
+Training is by distributed gradient updates: the training texts are dealt by hash to shards of about SHARD_TOKENS tokens, whatever the number of cores and the size of the
+corpus.  Adaptive gradient steps run over each shard, in the order of the texts' hashes, in sparse numpy batches; the
+tables' rows are then averaged in a tree, weighted by the tokens that touched them. A task has one shard, or several, one after the other, where there are over PARTITIONS.
 Counts come from one distributed aggregation.  Words of at least a count that at most FREQUENT words
 reach are looked up in the worker; the other words of a text are joined with the count table, which may be of any size.
 
@@ -38,7 +38,7 @@ SLOTS = 32  # of a class by ending: 0 for all words that have none of their own
 BUCKETS = 1 << 13  # of the bigram features of the class, and of its skip features
 WORD_BUCKETS = 1 << 15  # of the bigram and class features of the slot, and of its skip and class features
 STEP, STEP_TOKENS = 0.25, 1 << 15
-SHARD_TOKENS, MOST_SHARDS = 1 << 22, 1 << 16
+SHARD_TOKENS, PARTITIONS = 1 << 22, 1 << 16
 _BLOCK_ROWS, _FAN_IN, _NEVER = 2048, 32, -40.0
 _END = np.uint64(0x243F6A8885A308D3)
 _PUNCTUATION = np.zeros(256, bool)
@@ -275,7 +275,7 @@ def _average(parts: list[tuple[bytes, bytes, bytes]], width: int) -> tuple[bytes
 def _train(docs: DataFrame, model: Model) -> None:
     """A pass of all training tokens: each shard's adaptive gradient steps, averaged by table row in a tree."""
     ship = docs.sparkSession.sparkContext.broadcast(model)  # fixed size
-    shards = min(MOST_SHARDS, math.ceil(model.total / SHARD_TOKENS))
+    shards = math.ceil(model.total / SHARD_TOKENS)
 
     def rows_of(node: int, part: int, d: Descent):
         for block in range(0, len(d.table), _BLOCK_ROWS):
@@ -319,7 +319,8 @@ def _train(docs: DataFrame, model: Model) -> None:
 
     key = F.xxhash64("doc_id", "text")
     texts = docs.where(_training()).select(F.pmod(key, F.lit(shards)).cast("int").alias("shard"), key.alias("key"), F.col("text"))
-    dealt = texts.repartitionById(shards, "shard").sortWithinPartitions("shard", "key").select("shard", "text")
+    parts = min(shards, PARTITIONS)
+    dealt = texts.withColumn("part", F.col("shard") % parts).repartitionById(parts, "part").sortWithinPartitions("shard", "key").select("shard", "text")
     found = materialize(arrow_map(dealt, run, _ROWS), "steps")
     while True:
         merged = found.withColumn("up", F.floor(F.col("node") / _FAN_IN)).groupBy("part", "block", "up").applyInArrow(lambda k, t: merge(t.drop(["up"])), _ROWS)
