@@ -42,6 +42,8 @@ LONG_BITS = 4096
 SPLIT, LEAST_SPLIT = 4096, 512
 #: Rows of one bucket that a task gets in a join by bucket, about.
 SALT_ROWS = 1024
+#: Pairs of one first member that a task confirms, about.
+CONFIRM_ROWS = 256
 #: Members of a bucket that is compared by a join; larger ones are compared in blocks.
 SMALL = 48
 
@@ -258,12 +260,18 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             keep = pa.array(keep, pa.bool_())
             yield batch(u=rb["ua"].filter(keep), v=rb["ub"].filter(keep))
 
+    # the pairs of a first member with many of them are spread, its set going to each part
+    many = pairs.groupBy("ua", "ha").agg(F.ceil(F.count("*") / CONFIRM_ROWS).cast("int").alias("parts")).where(F.col("parts") > 1)
+    many = materialize(many, "many")
+    many = F.broadcast(many) if many.count() <= 100_000 else many
+    pairs = pairs.join(many, ["ua", "ha"], "left").withColumn("part", F.pmod(F.xxhash64("ub"), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
     # the second of a pair is the rarer one: its set is joined first, and only sets of first members go to the other side
     firsts = pairs.select(F.col("ua").alias("id"), F.col("ha").alias("h1")).distinct()
     seconds = pairs.select(F.col("ub").alias("id"), F.col("hb").alias("h1")).distinct()
     left = sets.join(firsts, ["id", "h1"], "left_semi").select(F.col("id").alias("ua"), F.col("h1").alias("ha"), F.col("set").alias("a")).dropDuplicates(["ua", "ha"])
     right = sets.join(seconds, ["id", "h1"], "left_semi").select(F.col("id").alias("ub"), F.col("h1").alias("hb"), F.col("set").alias("b")).dropDuplicates(["ub", "hb"])
-    both = pairs.join(right, ["ub", "hb"]).join(left, ["ua", "ha"]).select("ua", "ub", "a", "b")
+    left = left.join(many, ["ua", "ha"], "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+    both = pairs.join(right, ["ub", "hb"]).join(left, ["ua", "ha", "part"]).select("ua", "ub", "a", "b")
     return materialize(arrow_map(both, run, "u long, v long", 500), "links")
 
 

@@ -112,3 +112,9 @@ def test_rows_of_large_buckets_are_linear(spark, monkeypatch):
     assert sum(r[2] for r in blocks) == len(rows) and len(blocks) <= 16
     got = [(r.ua, r.ub) for r in pairs.collect()]
     assert sorted(got) == sorted((1, 0) if m == 0 else (2 * m, 2 * m + 1) for m in range(200))  # 0 is the largest component
+
+
+def test_pairs_of_one_leader_are_spread(spark, docs, monkeypatch):
+    want = sorted(map(tuple, neardup.near_duplicates(docs).collect()), key=str)
+    monkeypatch.setattr(neardup, "CONFIRM_ROWS", 2)
+    assert sorted(map(tuple, neardup.near_duplicates(docs).collect()), key=str) == want
