@@ -58,9 +58,9 @@ def query_form(c: ColumnOrName) -> Column:
     return F.trim(F.regexp_replace(s, r"\s+", " "))
 
 
-#: Words that carry no meaning in a pattern query.
+#: Words that carry no meaning in a pattern query. A shop passes these and the names of its own equipment.
 STOPWORDS = (
-    "a", "an", "and", "are", "as", "at", "be", "been", "for", "from", "gb8", "genmark", "i", "in", "is", "it", "me", "my", "of", "on", "or", "please", "show", "the", "to",
+    "a", "an", "and", "are", "as", "at", "be", "been", "for", "from", "i", "in", "is", "it", "me", "my", "of", "on", "or", "please", "show", "the", "to",
     "what", "when", "where", "which", "with", "normally", "usually", "common", "about",
 )
 

@@ -13,7 +13,7 @@ def rows(df, *order):
 FILES = [
     "Power Supplies/RCL1A-1D-W3/Repairs/130130006 Line Card Original.jpg",
     "Power Supplies/RCL1A-1D-W3/Repairs/130130006 Unit Photo.jpg",
-    "Robots/GB8/130130006 Line Card Original.jpg",
+    "Robots/QX8/130130006 Line Card Original.jpg",
     "Power Supplies/RCL1A-1D-W3/Repairs/130813004 Line Card Warranty.JPG",
 ]
 
@@ -22,7 +22,7 @@ def test_file_index(spark):
     files = index.file_rows(spark.createDataFrame([(p, 10) for p in FILES], "path string, size long"))
     assert [r.detected_log for r in files.orderBy("relative_path").collect()] == ["130130006", "130130006", "130813004", "130130006"]
     n = lambda q, **k: index.search(files, q, **k).count()
-    assert n("RCL1A LINE") == 2 and n("RCL1A LINE", extensions=(".jpg",)) == 2 and n("GB8 LINE") == 1 and n("130130006") == 3 and n('"line card" warranty') == 1
+    assert n("RCL1A LINE") == 2 and n("RCL1A LINE", extensions=(".jpg",)) == 2 and n("QX8 LINE") == 1 and n("130130006") == 3 and n('"line card" warranty') == 1
     assert index.search(files, "card", limit=1).first().total_matches == 3
 
 
@@ -81,7 +81,7 @@ ITEMS = "item_key string, item_type string, primary_value string, title string,
 def items(spark):
     data = [
         ("rma:1", "rma", "53434", "RMA 53434", "RCL1A", "e1", "130130006", None, 0.0), ("order:1", "order", "DGK52102", "DGK52102", "RCL1A", "e2", None, None, 0.0), ("event:1", "event", "e1", "Event e1", "RCL1A", "e1", "130130006", None, 0.0),
-        ("event:2", "event", "e2", "Event e2", "GB8", "e2", None, None, 0.0), ("part:1", "product_part", "314-2GT", "Belt 314-2GT", "GB8", None, None, None, 1.0), ("file:1", "file", "Unit.jpg", "Unit.jpg", "", None, "130130006", "x/130130006 Unit.jpg", 0.0),
+        ("event:2", "event", "e2", "Event e2", "QX8", "e2", None, None, 0.0), ("part:1", "product_part", "314-2GT", "Belt 314-2GT", "QX8", None, None, None, 1.0), ("file:1", "file", "Unit.jpg", "Unit.jpg", "", None, "130130006", "x/130130006 Unit.jpg", 0.0),
     ]
     return spark.createDataFrame([(*d[:8], " ".join(str(x or "") for x in d[2:8]).lower(), d[8]) for d in data], ITEMS)
 
@@ -91,7 +91,7 @@ def test_search_by_identifier_brings_linked_context(spark):
     assert hits[0] == "rma:1" and set(hits) == {"rma:1", "event:1", "file:1"}
     assert {r.item_key for r in search.search(items(spark), "DGK52102").collect()} == {"order:1", "event:2"}
     assert [r.item_key for r in search.search(items(spark), "314").collect()][0] == "part:1"
-    assert search.search(items(spark), "no such thing").count() == 0 and {r.item_key for r in search.search(items(spark), "gb8").collect()} >= {"event:2", "part:1"}
+    assert search.search(items(spark), "no such thing").count() == 0 and {r.item_key for r in search.search(items(spark), "qx8").collect()} >= {"event:2", "part:1"}
     g = search.grouped(search.search(items(spark), "rcl1a"), 1)
     assert g.groupBy("heading").count().where("count > 1").count() == 0
 
