@@ -214,7 +214,10 @@ def test_scores_do_not_depend_on_partitions(docs, monkeypatch):
     monkeypatch.setattr(language_model, "SHARD_TOKENS", 8000)
     monkeypatch.setattr(language_model, "_FAN_IN", 2)
     of = lambda d: sorted((repr(r.doc_id), r.n_tokens, round(r.score, 9)) for r in language_model.text_scores(d).collect())
-    assert of(docs) == of(docs.repartition(1)) == of(docs.repartition(7))
+    scores = of(docs)
+    assert scores == of(docs.repartition(1)) == of(docs.repartition(7))
+    monkeypatch.setattr(language_model, "PARTITIONS", 2)  # several shards a task
+    assert of(docs) == scores
 
 
 def test_rare_words_join_the_counts(docs, monkeypatch):
