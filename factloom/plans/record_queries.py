@@ -115,22 +115,22 @@ def field_states(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "cluster_validation",
-    "WITH p AS (SELECT l_suppkey AS s, l_partkey AS k FROM lineitem WHERE l_linenumber = 1 UNION ALL SELECT l_suppkey, l_partkey + 1000000 FROM lineitem WHERE l_linenumber = 2), o AS (SELECT k, lpad(CAST(min(lpad(CAST(s AS VARCHAR), 12, '0')) AS VARCHAR), 12, '0') AS s FROM p WHERE k IN (SELECT p_partkey FROM part) GROUP BY k), "
+    "WITH p AS (SELECT l_suppkey AS s, CASE WHEN l_linenumber % 2 = 1 THEN l_partkey ELSE l_partkey + 1000000 END AS k FROM lineitem), o AS (SELECT k, lpad(CAST(min(lpad(CAST(s AS VARCHAR), 12, '0')) AS VARCHAR), 12, '0') AS s FROM p WHERE k IN (SELECT p_partkey FROM part) GROUP BY k), "
     "z AS (SELECT s FROM o GROUP BY s HAVING count(*) >= 2) SELECT p_partkey AS candidate_id, coalesce(z.s, 'single:' || p_partkey) AS cluster_id FROM part LEFT JOIN o ON o.k = p_partkey LEFT JOIN z ON z.s = o.s",
 )
 def cluster_validation(spark: SparkSession, d: str) -> DataFrame:
     """Proposed clusters with unknown and repeated members; members left over become singletons."""
     lines = table(spark, d, "lineitem")
     cid = F.lpad(F.col("l_suppkey").cast("string"), 12, "0").alias("cluster_id")
-    p = lines.where("l_linenumber = 1").select(cid, F.col("l_partkey").alias("candidate_id")).unionByName(lines.where("l_linenumber = 2").select(cid, (F.col("l_partkey") + 1000000).alias("candidate_id")))
+    p = lines.select(cid, F.when(F.col("l_linenumber") % 2 == 1, F.col("l_partkey")).otherwise(F.col("l_partkey") + 1000000).alias("candidate_id"))
     return valid_clusters(p, table(spark, d, "part").select(F.col("p_partkey").alias("candidate_id"))).select("candidate_id", "cluster_id")
 
 
-@query("cache_misses", "SELECT doc_id FROM documents WHERE doc_id % 4 <> 0 AND text NOT IN (SELECT text FROM documents WHERE doc_id % 4 = 0)")
+@query("cache_misses", "SELECT doc_id FROM documents WHERE text NOT IN (SELECT text FROM benchmark)")
 def cache_misses(spark: SparkSession, d: str) -> DataFrame:
     """Documents whose content signature has no cached result."""
-    docs = table(spark, d, "documents").withColumn("signature", signature("text"))
-    return uncached(docs.where(F.col("doc_id") % 4 != 0), docs.where(F.col("doc_id") % 4 == 0)).select("doc_id")
+    signed = lambda name: table(spark, d, name).withColumn("signature", signature("text"))
+    return uncached(signed("documents"), signed("benchmark")).select("doc_id")
 
 
 @query("union_coverage", "SELECT count(DISTINCT l_orderkey) AS covered FROM lineitem")
@@ -308,9 +308,9 @@ def replacement_fill(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "merge_tracking",
-    "SELECT o_orderkey, list_sort(list(DISTINCT nullif(trim(l_returnflag), '')) FILTER (nullif(trim(l_returnflag), '') IS NOT NULL)) AS l_returnflag FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey AND l_linenumber < 3 GROUP BY o_orderkey HAVING count(l_orderkey) > 0",
+    "SELECT o_orderkey, list_sort(list(DISTINCT nullif(trim(l_returnflag), '')) FILTER (nullif(trim(l_returnflag), '') IS NOT NULL)) AS l_returnflag FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey HAVING count(l_orderkey) > 0",
 )
 def merge_tracking(spark: SparkSession, d: str) -> DataFrame:
-    """Distinct flags of each order's first lines."""
-    lines = table(spark, d, "lineitem").where("l_linenumber < 3").select(F.col("l_orderkey").alias("o_orderkey"), "l_returnflag")
+    """Distinct flags of each order's lines."""
+    lines = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_returnflag")
     return records.merge_tracking(table(spark, d, "orders").select("o_orderkey"), lines, "o_orderkey", ["l_returnflag"]).where(F.size("l_returnflag") > 0)
