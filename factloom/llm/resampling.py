@@ -34,6 +34,7 @@ from factloom.llm.common import arrow_map
 from factloom.storage import drop_materialized, materialize
 
 MAX_N, BUCKETS, SEED, PERCENT, MIN_WORDS = 1, 10_000, 2024, 10, 20
+#: Text of a block: the larger, the fewer rows name a word again; a task holds one at a time.
 BLOCK_BYTES = 8 << 20
 #: Rows that repeat one id are counted in so many parts.
 SALT = 256
