@@ -42,7 +42,7 @@ LONG_BITS = 4096
 SPLIT, LEAST_SPLIT = 4096, 512
 #: Rows of one bucket that a task gets in a join by bucket, about.
 SALT_ROWS = 1024
-#: Pairs of one first member that a task confirms, about.
+#: Pairs of one first member that are confirmed together, about; its set is repeated for each part.
 CONFIRM_ROWS = 256
 #: Members of a bucket that is compared by a join; larger ones are compared in blocks.
 SMALL = 48
