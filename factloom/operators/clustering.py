@@ -29,6 +29,9 @@ GENERIC_KEYS = (
 )
 LEAST_KEY = 4
 
+#: Families of a batch that the next one of a round sees again.
+CARRIED = 3
+
 _PROPOSED = "lane string, batch long, grp int, at int, member string, label string, key string, failed boolean"
 
 
@@ -156,9 +159,9 @@ def cluster_summaries(clusters: DataFrame, members: DataFrame, items: DataFrame,
 
 
 def overlap_batches(summaries: DataFrame, budget: int, overlap: int) -> DataFrame:
-    """fill_batches() by key, where each batch also has the last ``overlap`` rows of the one before, so that neighbours across a border can merge."""
-    batches = materialize(fill_batches(summaries.withColumn("order", concept_key("key")), "lane", ["order", "id"], "size", budget), "batches")
-    last = F.row_number().over(Window.partitionBy("lane", "batch").orderBy(F.desc("order"), F.desc("id")))
+    """fill_batches() by key and label, where each batch also has the last ``overlap`` rows of the one before, so that neighbours across a border can merge."""
+    batches = materialize(fill_batches(summaries.withColumn("order", concept_key("key")), "lane", ["order", "label", "id"], "size", budget), "batches")
+    last = F.row_number().over(Window.partitionBy("lane", "batch").orderBy(F.desc("order"), F.desc("label"), F.desc("id")))
     there = batches.select("lane", "batch").distinct()
     after = there.select("lane", F.lead("batch").over(Window.partitionBy("lane").orderBy("batch")).alias("next"), "batch")  # a row a batch
     carried = batches.withColumn("n", last).where(F.col("n") <= overlap).drop("n").join(after.where("next IS NOT NULL"), ["lane", "batch"]).withColumn("batch", F.col("next")).drop("next")
@@ -217,7 +220,8 @@ def cluster(items: DataFrame, first: Proposer, merge: Proposer, folder: str, bud
 def families(signals: DataFrame, first: Proposer, merge: Proposer, folder: str, most: int = 60, settings: str = "") -> DataFrame:
     """(family_id, label, member): signals (lane, id, raw, log) grouped in batches of ``most`` within their class, and the groups once more over all classes.
 
-    A group of one stays a family. The merge reads summaries in batches of ``most`` as well, ordered by key, and names known groups; what it leaves out stays as it is.
+    A group of one stays a family. The merge reads summaries in batches of ``most`` as well, ordered by key, and names known groups; what it leaves out stays as it is. Where that takes
+    several batches, rounds follow in which a batch has the last CARRIED families of the one before, until a round merges nothing, so that a border parts no family.
     """
     stages = Stages(signals.sparkSession, folder, rows_signature(signals, "families", most, settings))
     signals = signals.withColumn("id", F.col("id").cast("string"))
@@ -230,9 +234,21 @@ def families(signals: DataFrame, first: Proposer, merge: Proposer, folder: str,
     answers = stages.table("merge-proposed", lambda: propose(again, merge))
     merged = valid_groups(answers, again.withColumn("raw", F.col("label")))
     top, parts = stages.table("merge-clusters", lambda: merged[0]), stages.table("merge-members", lambda: merged[1])
-    inside = parts.select(F.col("cluster_id").alias("grp"), F.col("member").alias("cluster_id")).join(members, "cluster_id").select(F.lit("all").alias("lane"), "grp", "member")
-    named = inside.groupBy("lane", "grp").agg(F.concat(F.lit("ff_"), F.substring(content_of("family"), 4, 16)).alias("family_id")).join(top.select(F.col("cluster_id").alias("grp"), "label"), "grp")
-    return inside.join(named.select("grp", "family_id", "label"), "grp").select("family_id", "label", "member")
+    inside = stages.table("merge-inside", lambda: parts.withColumnRenamed("cluster_id", "grp").withColumnRenamed("member", "cluster_id").join(members, "cluster_id").select(F.col("grp").alias("cluster_id"), "member"))
+    k, split = 0, again.select("batch").distinct().count() > 1
+    while split:  # every round has fewer families than the one before, or is the last
+        k += 1
+        now = (top, inside)
+        summary = cluster_summaries(*now, signals).withColumn("size", F.lit(1))
+        batch = stages.table(f"merge-batches-{k}", lambda summary=summary: overlap_batches(summary, max(1, most - CARRIED), CARRIED))
+        said = stages.table(f"merge-proposed-{k}", lambda batch=batch: propose(batch.drop("size"), merge))
+        merges = stages.table(f"merge-merges-{k}", lambda said=said, batch=batch: valid_merges(said, batch))
+        split = not merges.isEmpty()
+        if split:
+            new = apply_merges(*now, merges)
+            top, inside = stages.table(f"merge-clusters-{k}", lambda new=new: new[0]), stages.table(f"merge-inside-{k}", lambda new=new: new[1])
+    named = inside.withColumn("lane", F.lit("all")).groupBy("cluster_id").agg(F.concat(F.lit("ff_"), F.substring(content_of("family"), 4, 16)).alias("family_id")).join(top.select("cluster_id", "label"), "cluster_id")
+    return inside.join(named, "cluster_id").select("family_id", "label", "member")
 
 
 def normalized_descriptors(descriptors: DataFrame, pairs: DataFrame, proposer: Proposer, most: int = 40) -> DataFrame:

@@ -145,6 +145,14 @@ def test_families_and_descriptors(spark, tmp_path):
     assert partition((r["family_id"], r["member"]) for r in out) == {frozenset("12"), frozenset("3"), frozenset("4")}
 
 
+def test_families_reach_over_the_batches_of_the_merge(spark, tmp_path):
+    rows = [(f"brand {i % 12}", i, f"{'red' if i % 2 else 'old'} {WORDS[i % 7]}", "a") for i in range(168)]
+    df = spark.createDataFrame(rows, "lane string, id long, raw string, log string")
+    word = lambda name: lambda batch: [{"label": w, "key": w, "members": [r["id"] for r in batch if r[name].split()[-1] == w]} for w in dict.fromkeys(r[name].split()[-1] for r in batch)]
+    got = clustering.families(df, word("raw"), word("label"), f"file://{tmp_path}/f", most=8).collect()  # 84 groups in batches of eight
+    assert partition((r["family_id"], r["member"]) for r in got) == {frozenset(str(i) for i in range(k, 168, 7)) for k in range(7)}
+
+
 def test_readers_never_meet_a_gap(spark, tmp_path):
     table = VersionedTable(spark, f"file://{tmp_path}/t")
     assert table.read() is None and table.current() == 0
