@@ -1,11 +1,10 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Benchmark items and documents are sequences of words (runs of letters and digits, lower-cased).
-1. One pass over all documents gives the document frequency of every benchmark word, and a bounded sample of document windows: of the distinct
-   windows of all documents, whole ones at every place, those with the least hashes (SAMPLE_WINDOWS).
-2. TF-IDF passages (the items, and the sampled windows) over the items' vocabulary are
-   factorised by a randomised SVD: every partition sums its share of A'A Omega, with one power iteration; the leading
-   right singular vectors are the latent space.
+1. One pass over all documents gives the document frequency of every benchmark word, and the benchmark words of every document window (windows of one length, one
+   after the other).
+2. TF-IDF passages (the items, and all windows) over the items' vocabulary are factorised by a randomised SVD: tasks sum the products of the words that
+   passages share, A'A, as rows (pair, sum), and their shares of A'A Omega, with one power iteration; the leading right singular vectors are the latent space.
 3. Every document is cut into overlapping windows, two lengths of an item's length class each with a stride of one length, so an item lies in one window
    whole.  Windows too poor in answer words to pass step 5 are not projected.  The others are projected and compared with
    all items of the class by cosine.
@@ -39,8 +38,10 @@ from factloom.storage import materialize
 
 COSINE, LCS, ANSWER_SHARE, ANSWER_WORDS = 0.15, 0.7, 0.5, 8
 RANK, OVERSAMPLE, BLOCK_WORDS, WAVE, SEED = 128, 8, 1 << 16, 4, 29
-#: Document windows in the sample that the SVD is fitted on, at most.
-SAMPLE_WINDOWS = 4_000
+#: Products of words that are summed at a time, about, and the largest table of sums of all pairs of a vocabulary (else the pairs met are sorted).
+PAIRS, TABLE = 1 << 20, 1 << 23
+#: Words of a passage of the fit, at most; longer items are cut for it.
+PASSAGE = 1024
 _SHORTEST, _SIEVE = 16, 26
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -153,13 +154,17 @@ def _sieve(items: DataFrame) -> np.ndarray:
     return out
 
 
-def _corpus(docs: DataFrame, items: DataFrame, sample: int) -> tuple[DataFrame, DataFrame, int]:
-    """(w, n) document frequencies of the items' words, (words) the sampled windows' known words, and the number of documents; one pass over the documents."""
+def _binary(values: np.ndarray, n: np.ndarray) -> pa.Array:
+    """Rows of ``n`` values each, as bytes."""
+    ends = np.r_[0, np.cumsum(n)] * values.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(values.tobytes())])
+
+
+def _corpus(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """(w, n) document frequencies of the items' words, (words) the known words of every window that has any, and the number of documents; one pass over the documents."""
     n_docs = docs.count()
-    length = _length_class(items.agg(F.percentile_approx(F.length("words") / 8, 0.5)).first()[0])
+    length = min(PASSAGE, _length_class(items.agg(F.percentile_approx(F.length("words") / 8, 0.5)).first()[0]))
     ship = docs.sparkSession.sparkContext.broadcast(_sieve(items))  # 8 MB at most
-    below = np.uint64(min((1 << 64) - 1, ((2 * sample) << 64) // max(n_docs, 1)))
-    power = np.multiply.accumulate(np.full(length, np.uint64(0x9E3779B97F4A7C15)))
 
     def run(batches):
         held, size, shift = [], 0, np.uint64(65 - len(ship.value).bit_length() - 3)
@@ -185,13 +190,8 @@ def _corpus(docs: DataFrame, items: DataFrame, sample: int) -> tuple[DataFrame,
                 size += len(u)
                 # windows of ``length`` words one after the other; the last of a text may be shorter
                 place = np.arange(len(w)) - w.bounds[w.row]
-                start = np.flatnonzero(place % length == 0)
-                mark = tb.mix(np.add.reduceat(w.hash * power[place % length], start))
-                end = np.r_[start[1:], len(w)]
-                chosen = np.flatnonzero(mark <= below)
-                words = [w.hash[i:j][known[i:j]].tobytes() for i, j in zip(start[chosen], end[chosen], strict=True)]
-                some = [k for k, x in enumerate(words) if x]
-                yield batch(w=pa.array(tb.signed(mark[chosen][some])), n=pa.nulls(len(some), pa.int64()), words=pa.array([words[k] for k in some], pa.binary()))
+                n = np.add.reduceat(known.astype(np.int64), np.flatnonzero(place % length == 0))
+                yield batch(w=pa.nulls(np.count_nonzero(n), pa.int64()), n=pa.nulls(np.count_nonzero(n), pa.int64()), words=_binary(w.hash[known], n[n > 0]))
             if size > 500_000:
                 held = [sums()]
                 size = len(held[0][0])
@@ -200,18 +200,28 @@ def _corpus(docs: DataFrame, items: DataFrame, sample: int) -> tuple[DataFrame,
 
     found = materialize(arrow_map(docs.select("text"), run, "w long, n long, words binary"), "corpus")
     df = materialize(found.where(F.col("words").isNull()).groupBy("w").agg(F.sum("n").alias("n")), "df")
-    windows = found.where(F.col("words").isNotNull()).groupBy("w").agg(F.min("words").alias("words")).orderBy("w").limit(sample).select("words")
-    return df, materialize(windows, "windows"), n_docs
+    return df, found.where(F.col("words").isNotNull()).select("words"), n_docs
 
 
 def _length_class(n: int) -> int:
     return max(_SHORTEST, 1 << math.ceil(math.log2(n)))
 
 
-def _tfidf(indices: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    k, n = np.unique(indices, return_counts=True)
+def _products(row: np.ndarray, index: np.ndarray, idf: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i * size + j, product) for every two words i <= j of each row's TF-IDF vector of length one, some PAIRS at a time; rows are in order."""
+    size = len(idf)
+    key, n = np.unique(row * size + index, return_counts=True)
+    row, k = key // size, key % size
     v = n * idf[k]
-    return k, v / max(np.linalg.norm(v), 1e-12)
+    v /= np.maximum(np.sqrt(np.bincount(row, weights=v * v)), 1e-12)[row]
+    left = np.searchsorted(row, row, side="right") - np.arange(len(row))  # words from here to the end of the row
+    ends = np.cumsum(left)
+    cuts = np.unique(np.r_[0, np.searchsorted(ends, np.arange(PAIRS, (ends[-1] if len(ends) else 0) + PAIRS, PAIRS)), len(row)])
+    for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+        m = left[i:j]
+        a = np.repeat(np.arange(i, j), m)
+        b = a + np.arange(len(a)) - np.repeat(np.cumsum(m) - m, m)
+        yield k[a] * size + k[b], v[a] * v[b]
 
 
 def _fit(block: Block, df: DataFrame, windows: DataFrame, n_docs: int, rank: int) -> None:
@@ -232,19 +242,40 @@ def _fit(block: Block, df: DataFrame, windows: DataFrame, n_docs: int, rank: int
             block.answers[i] = np.searchsorted(block.vocabulary, block.answers[i])
     idf, ship = block.idf, spark.sparkContext.broadcast(block)
 
-    def weigh(batches):
+    def products(batches):
+        size, held, many = len(idf), [], 0
+        table = np.zeros(size * size) if size * size <= TABLE else None
+
+        def merged():
+            key, of = np.unique(np.concatenate([x[0] for x in held]), return_inverse=True)
+            return key, np.bincount(of, weights=np.concatenate([x[1] for x in held]))
+
         for b in batches:
-            k, v = [], []
-            for x in b["words"]:
-                x = ship.value.index(np.frombuffer(x.as_buffer(), np.uint64))
-                if (x >= 0).any():
-                    i, t = _tfidf(x[x >= 0], idf)
-                    k.append(i.astype(np.int32).tobytes())
-                    v.append(t.tobytes())
-            yield batch(k=pa.array(k, pa.binary()), v=pa.array(v, pa.binary()))
-
-    items = spark.createDataFrame(pa.table({"words": pa.array([w.tobytes() for w in block.words], pa.binary())}))
-    passages = materialize(arrow_map(windows.unionByName(items), weigh, "k binary, v binary"), "passages").coalesce(8)
+            if not b.num_rows:
+                continue
+            ends = np.frombuffer(b["words"].buffers()[1], np.int32)[b["words"].offset :][: b.num_rows + 1] // 8
+            x = ship.value.index(np.frombuffer(b["words"].buffers()[2], np.uint64)[ends[0] : ends[-1]]) if ends[-1] > ends[0] else np.zeros(0, np.int64)
+            row = np.repeat(np.arange(b.num_rows), np.diff(ends))
+            for key, value in _products(row[x >= 0], x[x >= 0], idf):
+                if table is not None:
+                    np.add.at(table, key, value)
+                    continue
+                held.append((key, value))
+                many += len(key)
+                if many > 4 * PAIRS:
+                    held = [merged()]
+                    if (many := len(held[0][0])) > 2 * PAIRS:
+                        yield batch(pair=pa.array(held[0][0]), value=pa.array(held[0][1]))
+                        held, many = [], 0
+        if table is not None:
+            held = [(np.flatnonzero(table), table[table != 0])]
+        if held:
+            key, value = merged()
+            yield batch(pair=pa.array(key), value=pa.array(value))
+
+    items = spark.createDataFrame(pa.table({"words": pa.array([w[i : i + PASSAGE].tobytes() for w in block.words for i in range(0, len(w), PASSAGE)], pa.binary())}))
+    shares = arrow_map(windows.unionByName(items), products, "pair long, value double")
+    pairs = materialize(shares.groupBy("pair").agg(F.sum("value").alias("value")), "products").coalesce(8)
     size, r = len(idf), min(rank + OVERSAMPLE, len(idf))
 
     def gram_times(x: np.ndarray) -> np.ndarray:
@@ -254,12 +285,16 @@ def _fit(block: Block, df: DataFrame, windows: DataFrame, n_docs: int, rank: int
         def run(batches):
             total = np.zeros((size, x.shape[1]))
             for b in batches:
-                for k, v in zip(b["k"], b["v"], strict=True):
-                    k, v = np.frombuffer(k.as_buffer(), np.int32), np.frombuffer(v.as_buffer())
-                    total[k] += np.outer(v, v @ sent.value[k])
+                i, j = np.divmod(b["pair"].to_numpy(), size)
+                v = b["value"].to_numpy()
+                for to, of, share in ((i, j, v), (j[i != j], i[i != j], v[i != j])):
+                    order = np.argsort(to, kind="stable")
+                    first = np.flatnonzero(np.diff(to[order], prepend=-1))
+                    if len(first):
+                        total[to[order[first]]] += np.add.reduceat(share[order, None] * sent.value[of[order]], first)
             yield batch(y=pa.array([total.tobytes()], pa.binary()))
 
-        total = sum(np.frombuffer(p["y"]).reshape(size, -1) for p in arrow_map(passages, run, "y binary").toLocalIterator())
+        total = sum(np.frombuffer(p["y"]).reshape(size, -1) for p in arrow_map(pairs, run, "y binary").toLocalIterator())
         sent.destroy()
         return total
 
@@ -329,12 +364,12 @@ def _scan(docs: DataFrame, wave: list[Block], id_type: DataType, keep: list[str]
     return annotate(docs, run, "" if only_clean else f"leaks array<struct<item_id:{id_type.simpleString()},cosine:double,lcs:double>>", keep)
 
 
-def _waves(docs: DataFrame, benchmark: DataFrame, rank: int, block_words: int, sample: int) -> Iterator[list[Block]]:
+def _waves(docs: DataFrame, benchmark: DataFrame, rank: int, block_words: int) -> Iterator[list[Block]]:
     """Fitted blocks, up to WAVE at a time."""
     items = _items(benchmark)
     if items.isEmpty():
         return
-    df, windows, n_docs = _corpus(docs, items, sample)
+    df, windows, n_docs = _corpus(docs, items)
     wave: list[Block] = []
     for block in _blocks(items, block_words):
         _fit(block, df, windows, n_docs, rank)
@@ -346,10 +381,10 @@ def _waves(docs: DataFrame, benchmark: DataFrame, rank: int, block_words: int, s
         yield wave
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, least: float = LCS, answer_share: float = ANSWER_SHARE, rank: int = RANK, block_words: int = BLOCK_WORDS, sample: int = SAMPLE_WINDOWS) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, least: float = LCS, answer_share: float = ANSWER_SHARE, rank: int = RANK, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, item_id, cosine, lcs): the documents that hold a benchmark item, whole or paraphrased, and the item."""
     id_type, out = benchmark.schema["item_id"].dataType, None
-    for wave in _waves(docs, benchmark, rank, block_words, sample):
+    for wave in _waves(docs, benchmark, rank, block_words):
         one = _scan(docs, wave, id_type, ["doc_id"], cosine, least, answer_share, False).select("doc_id", F.inline("leaks"))
         out = one if out is None else out.unionByName(one)
     if out is None:
@@ -357,9 +392,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, least:
     return out
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, least: float = LCS, answer_share: float = ANSWER_SHARE, rank: int = RANK, block_words: int = BLOCK_WORDS, sample: int = SAMPLE_WINDOWS) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, least: float = LCS, answer_share: float = ANSWER_SHARE, rank: int = RANK, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, their columns unchanged."""
     out = docs
-    for wave in _waves(docs, benchmark, rank, block_words, sample):
+    for wave in _waves(docs, benchmark, rank, block_words):
         out = _scan(out, wave, benchmark.schema["item_id"].dataType, None, cosine, least, answer_share, True)
     return out

@@ -357,3 +357,25 @@ def test_only_whole_hidden_elements_are_dropped(spark):
     icon = PAGE.replace("<body>", "<body><svg-icon name='x'></svg-icon><svg class='y'/>")
     out = {r.page_id: r.text for r in extraction.main_texts(spark.createDataFrame([(1, "u", PAGE), (2, "u", icon)], "page_id long, url string, html string")).collect()}
     assert out[1] and out[1] == out[2]
+
+
+def test_latent_space_is_fitted_on_every_window(spark):
+    """Every window is a passage of the fit, repeated ones too; the sums of products are those of the plain matrix."""
+    import numpy as np
+
+    from factloom.llm import decontaminate as dc
+
+    items = dc._items(spark.createDataFrame([(1, " ".join(f"w{k}" for k in range(16)))], "item_id int, text string"))
+    docs = spark.createDataFrame([(" ".join(f"w{(i + k) % 16} x{i}" for k in range(8 if i % 2 else 12)),) for i in range(5000)], "text string")
+    df, windows, n = dc._corpus(docs, items)
+    assert n == 5000 and windows.count() == 7500
+    idf, rng = np.arange(1.0, 8), np.random.default_rng(1)
+    row, index = np.sort(rng.integers(0, 40, 300)), rng.integers(0, 7, 300)
+    a = np.zeros((40, 7))
+    np.add.at(a, (row, index), 1)
+    a *= idf
+    a /= np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-12)
+    got = np.zeros(49)
+    for key, value in dc._products(row, index, idf):
+        np.add.at(got, key, value)
+    assert np.allclose(got.reshape(7, 7), np.triu(a.T @ a))
