@@ -24,8 +24,8 @@ def fold(doc_id: str | Column = "doc_id") -> Column:
     return F.crc32(c.cast("string")) % 5
 
 
-def labelled(labels: DataFrame, column: str, limit: int, per_class: bool = False) -> DataFrame:
-    """A bounded sample of the labels outside the held-out fold, as (doc_id, y).
+def labelled(labels: DataFrame, column: str, limit: int | None = None, per_class: bool = False) -> DataFrame:
+    """The labels outside the held-out fold, as (doc_id, y); a bounded sample of them if there is a ``limit``.
 
     Rows without an id or label are left out; of several labels of one id the mean decides (0.5: 1).
     About ``limit`` rows (of each class with ``per_class``) with the smallest hashes of their ids stay.
@@ -36,6 +36,8 @@ def labelled(labels: DataFrame, column: str, limit: int, per_class: bool = False
         .groupBy("doc_id")
         .agg((F.avg("y") >= 0.5).cast("int").alias("y"))
     )
+    if limit is None:
+        return one
     counts = {r["y"]: r["n"] for r in one.groupBy("y").agg(F.count("*").alias("n")).collect()}
     total = sum(counts.values())
     share = F.lit(0.0)

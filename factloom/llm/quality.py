@@ -3,7 +3,7 @@
 Each document becomes a vector of text statistics (``STATISTICS``).  After standardising, ``features``
 random Fourier features cos(omega x + phase) approximate a Gaussian kernel.  The ridge weights solve normal
 equations whose sums each partition makes on its own; only these fixed-size sums reach the driver.
-Pool-adjacent-violators on a part of the sample that the ridge did not see turns raw scores into
+Pool-adjacent-violators, by range of raw scores and then over their blocks, on a part of the labelled rows that the ridge did not see turns raw scores into
 probabilities.
 
 Defined results: null text reads as empty and gets the score of an all-zero statistic row; repeated ids and rows are
@@ -24,8 +24,8 @@ from factloom.llm import textbatch as tb
 from factloom.llm.common import annotate, arrow_map, batch, fold, labelled
 from factloom.storage import materialize
 
-#: Labelled rows that a fit uses at most, about.
-SAMPLE = 20_000
+#: Labelled rows that a fit uses at most, about; None: all of them.
+SAMPLE = None
 FEATURES, GAMMA, RIDGE, SEED = 256, 0.15, 1e-3, 20
 
 STATISTICS = (
@@ -125,21 +125,26 @@ class Model:
         return np.clip(0.999 * np.interp(r, self.knots, self.values) + 0.001 / (1 + np.exp(-4 * (r - 0.5))), 0, 1)
 
 
-def isotonic(raw: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pool-adjacent-violators: knots (block means of raw) and their nondecreasing values."""
-    order = np.argsort(raw, kind="stable")
-    blocks: list[list[float]] = []  # weight, sum of y, sum of raw
-    for r, v in zip(raw[order].tolist(), y[order].tolist(), strict=True):
-        blocks.append([1.0, v, r])
+def _pool(rows: np.ndarray) -> np.ndarray:
+    """Pool-adjacent-violators over rows (weight, sum of y, sum of raw) in order of raw."""
+    blocks: list[list[float]] = []
+    for row in rows.tolist():
+        blocks.append(row)
         while len(blocks) > 1 and blocks[-2][1] * blocks[-1][0] >= blocks[-1][1] * blocks[-2][0]:
             last = blocks.pop()
             blocks[-1] = [a + b for a, b in zip(blocks[-1], last, strict=True)]
-    b = np.array(blocks)
+    return np.array(blocks).reshape(-1, 3)
+
+
+def isotonic(raw: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pool-adjacent-violators: knots (block means of raw) and their nondecreasing values."""
+    order = np.argsort(raw, kind="stable")
+    b = _pool(np.column_stack([np.ones(len(raw)), y[order], raw[order]]))
     return b[:, 2] / b[:, 0], b[:, 1] / b[:, 0]
 
 
-def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", limit: int = SAMPLE, features: int = FEATURES, gamma: float = GAMMA, ridge: float = RIDGE, seed: int = SEED) -> Model:
-    """Fit on at most about ``limit`` labelled documents outside the held-out fold."""
+def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", limit: int | None = SAMPLE, features: int = FEATURES, gamma: float = GAMMA, ridge: float = RIDGE, seed: int = SEED) -> Model:
+    """Fit on the labelled documents outside the held-out fold; on about ``limit`` of them, if it is given."""
     sample = labelled(labels, column, limit)
 
     def stats(batches):
@@ -147,7 +152,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", limit: int
             x = _all_statistics(b["text"])
             yield batch(y=b["y"], part=(b["h"].to_numpy() % 5 == 0), x=pa.array(list(x), pa.list_(pa.float64())))
 
-    known = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", F.col("y").cast("int").alias("y"), F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1000)).cast("int").alias("h"))
+    known = docs.select("doc_id", "text").join(sample, "doc_id").select("text", F.col("y").cast("int").alias("y"), F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1000)).cast("int").alias("h"))
     table = materialize(arrow_map(known, stats, "y int, part boolean, x array<double>"), "quality")
     d = len(STATISTICS)
     moments = table.select(F.col("y"), *[F.get("x", F.lit(i)).alias(f"x{i}") for i in range(d)]).agg(
@@ -178,10 +183,27 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", limit: int
     a = sum(np.frombuffer(p["a"]).reshape(features + 1, -1) for p in parts)
     c = sum(np.frombuffer(p["c"]) for p in parts)
     model.weights = np.linalg.solve(a + ridge * n * np.diag(np.r_[np.ones(features), 1e-6]), c)
-    rest = table.where("part").select("x", "y").collect()  # at most about ``limit`` rows
-    if len({r["y"] for r in rest}) < 2:
-        rest = table.select("x", "y").collect()
-    model.knots, model.values = isotonic(model.raw(np.array([r["x"] for r in rest])), np.array([r["y"] for r in rest], float))
+    rest = table.where("part")
+    if rest.agg(F.count_distinct("y")).first()[0] < 2:
+        rest = table
+
+    def raws(batches):
+        for b in batches:
+            if b.num_rows:
+                yield batch(r=pa.array(model.raw(np.vstack(b["x"].to_pylist()))), y=b["y"])
+
+    def pools(batches):
+        """The blocks of one range of raw scores: neighbours that pool in a range pool among all as well."""
+        at = np.zeros((0, 3))
+        for b in batches:
+            rows = np.column_stack([np.ones(b.num_rows), b["y"].to_numpy().astype(float), b["r"].to_numpy()])
+            at = _pool(np.concatenate([at, rows]))
+        yield batch(**{c: pa.array(at[:, k]) for k, c in enumerate(("n", "y", "r"))})
+
+    ranges = arrow_map(rest.select("x", "y"), raws, "r double, y int").repartitionByRange("r").sortWithinPartitions("r", F.desc("y"))
+    blocks = arrow_map(ranges, pools, "n double, y double, r double").toPandas().to_numpy()
+    blocks = _pool(blocks[np.argsort(blocks[:, 2] / blocks[:, 0], kind="stable")])
+    model.knots, model.values = blocks[:, 2] / blocks[:, 0], blocks[:, 1] / blocks[:, 0]
     return model
 
 
@@ -202,7 +224,7 @@ def accepted(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame
     return annotate(docs, lambda b: {"where": ship.value.score(_all_statistics(b["text"])) >= threshold}, "")
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, limit: int = SAMPLE) -> DataFrame:
+def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, limit: int | None = SAMPLE) -> DataFrame:
     """doc_id, held_out, score, predicted for every document."""
     out = score(docs, fit(docs, labels, limit=limit), threshold, ["doc_id"])
     return out.select("doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), F.col("quality_score").alias("score"), F.col("quality_ok").cast("int").alias("predicted"))

@@ -418,3 +418,18 @@ def test_scores_of_odd_rows(marked):
     assert [s.sentence for s in out[2].offending] == ["you are a complete nasty thing"] and out[0].h == "mine"
     q = quality.score(odd, quality.fit(docs.withColumn("y", F.lit("mine")).withColumn("part", F.lit(1)), labels)).orderBy("doc_id").collect()
     assert all(0 <= r.quality_score <= 1 for r in q) and q[3] == q[4] and q[0].y == "mine"
+
+
+def test_quality_learns_from_every_label(spark):
+    labels = spark.range(30_000).selectExpr("id doc_id", "cast(id % 2 as int) quality")
+    assert labelled(labels, "quality", quality.SAMPLE).count() == labels.where("crc32(cast(doc_id as string)) % 5 <> 0").count()
+
+
+def test_pooled_ranges_pool_as_all_rows():
+    rng = np.random.default_rng(6)
+    raw = np.sort(rng.normal(size=500))
+    y = (rng.random(500) < 1 / (1 + np.exp(-raw))).astype(float)
+    rows = np.column_stack([np.ones(500), y, raw])
+    b = quality._pool(np.concatenate([quality._pool(rows[i : i + 70]) for i in range(0, 500, 70)]))
+    knots, values = quality.isotonic(raw, y)
+    assert np.allclose(b[:, 2] / b[:, 0], knots) and np.allclose(b[:, 1] / b[:, 0], values)
