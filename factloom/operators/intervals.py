@@ -5,13 +5,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from factloom.storage import materialize
 
-def islands(rows: DataFrame, group: list[str], position: str, tolerance: int = 1) -> DataFrame:
-    """Runs of positions whose neighbours are at most ``tolerance`` apart: first, last, members."""
-    w = Window.partitionBy(*group).orderBy(position)
+
+def islands(rows: DataFrame, group: list[str], position: str, tolerance: int = 1, parts: int | None = None, span: int = 1 << 16, distinct: bool = False) -> DataFrame:
+    """Runs of positions whose neighbours are at most ``tolerance`` apart: first, last, members. distinct: equal rows count once.
+
+    Each group is cut into stretches of ``span`` tolerances, which are numbered on their own; a row a stretch then tells how many islands lie before it and whether its first
+    goes on from the stretch before. parts: partitions of the stretches, the session's number if None.
+    """
+    at = F.coalesce(F.floor(F.col(position) / (max(tolerance, 1) * span)).cast("long"), F.lit(-(1 << 62)))  # null positions come first
+    cut = rows.select(*group, position).withColumn("_at", at)
+    keys = [*group, "_at"]
+    cut = cut.repartition(parts, *keys) if parts else cut.repartition(*keys)
+    cut = cut.distinct() if distinct else cut
+    w = Window.partitionBy(*keys).orderBy(position)
     new = F.when(F.col(position) - F.lag(position).over(w) <= tolerance, 0).otherwise(1)
-    numbered = rows.withColumn("_new", new).withColumn("island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return numbered.groupBy(*group, "island").agg(F.min(position).alias("first"), F.max(position).alias("last"), F.count("*").alias("members"))
+    numbered = cut.withColumn("_new", new).withColumn("_local", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    local = materialize(numbered.groupBy(*keys, "_local").agg(F.min(position).alias("first"), F.max(position).alias("last"), F.count("*").alias("members")), "islands")
+    stretches = local.groupBy(*keys).agg(F.max("_local").alias("_k"), F.min("first").alias("_f"), F.max("last").alias("_l"))
+    w = Window.partitionBy(*group).orderBy("_at")
+    joins = lambda a, b: F.coalesce((a - b <= tolerance).cast("int"), F.lit(0))
+    stretches = stretches.withColumns({"_joins": joins(F.col("_f"), F.lag("_l").over(w)), "_joined": joins(F.lead("_f").over(w), F.col("_l"))})
+    ahead = F.coalesce(F.sum("_k").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) - F.sum("_joins").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    known = stretches.select(*[F.col(c).alias(f"_{c}_") for c in keys], "_k", "_joins", "_joined", ahead.alias("_ahead"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}_")) for c in keys]
+    edge = ((F.col("_joins") == 1) & (F.col("_local") == 1)) | ((F.col("_joined") == 1) & (F.col("_local") == F.col("_k")))
+    placed = local.join(known, same).select(*group, (F.col("_local") + F.col("_ahead")).alias("island"), "first", "last", "members", edge.alias("_edge"))
+    whole = placed.where("_edge").groupBy(*group, "island").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("members").alias("members"))
+    return placed.where("not _edge").drop("_edge").unionByName(whole)
 
 
 def pitch(rows: DataFrame, group: list[str], position: str, share: float = 0.6) -> DataFrame:

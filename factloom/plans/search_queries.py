@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from factloom.functions import ids, text
 from factloom.operators import events, hamming, intervals, packing, records, search, similar, terms, vectors
 from factloom.plans.catalog import query, table
+from factloom.storage import parts_for
 from factloom.streaming import refresh
 
 
@@ -296,8 +297,8 @@ SELECT l_suppkey, CAST(island AS BIGINT) AS island, min(l_orderkey) AS "first",
 """,
 )
 def positions_islands(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "lineitem").select("l_suppkey", "l_orderkey").distinct()
-    return intervals.islands(rows, ["l_suppkey"], "l_orderkey", 40)
+    rows = table(spark, d, "lineitem").select("l_suppkey", "l_orderkey")
+    return intervals.islands(rows, ["l_suppkey"], "l_orderkey", 40, parts_for(rows), distinct=True)
 
 
 @query(

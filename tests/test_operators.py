@@ -235,3 +235,26 @@ def test_providers(spark):
     assert [(r.statement, r.valid_ids) for r in providers.valid_citations(s, allowed).collect()] == [("x", ["a"])]
     with pytest.raises(ValueError):
         providers.assert_counts(known.withColumn("kind", F.lit("k")), {"k": 3}, "kind")
+
+
+def test_islands_go_on_over_stretches(spark):
+    """A group is numbered by stretches; islands over their borders stay whole, and null positions stand alone, first."""
+    import random
+
+    rng = random.Random(3)
+    got = [(g, None if rng.random() < 0.02 else rng.randrange(300) - 40) for g in (1, 2, None) for _ in range(90)]
+    want = []
+    for g in (1, 2, None):
+        n, last = 0, None
+        runs = {}
+        for x in sorted((x for h, x in got if h == g), key=lambda x: (x is not None, x or 0)):
+            n += not (x is not None and last is not None and x - last <= 3)
+            runs.setdefault(n, []).append(x)
+            last = x
+        want += [(g, n, r[0], r[-1], len(r)) for n, r in runs.items()]
+    df = spark.createDataFrame(got, "g int, x int")
+    order = lambda rows: sorted(map(repr, rows))
+    for span in (1, 2, 7, 1000):
+        assert order(tuple(r) for r in intervals.islands(df, ["g"], "x", 3, span=span).collect()) == order(want)
+    once = intervals.islands(df.unionByName(df), ["g"], "x", 3, parts=3, span=2, distinct=True)
+    assert order(map(tuple, once.collect())) == order(map(tuple, intervals.islands(df.distinct(), ["g"], "x", 3).collect()))
