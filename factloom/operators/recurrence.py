@@ -41,10 +41,21 @@ ACTION_CUES = ("replace", "replaced", "new ", "rebuilt", "rebuild", "refurb", "c
 OTHER_AREA = "Other technician signal"
 
 
-def recurring(candidates: DataFrame, group: list[str], log: str, source: str, serial: str | None = None, least: int = 2) -> DataFrame:
-    """Groups with at least ``least`` distinct logs and distinct sources; copies of one source under two logs do not recur."""
-    more = [F.countDistinct(serial).alias("distinct_serials")] if serial else []
-    out = candidates.groupBy(*group).agg(F.count("*").alias("candidates"), F.countDistinct(log).alias("distinct_logs"), F.countDistinct(source).alias("distinct_sources"), *more)
+def recurring(candidates: DataFrame, group: list[str], log: str, source: str, serial: str | None = None, least: int = 2, parts: int | None = None) -> DataFrame:
+    """Groups with at least ``least`` distinct logs and distinct sources; copies of one source under two logs do not recur.
+
+    Values are counted by shares of each group, dealt by value to ``parts`` partitions (the session's number if None), so no task holds a group's values.
+    """
+    names = {"distinct_logs": log, "distinct_sources": source} | ({"distinct_serials": serial} if serial else {})
+    none = F.lit(None).cast("long")
+    rows = None
+    for name, c in names.items():
+        pairs = candidates.select(*group, F.col(c).alias("_v"))
+        dealt = pairs.repartition(parts, *group, "_v") if parts else pairs.repartition(*group, "_v")
+        one = dealt.groupBy(*group, "_v").agg(F.count("*").alias("_n")).groupBy(*group).agg(F.sum("_n").alias("_n"), F.count("_v").alias("_k"))
+        one = one.select(*group, (F.col("_n") if name == "distinct_logs" else none).alias("candidates"), *[(F.col("_k") if x == name else none).alias(x) for x in names])
+        rows = one if rows is None else rows.unionByName(one)
+    out = rows.groupBy(*group).agg(*[F.sum(c).alias(c) for c in ("candidates", *names)])
     return out.where((F.col("distinct_logs") >= least) & (F.col("distinct_sources") >= least))
 
 

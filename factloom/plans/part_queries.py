@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from factloom.functions import evidence
 from factloom.operators import events, parts, recurrence
 from factloom.plans.catalog import query, table
+from factloom.storage import parts_for
 
 # lineitem as part mentions: an order is a repair event, every fifth line states no quantity
 _MENTIONS_SQL = "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CASE WHEN l_linenumber % 5 <> 0 THEN CAST(l_quantity AS INTEGER) END AS q, p_type, p_brand, p_name, p_size FROM lineitem JOIN part ON l_partkey = p_partkey"
@@ -110,7 +111,7 @@ FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_o
 )
 def recurring_groups(spark: SparkSession, d: str) -> DataFrame:
     rows = _mentions(spark, d).join(table(spark, d, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-    return recurrence.recurring(rows, ["p_type"], "l_orderkey", "l_suppkey", "o_custkey")
+    return recurrence.recurring(rows, ["p_type"], "l_orderkey", "l_suppkey", "o_custkey", parts=parts_for(table(spark, d, "lineitem")))
 
 
 _AREAS = {"Rings": ("ring",), "Widgets": ("widget", "gadget"), "Fasteners": ("bolt", "screw", "gear"), "Colours": ("red", "blue", "green")}

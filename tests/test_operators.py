@@ -258,3 +258,12 @@ def test_islands_go_on_over_stretches(spark):
         assert order(tuple(r) for r in intervals.islands(df, ["g"], "x", 3, span=span).collect()) == order(want)
     once = intervals.islands(df.unionByName(df), ["g"], "x", 3, parts=3, span=2, distinct=True)
     assert order(map(tuple, once.collect())) == order(map(tuple, intervals.islands(df.distinct(), ["g"], "x", 3).collect()))
+
+
+def test_recurring_values_are_dealt_by_value(spark):
+    """One group's values are counted by shares: no copy of a row for each column, and no task that needs the whole group."""
+    rows = spark.createDataFrame([("a", i % 50 if i % 7 else None, i % 3, i % 11) for i in range(400)] + [("b", 1, 1, 1), ("b", 2, 1, 2)], "g string, log int, src int, serial int")
+    out = recurrence.recurring(rows, ["g"], "log", "src", "serial", parts=5)
+    assert [tuple(r) for r in out.collect()] == [("a", 400, 50, 3, 11)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan and "distinct" not in plan.replace("distinct_", "")
