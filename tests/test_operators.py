@@ -267,3 +267,17 @@ def test_recurring_values_are_dealt_by_value(spark):
     assert [tuple(r) for r in out.collect()] == [("a", 400, 50, 3, 11)]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "Expand" not in plan and "distinct" not in plan.replace("distinct_", "")
+
+
+def test_equal_spans_meet_once(spark, tmp_path, monkeypatch):
+    """Copies of a span, and spans of groups that the other side lacks, are not written nor dealt to bins."""
+    from factloom.operators import overlap
+    from factloom.plans import QUERIES
+
+    day = "date '2024-01-0"
+    spark.sql(f"select id * 50 l_orderkey, if(id % 2 = 0, 3, 700) l_suppkey, {day}1' l_shipdate, 4.0D l_quantity from range(200)").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.sql(f"select 9 * id + 1 o_orderkey, 3 o_custkey, {day}2' o_orderdate from range(60)").write.parquet(f"{tmp_path}/orders.parquet")
+    sizes, write = [], overlap.materialize
+    monkeypatch.setattr(overlap, "materialize", lambda df, name: sizes.append(df.count()) or write(df, name))
+    assert [tuple(r) for r in QUERIES["interval_overlaps"](spark, str(tmp_path)).collect()] == [(3, 6000, 6000)]
+    assert sizes == [1, 1]
