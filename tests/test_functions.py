@@ -102,3 +102,24 @@ def test_json_and_audit(spark):
     assert (a.lines, a.filled, a.top_line, a.top_count, a.runaway) == (17, 15, "z", 12, True)
     assert value(spark, text.context_signature(F.lit("Put 3 new RTZ belts on"), "RTZ", 2)) == "<N> new <TERM> belts on"
     assert value(spark, text.part_like(F.lit("R8ZZ1 used"))) and not value(spark, text.part_like(F.lit("new belt")))
+
+
+def test_forms_of_long_texts_equal_the_patterns(spark):
+    """A long run of marks takes no time, and what is read off a text's start is what the whole text gives."""
+    import random
+    import re
+    import time
+
+    rng = random.Random(4)
+    made = ["".join(rng.choice("ab. _-\t\nÄ9") * rng.choice([1, 1, 1, 90, 700]) for _ in range(rng.randint(0, 40))) for _ in range(300)] + ["x" * 80 + "." * 3000, "a" * 190, "a" * 191 + " " * 2000, " " * 3000 + "z"]
+    df = spark.createDataFrame(list(enumerate(made)), "i int, t string")
+    got = df.select("i", text.slug("t").alias("s"), text.shorten("t").alias("c"), text.tokens("t", ("a",)).alias("w"), (text.ocr_quality("t") > 0).alias("q")).orderBy("i").collect()
+    for t, r in zip(made, got, strict=True):
+        c = re.sub(r"[ \t\n]+", " ", t).strip(" ")
+        assert r.s == (re.sub(r"[^A-Za-z0-9._-]+", "_", t).strip("_.")[:80] or "item")
+        assert r.c == (c if len(c) <= 190 else c[:189] + "…")
+        assert r.w == [w for w in dict.fromkeys(re.findall("[a-z0-9]+", t.lower())) if len(w) >= 2]
+    run = spark.range(1).selectExpr("concat('a', repeat('.', 200000), 'b') t")
+    before = time.time()
+    assert run.select(text.slug("t")).first()[0] == "a" + "." * 79
+    assert time.time() - before < 10
