@@ -97,6 +97,11 @@ def statistics(s: tb.Slice) -> np.ndarray:
     )
 
 
+def _rows(column: pa.Array) -> np.ndarray:
+    """The stored statistics of a batch, a row each."""
+    return column.flatten().to_numpy().reshape(len(column), len(STATISTICS))
+
+
 def _all_statistics(column: pa.Array) -> np.ndarray:
     return np.concatenate([np.zeros((0, len(STATISTICS))), *(statistics(s) for s in tb.slices(column))])
 
@@ -145,15 +150,19 @@ def isotonic(raw: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", limit: int | None = SAMPLE, features: int = FEATURES, gamma: float = GAMMA, ridge: float = RIDGE, seed: int = SEED) -> Model:
     """Fit on the labelled documents outside the held-out fold; on about ``limit`` of them, if it is given."""
-    sample = labelled(labels, column, limit)
+    trained = F.col("doc_id").isNotNull() & (fold() != 0)
+    return _fit(measured(docs.where(trained)), labelled(labels, column, limit), features, gamma, ridge, seed)
 
-    def stats(batches):
-        for b in batches:
-            x = _all_statistics(b["text"])
-            yield batch(y=b["y"], part=(b["h"].to_numpy() % 5 == 0), x=pa.array(list(x), pa.list_(pa.float64())))
 
-    known = docs.select("doc_id", "text").join(sample, "doc_id").select("text", F.col("y").cast("int").alias("y"), F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1000)).cast("int").alias("h"))
-    table = materialize(arrow_map(known, stats, "y int, part boolean, x array<double>"), "quality")
+def measured(docs: DataFrame) -> DataFrame:
+    """(doc_id, x): the statistics of every row of ``docs``."""
+    return annotate(docs.select("doc_id", "text"), lambda b: {"x": pa.array(list(_all_statistics(b["text"])), pa.list_(pa.float64()))}, "x array<double>", ["doc_id"])
+
+
+def _fit(rows: DataFrame, sample: DataFrame, features: int = FEATURES, gamma: float = GAMMA, ridge: float = RIDGE, seed: int = SEED) -> Model:
+    """The model of the rows (doc_id, x) that ``sample`` (doc_id, y) labels. Texts are not joined, only their statistics, some 130 bytes a row."""
+    known = rows.join(sample.hint("merge"), "doc_id")  # a shuffle at any size
+    table = materialize(known.select("y", (F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1000)) % 5 == 0).alias("part"), "x"), "quality")
     d = len(STATISTICS)
     moments = table.select(F.col("y"), *[F.get("x", F.lit(i)).alias(f"x{i}") for i in range(d)]).agg(
         F.count("*").alias("n"), F.sum("y").alias("ones"), *[F.avg(f"x{i}").alias(f"m{i}") for i in range(d)], *[F.stddev_pop(f"x{i}").alias(f"s{i}") for i in range(d)]
@@ -173,7 +182,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", limit: int
         a, c = np.zeros((features + 1, features + 1)), np.zeros(features + 1)
         for b in batches:
             if b.num_rows:
-                z, y = model.lift(np.vstack(b["x"].to_pylist())), b["y"].to_numpy()
+                z, y = model.lift(_rows(b["x"])), b["y"].to_numpy()
                 w = balance[y][:, None] * z
                 a += w.T @ z
                 c += w.T @ y
@@ -190,7 +199,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", limit: int
     def raws(batches):
         for b in batches:
             if b.num_rows:
-                yield batch(r=pa.array(model.raw(np.vstack(b["x"].to_pylist()))), y=b["y"])
+                yield batch(r=pa.array(model.raw(_rows(b["x"]))), y=b["y"])
 
     def pools(batches):
         """The blocks of one range of raw scores: neighbours that pool in a range pool among all as well."""
@@ -225,6 +234,13 @@ def accepted(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, limit: int | None = SAMPLE) -> DataFrame:
-    """doc_id, held_out, score, predicted for every document."""
-    out = score(docs, fit(docs, labels, limit=limit), threshold, ["doc_id"])
-    return out.select("doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), F.col("quality_score").alias("score"), F.col("quality_ok").cast("int").alias("predicted"))
+    """doc_id, held_out, score, predicted for every document; its statistics are made once, for the fit and the score."""
+    rows = materialize(measured(docs), "statistics")
+    ship = docs.sparkSession.sparkContext.broadcast(_fit(rows.where(F.col("doc_id").isNotNull() & (fold() != 0)), labelled(labels, "quality", limit)))  # fixed size
+
+    def run(b):
+        p = ship.value.score(_rows(b["x"]))
+        return {"score": p, "predicted": pa.array((p >= threshold).astype(np.int32))}
+
+    out = annotate(rows, run, "score double, predicted int", ["doc_id"], reads="x")
+    return out.select("doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), "score", "predicted")

@@ -433,3 +433,28 @@ def test_pooled_ranges_pool_as_all_rows():
     b = quality._pool(np.concatenate([quality._pool(rows[i : i + 70]) for i in range(0, 500, 70)]))
     knots, values = quality.isotonic(raw, y)
     assert np.allclose(b[:, 2] / b[:, 0], knots) and np.allclose(b[:, 1] / b[:, 0], values)
+
+
+def test_quality_joins_statistics_and_no_text(marked, monkeypatch):
+    """What a fit moves to the labels is as long for every text."""
+    docs, labels = marked
+    sides = []
+
+    def walk(plan):
+        below = [plan.children().apply(k) for k in range(plan.children().size())]
+        if plan.nodeName() == "Join":
+            sides.extend({p.output().apply(k).name() for k in range(p.output().size())} for p in below)
+        for p in below:
+            walk(p)
+
+    def stored(df, *more):
+        walk(df._jdf.queryExecution().optimizedPlan())
+        return materialize(df, *more)
+
+    materialize = quality.materialize
+    monkeypatch.setattr(quality, "materialize", stored)
+    model = quality.fit(docs, labels)
+    scores = {r.doc_id: r.score for r in quality.quality_scores(docs, labels).collect()}
+    assert len(sides) == 4 and not any("text" in s for s in sides)
+    by_text = quality.score(docs, model, keep=["doc_id"]).collect()
+    assert len(by_text) == 503 and all(abs(scores[r.doc_id] - r.quality_score) < 1e-9 for r in by_text)
