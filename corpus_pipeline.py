@@ -12,6 +12,7 @@ from factloom.storage import materialize, release
 def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts (score of 0.3 or more)."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    release(spark)
     return quality.accepted(docs, model)
 
 
@@ -22,7 +23,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+    out = decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+    release(spark)
+    return out
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

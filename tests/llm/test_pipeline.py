@@ -5,6 +5,7 @@ import importlib
 import pytest
 from pyspark.sql import functions as F
 
+from factloom import storage
 from factloom.llm import decontaminate, quality
 from tests.llm.test_neardup import brute
 
@@ -39,3 +40,11 @@ def test_each_stage_equals_its_plain_form(stages, spark):
     gone = {r.doc_id for r in decontaminate.leaks(unique, spark.read.parquet(f"{DIR}/benchmark.parquet")).collect()}
     assert sorted(r.doc_id for r in clean.collect()) == sorted(r.doc_id for r in unique.collect() if r.doc_id not in gone)
     assert mixed.groupBy("doc_id").count().agg(F.max("count")).first()[0] <= 2
+
+
+def test_release_gives_freed_memory_back(spark, monkeypatch):
+    assert storage.trim(spark)  # this JVM has the command
+    calls = []
+    monkeypatch.setattr(storage, "trim", calls.append)
+    storage.release(spark)
+    assert calls == [spark]
