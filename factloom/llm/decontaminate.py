@@ -38,8 +38,10 @@ from factloom.storage import materialize
 
 COSINE, LCS, ANSWER_SHARE, ANSWER_WORDS = 0.15, 0.7, 0.5, 8
 RANK, OVERSAMPLE, BLOCK_WORDS, WAVE, SEED = 128, 8, 1 << 16, 4, 29
-#: Products of words that are summed at a time, about, and the largest table of sums of all pairs of a vocabulary (else the pairs met are sorted).
-PAIRS, TABLE = 1 << 20, 1 << 23
+#: Products of words that are made at a time, about, the largest table of sums of all pairs of a vocabulary, and, where pairs are more, how many are sorted at a time.
+PAIRS, TABLE, HELD = 1 << 17, 1 << 23, 1 << 20
+#: Sums that a task hands on at a time.
+SUMS = 1 << 16
 #: Words of a passage of the fit, at most; longer items are cut for it.
 PASSAGE = 1024
 _SHORTEST, _SIEVE = 16, 26
@@ -207,9 +209,10 @@ def _length_class(n: int) -> int:
     return max(_SHORTEST, 1 << math.ceil(math.log2(n)))
 
 
-def _products(row: np.ndarray, index: np.ndarray, idf: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(i * size + j, product) for every two words i <= j of each row's TF-IDF vector of length one, some PAIRS at a time; rows are in order."""
+def _products(row: np.ndarray, index: np.ndarray, idf: np.ndarray, starts: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(starts[i] + j, product) for every two words i <= j of each row's TF-IDF vector of length one, some PAIRS at a time; rows are in order. starts: i * size if None."""
     size = len(idf)
+    starts = np.arange(size) * size if starts is None else starts
     key, n = np.unique(row * size + index, return_counts=True)
     row, k = key // size, key % size
     v = n * idf[k]
@@ -221,7 +224,60 @@ def _products(row: np.ndarray, index: np.ndarray, idf: np.ndarray) -> Iterator[t
         m = left[i:j]
         a = np.repeat(np.arange(i, j), m)
         b = a + np.arange(len(a)) - np.repeat(np.cumsum(m) - m, m)
-        yield k[a] * size + k[b], v[a] * v[b]
+        yield starts[k[a]] + k[b], v[a] * v[b]
+
+
+class _Sums:
+    """Sums of products by pair of words, in bounded memory: one table of all pairs i <= j, or, where these are more than TABLE, the pairs met."""
+
+    def __init__(self, idf: np.ndarray):
+        self.idf, i = idf, np.arange(len(idf))
+        self.starts = i * len(idf) - i * (i + 1) // 2  # of the pairs of word i, without those before (i, i)
+        cells = len(idf) * (len(idf) + 1) // 2
+        self.table = np.zeros(cells) if cells <= TABLE else None
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+        self.many = 0
+
+    def add(self, row: np.ndarray, index: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Adds the rows' products; gives the sums that are held no longer, SUMS at a time."""
+        if self.table is not None:
+            for key, value in _products(row, index, self.idf, self.starts):
+                np.add.at(self.table, key, value)
+            return
+        for key, value in _products(row, index, self.idf):
+            self.held.append((key, value))
+            self.many += len(key)
+            if self.many > HELD:
+                self._merge()
+                if self.many > HELD // 2:
+                    yield from self.rest()
+
+    def _merge(self) -> None:
+        key = np.concatenate([x[0] for x in self.held])
+        value = np.concatenate([x[1] for x in self.held])
+        self.held = []
+        order = np.argsort(key, kind="stable")
+        key, value = key[order], value[order]
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        self.held, self.many = [(key[first], np.add.reduceat(value, first))], len(first)
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        """(pair, value) of all sums, pair being i * size + j, SUMS at a time; none is held any more."""
+        if self.table is not None:
+            for at in range(0, len(self.table), SUMS):
+                value = self.table[at : at + SUMS]
+                t = np.flatnonzero(value)
+                if len(t):
+                    i = np.searchsorted(self.starts + np.arange(len(self.idf)), t + at, side="right") - 1
+                    yield batch(pair=pa.array(i * len(self.idf) + t + at - self.starts[i]), value=pa.array(value[t]))
+            self.table[:] = 0
+            return
+        if self.held:
+            self._merge()
+            ((key, value),) = self.held
+            self.held, self.many = [], 0
+            for at in range(0, len(key), SUMS):
+                yield batch(pair=pa.array(key[at : at + SUMS]), value=pa.array(value[at : at + SUMS]))
 
 
 def _fit(block: Block, df: DataFrame, windows: DataFrame, n_docs: int, rank: int) -> None:
@@ -243,35 +299,15 @@ def _fit(block: Block, df: DataFrame, windows: DataFrame, n_docs: int, rank: int
     idf, ship = block.idf, spark.sparkContext.broadcast(block)
 
     def products(batches):
-        size, held, many = len(idf), [], 0
-        table = np.zeros(size * size) if size * size <= TABLE else None
-
-        def merged():
-            key, of = np.unique(np.concatenate([x[0] for x in held]), return_inverse=True)
-            return key, np.bincount(of, weights=np.concatenate([x[1] for x in held]))
-
+        sums = _Sums(idf)
         for b in batches:
             if not b.num_rows:
                 continue
             ends = np.frombuffer(b["words"].buffers()[1], np.int32)[b["words"].offset :][: b.num_rows + 1] // 8
             x = ship.value.index(np.frombuffer(b["words"].buffers()[2], np.uint64)[ends[0] : ends[-1]]) if ends[-1] > ends[0] else np.zeros(0, np.int64)
             row = np.repeat(np.arange(b.num_rows), np.diff(ends))
-            for key, value in _products(row[x >= 0], x[x >= 0], idf):
-                if table is not None:
-                    np.add.at(table, key, value)
-                    continue
-                held.append((key, value))
-                many += len(key)
-                if many > 4 * PAIRS:
-                    held = [merged()]
-                    if (many := len(held[0][0])) > 2 * PAIRS:
-                        yield batch(pair=pa.array(held[0][0]), value=pa.array(held[0][1]))
-                        held, many = [], 0
-        if table is not None:
-            held = [(np.flatnonzero(table), table[table != 0])]
-        if held:
-            key, value = merged()
-            yield batch(pair=pa.array(key), value=pa.array(value))
+            yield from sums.add(row[x >= 0], x[x >= 0])
+        yield from sums.rest()
 
     items = spark.createDataFrame(pa.table({"words": pa.array([w[i : i + PASSAGE].tobytes() for w in block.words for i in range(0, len(w), PASSAGE)], pa.binary())}))
     shares = arrow_map(windows.unionByName(items), products, "pair long, value double")

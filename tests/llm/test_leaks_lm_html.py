@@ -379,3 +379,36 @@ def test_latent_space_is_fitted_on_every_window(spark):
     for key, value in dc._products(row, index, idf):
         np.add.at(got, key, value)
     assert np.allclose(got.reshape(7, 7), np.triu(a.T @ a))
+
+
+def test_sums_of_products_take_bounded_memory(monkeypatch):
+    """Both ways of summing give the plain sums, hand them on in small batches, and hold little beside the table."""
+    import tracemalloc
+
+    from factloom.llm import decontaminate as dc
+
+    rng, size = np.random.default_rng(2), 3895  # as many words as the benchmark of sf0.1 has
+    idf = np.linspace(0.1, 6, size)
+    parts = [(np.sort(rng.integers(0, 300, 20_000)), rng.integers(0, size, 20_000)) for _ in range(4)]
+    want = np.zeros(size * size)
+    for row, index in parts:
+        for key, value in dc._products(row, index, idf):
+            np.add.at(want, key, value)
+
+    def read(batches, got):
+        for b in batches:
+            assert b.num_rows <= 1 << 16
+            np.add.at(got, b["pair"].to_numpy(), b["value"].to_numpy())
+
+    for table, limit in ((dc.TABLE, 90e6), (0, 80e6)):
+        monkeypatch.setattr(dc, "TABLE", table)
+        got = np.zeros(size * size)
+        tracemalloc.start()
+        sums = dc._Sums(idf)
+        for row, index in parts:
+            read(sums.add(row, index), got)
+        read(sums.rest(), got)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert np.allclose(got, want) and most < limit, (table, most)
+        assert not list(sums.rest())  # all was handed on
