@@ -1,9 +1,11 @@
 import hashlib
 import uuid
 
+import duckdb
 from pyspark.sql import functions as F
 
 from factloom.functions import evidence, ids, text
+from factloom.plans import QUERIES, SQL
 
 
 def one(spark, *columns, **row):
@@ -123,3 +125,14 @@ def test_forms_of_long_texts_equal_the_patterns(spark):
     before = time.time()
     assert run.select(text.slug("t")).first()[0] == "a" + "." * 79
     assert time.time() - before < 10
+
+
+def test_displays_of_odd_texts_equal_their_sql(spark, tmp_path):
+    texts = [None, "", "..._", "a\x0bb the c", "\x0b", "\xa0 the\u3000", "İstanbul the İ 12", "x " * 700, "a", "b"]
+    sizes = [None, 0, 4, 1023, 1024, 1280, 1048575, 1048576, 5 * 10**9, -5000]
+    spark.createDataFrame(list(zip(range(10), texts, sizes, strict=True)), "doc_id long, text string, n_chars long").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(SQL["text_displays"]).fetchall()
+    got = QUERIES["text_displays"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == sorted(want)
